@@ -103,3 +103,7 @@ GOLD_B_NUMERIC = NUMERIC_READING + [
     "month", "is_daytime", "visibility_km"]
 _fill_b = ", ".join(f"coalesce({c}, 0) AS {c}" for c in GOLD_B_NUMERIC)
 cte("gold_b", ["gold_b_pre"], f"""SELECT * REPLACE ({_fill_b}), {_flags_b} FROM gold_b_pre""")
+
+# --- serving views ------------------------------------------------------------
+cte("latest_a", ["gold_a"], """SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (
+  PARTITION BY city ORDER BY timestamp DESC, reading_id DESC) AS _rn FROM gold_a) x WHERE _rn = 1""")
