@@ -107,3 +107,57 @@ cte("gold_b", ["gold_b_pre"], f"""SELECT * REPLACE ({_fill_b}), {_flags_b} FROM
 # --- serving views ------------------------------------------------------------
 cte("latest_a", ["gold_a"], """SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number() OVER (
   PARTITION BY city ORDER BY timestamp DESC, reading_id DESC) AS _rn FROM gold_a) x WHERE _rn = 1""")
+
+# --- star schema ------------------------------------------------------------
+from aerolith.constants import CONDITION_CATEGORY, WEATHER_TYPES_DDL  # noqa: E402
+from aerolith.operators import warehouse as wh  # noqa: E402
+
+
+def dim_location_sql(src: str) -> str:
+    return f"""SELECT {wh.md5_key_sql('city', 'country')} AS location_key, city, country, continent, state,
+  latitude, longitude, region FROM (SELECT *, row_number() OVER (PARTITION BY city, country
+  ORDER BY timestamp DESC, reading_id DESC) AS _rn FROM {src}) x WHERE _rn = 1"""
+
+
+_SEED_VALUES = ", ".join(f"(CAST({i + 1} AS BIGINT), '{c}', '{cat}', '{sev}', '{desc}')"
+                         for i, (c, cat, sev, desc) in enumerate(WEATHER_TYPES_DDL))
+_CATEGORY_CASE = "CASE condition " + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in CONDITION_CATEGORY.items()) + " ELSE 'Other' END"
+UNKNOWN_KEY = [i + 1 for i, r in enumerate(WEATHER_TYPES_DDL) if r[0] == "Unknown"][0]
+
+
+def dim_weather_type_sql(src: str) -> str:
+    return f"""SELECT * FROM (VALUES {_SEED_VALUES}) s(weather_type_key, condition, category, severity, description)
+UNION ALL
+SELECT {wh.md5_key_sql('condition')} AS weather_type_key, condition, {_CATEGORY_CASE} AS category,
+  'Normal' AS severity, condition || ' conditions' AS description
+FROM (SELECT DISTINCT trim(weather_condition) AS condition FROM {src}
+      WHERE weather_condition IS NOT NULL AND trim(weather_condition) <> '') n
+WHERE condition NOT IN (SELECT c FROM (VALUES {_SEED_VALUES}) s(k, c, a, b, d))"""
+
+
+def fact_sql(src: str, quality: str = "quality_flag") -> str:
+    return f"""SELECT g.reading_id AS reading_key, coalesce(l1.location_key, l2.k2) AS location_key, t.time_key,
+  CASE WHEN g.weather_condition IS NULL THEN CAST({UNKNOWN_KEY} AS BIGINT)
+       WHEN trim(g.weather_condition) = '' THEN NULL
+       ELSE coalesce(w.weather_type_key, CAST({UNKNOWN_KEY} AS BIGINT)) END AS weather_type_key,
+  g.temperature_fahrenheit, g.temperature_celsius, g.humidity_percent, g.pressure_hpa, g.wind_speed_mph,
+  TRY_CAST(trunc(g.wind_direction_degrees) AS INTEGER) AS wind_direction_degrees, g.precipitation_mm,
+  round(g.visibility_miles * 1.60934, 2) AS visibility_km,
+  TRY_CAST(trunc(g.cloud_cover_percent) AS INTEGER) AS cloud_cover_percent, CAST(NULL AS DOUBLE) AS uv_index,
+  g.heat_index, g.wind_chill, g.temperature_anomaly AS temp_anomaly, g.temp_anomaly_score,
+  g.is_extreme_weather, g.is_heatwave, g.is_extreme_cold, g.is_high_wind, g.is_heavy_precipitation,
+  'openweathermap' AS source, coalesce(g.{quality}, 'PASSED') AS quality_flag
+FROM {src} g
+LEFT JOIN dim_location l1 ON g.city = l1.city AND g.country = l1.country
+LEFT JOIN (SELECT city, max(location_key) AS k2 FROM dim_location GROUP BY city) l2 ON g.city = l2.city
+LEFT JOIN dim_time t ON date_trunc('hour', g.timestamp) = t.full_timestamp
+LEFT JOIN dim_weather_type w ON trim(g.weather_condition) = w.condition
+WHERE coalesce(l1.location_key, l2.k2) IS NOT NULL"""
+
+
+cte("dim_location", ["gold_a"], dim_location_sql("gold_a"))
+cte("dim_time", ["gold_a"], wh.dim_time_sql(
+    "SELECT min(date_trunc('hour', timestamp)) AS s, max(date_trunc('hour', timestamp)) AS e FROM gold_a"))
+cte("dim_weather_type", ["gold_a"], dim_weather_type_sql("gold_a"))
+cte("fact", ["gold_a", "dim_location", "dim_time", "dim_weather_type"], fact_sql("gold_a"))
