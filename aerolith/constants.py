@@ -264,3 +264,46 @@ def city_catalogue_rows():
         city, country, continent, region, lat, lon = line.split(",")
         rows.append((city, country, continent, region, float(lat), float(lon)))
     return rows
+
+# ---------------------------------------------------------------------------
+# FIXED VALUES: document and brief templates as (literal text, column) pieces.
+# A column printed as the application prints it (see functions.text.shown).
+# ---------------------------------------------------------------------------
+DOC_TEMPLATE_API = [
+    ("City: ", "city"), (", State: ", "state"), (". Temperature: ", "temperature_fahrenheit"),
+    ("°F (", "temperature_celsius"), ("°C). Humidity: ", "humidity_percent"),
+    ("%. Wind Speed: ", "wind_speed_mph"), (" mph. Pressure: ", "pressure_hpa"),
+    (" hPa. Heat Index: ", "heat_index"), ("°F. Wind Chill: ", "wind_chill"),
+    ("°F. Weather: ", "weather_condition"), (". Cloud Cover: ", "cloud_cover_percent"),
+    ("%. Extreme: ", "_extreme_yes"), (". Anomaly Score: ", "temp_anomaly_score"), (".", None),
+]
+
+ANOMALY_BRIEF_TEMPLATE = [
+    ("- City: ", "city"), (", ", "state"), ("\n- Country: ", "country"), ("\n- Continent: ", "continent"),
+    ("\n- Current Temperature: ", "temperature_fahrenheit"),
+    ("°F\n- City Average Temperature: ", "city_avg_temp"),
+    ("°F\n- Temperature Anomaly: ", "temperature_anomaly"),
+    ("°F from average\n- Anomaly Score: ", "temp_anomaly_score"),
+    (" standard deviations\n- Humidity: ", "humidity_percent"), ("%\n- Pressure: ", "pressure_hpa"),
+    (" hPa\n- Wind Speed: ", "wind_speed_mph"), (" mph\n- Heat Index: ", "heat_index"),
+    ("°F\n- Season: ", "season"), ("\n- Extreme Weather Flags: Heatwave=", "is_heatwave"),
+    (", \n  Extreme Cold=", "is_extreme_cold"), (", \n  High Wind=", "is_high_wind"), ("", None),
+]
+
+CITY_BRIEF_TEMPLATE = [
+    ("- City: ", "city"), (", ", "state"), ("\n- Country: ", "country"), ("\n- Continent: ", "continent"),
+    ("\n- Temperature: ", "temperature_fahrenheit"), ("°F (", "temperature_celsius"),
+    ("°C)\n- Humidity: ", "humidity_percent"), ("%\n- Wind Speed: ", "wind_speed_mph"),
+    (" mph\n- Pressure: ", "pressure_hpa"), (" hPa\n- Heat Index: ", "heat_index"),
+    ("°F\n- Wind Chill: ", "wind_chill"), ("°F\n- Weather Condition: ", "weather_condition"),
+    ("\n- Extreme Weather Flag: ", "_extreme_upper"), ("\n- Temperature Anomaly Score: ", "temp_anomaly_score"),
+    ("\n- Temperature Anomaly: ", "temperature_anomaly"), ("°F\n- Season: ", "season"), ("", None),
+]
+
+# batch report line: "- {city}, {country}: {T}°F, Humidity {H}%, {⚠️ EXTREME | Normal}"
+BATCH_LINE_TEMPLATE = [
+    ("- ", "city"), (", ", "country"), (": ", "temperature_fahrenheit"), ("°F, Humidity ", "humidity_percent"),
+    ("%, ", "_extreme_tag"), ("", None),
+]
+EXTREME_TAG = "⚠️ EXTREME"
+BATCH_REPORT_LIMIT = 30

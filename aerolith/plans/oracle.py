@@ -42,12 +42,37 @@ def _order(names) -> list[str]:
     return out
 
 
+def positive_zero_rounding(text: str) -> str:
+    """Rewrite every ``round(a, n)`` as ``(round(a, n) + 0.0)``.
+
+    Spark rounds through BigDecimal and never yields -0.0; DuckDB's double round
+    does (round(-0.04, 1)). Adding 0.0 maps -0.0 to 0.0 and leaves all else alone.
+    """
+    out, i, key = [], 0, "round("
+    while True:
+        j = text.find(key, i)
+        if j < 0 or (j > 0 and (text[j - 1].isalnum() or text[j - 1] == "_")):
+            if j < 0:
+                out.append(text[i:])
+                return "".join(out)
+            out.append(text[i:j + len(key)])
+            i = j + len(key)
+            continue
+        depth, k = 1, j + len(key)
+        while depth:
+            depth += {"(": 1, ")": -1}.get(text[k], 0)
+            k += 1
+        inner = positive_zero_rounding(text[j + len(key):k - 1])
+        out.append(text[i:j] + f"(round({inner}) + 0.0)")
+        i = k
+
+
 def sql(body: str, *needs: str) -> str:
     names = _order(needs)
-    if not names:
-        return body
-    parts = ",\n".join(f"{n} AS (\n{_CTES[n][1]}\n)" for n in names)
-    return f"WITH {parts}\n{body}"
+    if names:
+        parts = ",\n".join(f"{n} AS (\n{_CTES[n][1]}\n)" for n in names)
+        body = f"WITH {parts}\n{body}"
+    return positive_zero_rounding(body)
 
 
 # --- readings and the Silver layers -----------------------------------------

@@ -36,9 +36,9 @@ def _norm(v):
     if isinstance(v, float):
         if math.isnan(v):
             return None
-        return float(f"{v:.9g}")
+        return repr(float(f"{v:.9g}"))
     if isinstance(v, decimal.Decimal):
-        return float(f"{float(v):.9g}")
+        return repr(float(f"{float(v):.9g}"))
     if isinstance(v, bool):
         return int(v)
     if isinstance(v, (dt.datetime, dt.date)):
