@@ -140,17 +140,17 @@ def q_windy(spark, d):
 def _now(flag_col: str | None, fallback):
     def q(spark, d):
         lt = latest(spark, d)
-        cond = (F.col(flag_col) == 1) if flag_col in lt.columns else fallback
+        cond = (F.col(flag_col) == 1) if flag_col in lt.columns else fallback()
         return lt.filter(cond).select("city", "country", F.round(T, 1).alias("temperature_f"))
     return q
 
 
 register("extreme_now", sql(f"SELECT city, country, round({T}, 1) AS temperature_f FROM latest_a "
-                            "WHERE is_extreme_weather = 1", "latest_a"))(_now("is_extreme_weather", None))
+                            "WHERE is_extreme_weather = 1", "latest_a"))(_now("is_extreme_weather", lambda: F.lit(False)))
 register("heatwave_now", sql(f"SELECT city, country, round({T}, 1) AS temperature_f FROM latest_a "
-                             "WHERE is_heatwave = 1", "latest_a"))(_now("is_heatwave", F.col(T) > 100))
+                             "WHERE is_heatwave = 1", "latest_a"))(_now("is_heatwave", lambda: F.col(T) > 100))
 register("extreme_cold_now", sql(f"SELECT city, country, round({T}, 1) AS temperature_f FROM latest_a "
-                                 "WHERE is_extreme_cold = 1", "latest_a"))(_now("is_extreme_cold", F.col(T) < 10))
+                                 "WHERE is_extreme_cold = 1", "latest_a"))(_now("is_extreme_cold", lambda: F.col(T) < 10))
 
 _ANOM_THRESHOLD = 1.5
 
