@@ -128,7 +128,7 @@ def normalize_current_weather(topic: DataFrame) -> DataFrame:
     p = topic.select("*", F.from_json("payload", CURRENT_WEATHER).alias("p"))
     req = (F.col("p.main.temp").isNotNull() & F.col("p.main.humidity").isNotNull()
            & F.col("p.main.pressure").isNotNull() & F.col("p.wind.speed").isNotNull()
-           & F.col("p.weather")[0]["main"].isNotNull() & F.col("p.weather")[0]["description"].isNotNull()
+           & F.get(F.col("p.weather"), 0)["main"].isNotNull() & F.get(F.col("p.weather"), 0)["description"].isNotNull()
            & F.col("p.clouds.all").isNotNull())
     spark = topic.sparkSession
     cat = literal_broadcast(spark.createDataFrame(
@@ -150,8 +150,8 @@ def normalize_current_weather(topic: DataFrame) -> DataFrame:
         F.col("p.main.pressure").alias("pressure_hpa"),
         F.round("p.wind.speed", 2).alias("wind_speed_mph"),
         F.coalesce(F.col("p.wind.deg"), F.lit(0.0)).alias("wind_direction_degrees"),
-        F.col("p.weather")[0]["main"].alias("weather_condition"),
-        F.col("p.weather")[0]["description"].alias("weather_description"),
+        F.get(F.col("p.weather"), 0)["main"].alias("weather_condition"),
+        F.get(F.col("p.weather"), 0)["description"].alias("weather_description"),
         F.col("p.clouds.all").alias("cloud_cover_percent"),
         F.round(F.coalesce(F.col("p.visibility"), F.lit(10000)).cast("double") / METERS_PER_MILE, 2)
          .alias("visibility_miles"),
