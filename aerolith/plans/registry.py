@@ -25,5 +25,5 @@ def register(name: str, oracle: str | None = None):
 
 def load_all() -> dict:
     """Import every module that registers queries."""
-    from aerolith.plans import catalog, q_layers, q_serving, q_sources, q_text, q_warehouse  # noqa: F401
+    from aerolith.plans import catalog, q_layers, q_ml, q_serving, q_sources, q_text, q_warehouse  # noqa: F401
     return QUERIES
