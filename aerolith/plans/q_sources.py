@@ -184,3 +184,19 @@ def q_raw_processed(spark, d):
         F.count(F.lit(1)).alias("processed_rows"),
         F.count(F.when(F.col("message_id").isNotNull(), 1)).alias("processed_with_raw"))
     return r.withColumn("_k", F.lit(1)).join(p.withColumn("_k", F.lit(1)), "_k").drop("_k")
+
+
+# --- Avro ---------------------------------------------------------------------------
+from aerolith.sources import avro  # noqa: E402
+
+_AVRO_COLS = ", ".join(
+    f"strftime({n}, '{pl.ISO_MICRO_DUCK}') AS {n}" if n in ("timestamp", "ingestion_timestamp") else n
+    for n, _ in READING_FIELDS)
+_AVRO_REQUIRED = " AND ".join(f"{n} IS NOT NULL" for n, _ in READING_FIELDS if n not in ("state",))
+
+
+@register("decode_avro_payload", sql(f"""SELECT reading_id AS message_id, {_AVRO_COLS} FROM readings
+WHERE reading_id % {avro.GARBAGE_EVERY} <> 0 AND {_AVRO_REQUIRED}""", "readings"))
+def q_avro(spark, d):
+    """Producer twin (Avro, half behind a registry header, some garbage) decoded back."""
+    return avro.decode_avro_payload(avro.avro_topic(readings(spark, d)))

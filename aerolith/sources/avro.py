@@ -1,0 +1,178 @@
+"""Avro payloads of the flat reading (schemaless, optionally behind a 5-byte registry header).
+
+``decode_avro_payload`` uses Spark's ``from_avro`` when the spark-avro package is
+on the classpath. Without it, a ``mapInPandas`` fallback decodes the fixed
+20-field layout (strings, doubles, one nullable string) batch by batch.
+"""
+
+from __future__ import annotations
+
+import json
+import struct
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from aerolith.schemas import AVRO_NULLABLE, READING, READING_FIELDS
+
+HEADER_LEN = 5
+GARBAGE_EVERY = 101
+HEADER_EVERY = 2
+
+AVRO_SCHEMA_JSON = json.dumps({
+    "type": "record", "name": "WeatherReading", "namespace": "weather",
+    "fields": [{"name": n, "type": (["null", "string"] if n in AVRO_NULLABLE else
+                                    ("double" if t.typeName() == "double" else "string"))}
+               for n, t in READING_FIELDS],
+})
+
+
+# --- codec -------------------------------------------------------------------------
+
+def _zigzag(n: int) -> bytes:
+    z = (n << 1) ^ (n >> 63)
+    out = bytearray()
+    while True:
+        b = z & 0x7F
+        z >>= 7
+        if z:
+            out.append(b | 0x80)
+        else:
+            out.append(b)
+            return bytes(out)
+
+
+def encode_record(rec: dict) -> bytes | None:
+    """Schemaless Avro of one reading; None when a non-nullable field is null (not producible)."""
+    out = bytearray()
+    for name, typ in READING_FIELDS:
+        v = rec.get(name)
+        if name in AVRO_NULLABLE:
+            if v is None:
+                out += _zigzag(0)
+                continue
+            out += _zigzag(1)
+        elif v is None or (isinstance(v, float) and v != v):
+            return None
+        if typ.typeName() == "double":
+            out += struct.pack("<d", float(v))
+        else:
+            b = str(v).encode("utf-8")
+            out += _zigzag(len(b)) + b
+    return bytes(out)
+
+
+def _read_long(buf: bytes, pos: int) -> tuple[int, int]:
+    shift, z = 0, 0
+    while True:
+        if pos >= len(buf) or shift > 63:
+            raise ValueError("truncated varint")
+        b = buf[pos]
+        pos += 1
+        z |= (b & 0x7F) << shift
+        shift += 7
+        if not b & 0x80:
+            return (z >> 1) ^ -(z & 1), pos
+
+
+def decode_record(buf: bytes, pos: int = 0) -> dict:
+    """Strict decode: every field must parse and the message must end exactly after the record."""
+    rec = {}
+    for name, typ in READING_FIELDS:
+        if name in AVRO_NULLABLE:
+            idx, pos = _read_long(buf, pos)
+            if idx == 0:
+                rec[name] = None
+                continue
+            if idx != 1:
+                raise ValueError("bad union index")
+        if typ.typeName() == "double":
+            if pos + 8 > len(buf):
+                raise ValueError("truncated double")
+            rec[name] = struct.unpack_from("<d", buf, pos)[0]
+            pos += 8
+        else:
+            n, pos = _read_long(buf, pos)
+            if n < 0 or pos + n > len(buf):
+                raise ValueError("bad string length")
+            rec[name] = bytes(buf[pos:pos + n]).decode("utf-8")
+            pos += n
+    if pos != len(buf):
+        raise ValueError("trailing bytes")
+    return rec
+
+
+def decode_message(buf) -> dict | None:
+    """Plain schemaless first, then behind the 5-byte registry header; else undecodable."""
+    if buf is None:
+        return None
+    buf = bytes(buf)
+    for start in (0, HEADER_LEN):
+        try:
+            return decode_record(buf, start)
+        except (ValueError, UnicodeDecodeError, struct.error):
+            continue
+    return None
+
+
+# --- DataFrame operators ----------------------------------------------------------
+
+def avro_topic(readings: DataFrame) -> DataFrame:
+    """Producer twin: Avro bytes per producible reading (some behind a header, some garbage)."""
+    from aerolith.sources.payloads import ISO_MICRO_SPARK
+    cols = [F.date_format(n, ISO_MICRO_SPARK).alias(n) if n in ("timestamp", "ingestion_timestamp")
+            else F.col(n) for n, _ in READING_FIELDS]
+    src = readings.select("reading_id", *cols)
+
+    def encode(batches):
+        for pdf in batches:
+            ids, vals = [], []
+            for rec in pdf.to_dict("records"):
+                rid = int(rec["reading_id"])
+                if rid % GARBAGE_EVERY == 0:
+                    b = b"\x07garbage"
+                else:
+                    b = encode_record({k: (None if isinstance(v, float) and v != v else v) for k, v in rec.items()})
+                    if b is None:
+                        continue
+                    if rid % HEADER_EVERY == 1:
+                        b = b"\x00" + struct.pack(">I", 1) + b
+                ids.append(rid)
+                vals.append(b)
+            yield pd.DataFrame({"message_id": pd.Series(ids, dtype="int64"), "value": pd.Series(vals, dtype=object)})
+
+    return src.mapInPandas(encode, "message_id long, value binary")
+
+
+def _from_avro_available(df: DataFrame) -> bool:
+    try:
+        from pyspark.sql.avro.functions import from_avro
+        df.select(from_avro(F.col("value"), AVRO_SCHEMA_JSON)).schema  # analysis needs the JVM classes
+        return True
+    except Exception:
+        return False
+
+
+def decode_avro_payload(topic: DataFrame) -> DataFrame:
+    """value (Avro bytes) -> ``message_id`` + 20 typed columns; undecodable messages dropped."""
+    if _from_avro_available(topic):
+        from pyspark.sql.avro.functions import from_avro
+        opts = {"mode": "PERMISSIVE"}
+        plain = from_avro(F.col("value"), AVRO_SCHEMA_JSON, opts)
+        headed = from_avro(F.expr(f"substring(value, {HEADER_LEN + 1})"), AVRO_SCHEMA_JSON, opts)
+        d = topic.select("message_id", F.coalesce(plain, headed).alias("r"))
+        return d.filter(F.col("r").isNotNull()).select("message_id", "r.*")
+    out_schema = "message_id long, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in READING.fields)
+    names = [f.name for f in READING.fields]
+
+    def decode(batches):
+        for pdf in batches:
+            rows = []
+            for mid, val in zip(pdf["message_id"], pdf["value"]):
+                rec = decode_message(val)
+                if rec is not None:
+                    rows.append([int(mid)] + [rec[n] for n in names])
+            yield pd.DataFrame(rows, columns=["message_id"] + names)
+
+    return topic.select("message_id", "value").mapInPandas(decode, out_schema)
