@@ -69,9 +69,18 @@ def anomaly_sql(p: Profile) -> tuple[str, str]:
     return anom, score
 
 
-def with_city_anomalies(df: DataFrame, p: Profile, with_humidity: bool = True) -> DataFrame:
-    """Join per-city statistics back and derive anomaly and score columns."""
+def with_city_anomalies(df: DataFrame, p: Profile, with_humidity: bool = True,
+                        stats_hook=None) -> DataFrame:
+    """Join per-city statistics back and derive anomaly and score columns.
+
+    ``stats_hook`` may materialise the (one row per city) statistics table; the
+    planner then knows its real size and broadcasts it when small, so the
+    readings are never shuffled by city (no skew on a hot city), and the input
+    is not recomputed for the second branch of the join.
+    """
     stats = city_statistics(df, p, with_humidity)
+    if stats_hook is not None:
+        stats = stats_hook(stats)
     out = df.join(stats, "city", "left")
     out = out.withColumn("temperature_anomaly", temperature_anomaly(p))
     return out.withColumn("temp_anomaly_score", anomaly_score(p))

@@ -12,7 +12,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aerolith.operators.hints import bounded_broadcast
 
 MAX_QUERIES = 100_000
 
@@ -42,13 +41,19 @@ def cosine_top_k(items: DataFrame, queries: DataFrame, k: int, item_id: str = "v
                  vec: str = "embedding") -> DataFrame:
     """(query_id, rank, item_id, score): the k items most cosine-similar to each query.
 
-    The query set is size-checked (at most ``MAX_QUERIES``), folded into one
-    array row and broadcast; each item computes its score against every query in
+    The query set is folded into one array row whose length is checked at run
+    time (at most ``MAX_QUERIES``) and broadcast; each item computes its score against every query in
     one expression, so there is no pair table and no nested-loop join.
     """
     q = queries.select("query_id", as_double_array("query_vec").alias("q"))
-    q = bounded_broadcast(q.select("query_id", "q", norm(F.col("q")).alias("qn")), MAX_QUERIES)
-    qset = q.agg(F.collect_list(F.struct("query_id", "q", "qn")).alias("_qs")).withColumn("_k", F.lit(1))
+    q = q.select("query_id", "q", norm(F.col("q")).alias("qn"))
+    qs = F.collect_list(F.struct("query_id", "q", "qn"))
+    # the broadcast row is bounded: more than MAX_QUERIES queries fails the job instead of
+    # shipping an unbounded array to every executor
+    qset = (q.agg(qs.alias("_qs"))
+             .select(F.when(F.size("_qs") <= MAX_QUERIES, F.col("_qs"))
+                      .otherwise(F.raise_error(F.lit(f"more than {MAX_QUERIES} query vectors"))).alias("_qs"))
+             .withColumn("_k", F.lit(1)))
     it = items.select(item_id, as_double_array(vec).alias("v"))
     it = it.select(item_id, "v", norm(F.col("v")).alias("vn"), F.lit(1).alias("_k"))
     scored = (it.join(F.broadcast(qset), "_k")

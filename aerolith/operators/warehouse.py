@@ -222,6 +222,9 @@ def build_fact(gold: DataFrame, dim_loc: DataFrame, dim_t: DataFrame, dim_wt: Da
 def star(gold: DataFrame, persist: bool = True) -> dict[str, DataFrame]:
     """Dimensions (materialised) and the fact, spanning the data's hours."""
     spark = gold.sparkSession
+    if persist:
+        # the warehouse loads from the written Gold layer: compute Gold once, not once per dimension
+        gold = materialize(gold, "gold")
     ts = "timestamp" if "timestamp" in gold.columns else "reading_timestamp"
     loc = dim_location(gold)
     tim = dim_time(spark, F.min(F.date_trunc("hour", F.col(ts).cast("timestamp_ntz"))),

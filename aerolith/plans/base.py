@@ -1,11 +1,19 @@
-"""Shared plan inputs, built lazily per call."""
+"""Shared plan inputs.
+
+``silver_a`` / ``silver_b`` are the lazy Bronze -> Silver plans. Gold is built, as
+in a medallion pipeline, from the *written* Silver layer (a parquet table under
+the shared checkpoint folder, written once per application): Gold then starts
+from a column-pruned, filter-pushed scan instead of recomputing the
+de-duplication shuffle for each branch of its plan.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from aerolith.operators.warehouse import materialize
 from aerolith.plans import medallion
-from aerolith.sources.tables import readings
+from aerolith.sources.tables import memo, readings
 
 
 def bronze(spark: SparkSession, d: str) -> DataFrame:
@@ -13,16 +21,30 @@ def bronze(spark: SparkSession, d: str) -> DataFrame:
 
 
 def silver_a(spark: SparkSession, d: str) -> DataFrame:
-    return medallion.silver_a(readings(spark, d))
+    return memo(spark, "silver_a", d)(lambda: medallion.silver_a(readings(spark, d)))
+
+
+def silver_a_layer(spark: SparkSession, d: str) -> DataFrame:
+    return memo(spark, "silver_a_layer", d)(lambda: materialize(silver_a(spark, d), "silver_a"))
+
+
+def silver_b_layer(spark: SparkSession, d: str) -> DataFrame:
+    return memo(spark, "silver_b_layer", d)(lambda: materialize(silver_b(spark, d), "silver_b"))
+
+
+def _stats_table(name: str):
+    return lambda stats: materialize(stats, name)
 
 
 def gold_a(spark: SparkSession, d: str) -> DataFrame:
-    return medallion.gold_a(silver_a(spark, d))
+    return memo(spark, "gold_a", d)(
+        lambda: medallion.gold_a(silver_a_layer(spark, d), stats_hook=_stats_table("city_stats_a")))
 
 
 def silver_b(spark: SparkSession, d: str) -> DataFrame:
-    return medallion.silver_b(readings(spark, d))
+    return memo(spark, "silver_b", d)(lambda: medallion.silver_b(readings(spark, d)))
 
 
 def gold_b(spark: SparkSession, d: str) -> DataFrame:
-    return medallion.gold_b(silver_b(spark, d))
+    return memo(spark, "gold_b", d)(
+        lambda: medallion.gold_b(silver_b_layer(spark, d), stats_hook=_stats_table("city_stats_b")))

@@ -24,14 +24,14 @@ def silver_a(bronze: DataFrame, stamp: bool = False) -> DataFrame:
     return df
 
 
-def gold_a(silver: DataFrame, stamp: bool = False) -> DataFrame:
+def gold_a(silver: DataFrame, stamp: bool = False, stats_hook=None) -> DataFrame:
     """VALID rows -> heat index, wind chill, extreme flags, time features, city anomalies."""
     df = clean.valid_only(silver)
     df = features.add_heat_index(df, PROFILE_A)
     df = features.add_wind_chill(df, PROFILE_A)
     df = df.withColumns(wx.extreme_flags_a())
     df = df.withColumns(cal.time_features_a())
-    df = features.with_city_anomalies(df, PROFILE_A)
+    df = features.with_city_anomalies(df, PROFILE_A, stats_hook=stats_hook)
     if stamp:
         df = df.withColumn("gold_loaded_at", F.current_timestamp())
     return df
@@ -49,7 +49,7 @@ def silver_b(bronze: DataFrame, stamp: bool = False) -> DataFrame:
     return df.withColumn("reading_date", F.to_date(ts) if ts else F.current_date())
 
 
-def gold_b(silver: DataFrame) -> DataFrame:
+def gold_b(silver: DataFrame, stats_hook=None) -> DataFrame:
     """Column-adaptive feature chain of the orchestrated variant, nulls -> 0 at the end."""
     df = clean.celsius_backfill(silver, "B")
     cols = set(df.columns)
@@ -58,7 +58,7 @@ def gold_b(silver: DataFrame) -> DataFrame:
     if {"temperature_fahrenheit", "wind_speed_mph"} <= cols:
         df = features.add_wind_chill(df, PROFILE_B)
     if {"city", "temperature_fahrenheit"} <= cols:
-        df = features.with_city_anomalies(df, PROFILE_B, with_humidity=False)
+        df = features.with_city_anomalies(df, PROFILE_B, with_humidity=False, stats_hook=stats_hook)
     ts = clean.first_timestamp_column(df)
     if ts:
         df = df.withColumns(cal.time_features_b(ts))

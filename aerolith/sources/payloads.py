@@ -50,13 +50,25 @@ def parse_json(value: Column, schema: StructType) -> Column:
                        {"columnNameOfCorruptRecord": CORRUPT})
 
 
+def parse_once(df: DataFrame, parsed: Column, alias: str) -> DataFrame:
+    """Attach a parsed struct evaluated exactly once per row.
+
+    Catalyst pushes filters through projections by substituting the projected
+    expression, so every predicate on a parsed field would re-run the parser.
+    A one-element ``explode`` is a Generate node: predicates on its output stay
+    above it, and the parser runs once per message.
+    """
+    return df.select("*", F.explode(F.array(parsed)).alias(alias))
+
+
 def well_formed(parsed: str) -> Column:
     return F.col(parsed).isNotNull() & F.col(f"{parsed}.{CORRUPT}").isNull()
 
 
 def decode_json_payload(topic: DataFrame) -> DataFrame:
     """value (JSON string) -> simple reading columns; malformed messages dropped."""
-    parsed = topic.select("message_id", parse_json(F.col("value").cast("string"), SIMPLE_READING).alias("m"))
+    parsed = parse_once(topic.select("message_id", "value"), parse_json(F.col("value").cast("string"),
+                                                                        SIMPLE_READING), "m")
     return parsed.filter(well_formed("m")).select("message_id", *[f"m.{f.name}" for f in SIMPLE_READING.fields])
 
 
@@ -68,8 +80,8 @@ def processor_clean(topic: DataFrame) -> DataFrame:
     are told apart from nulls by parsing the message a second time as a map.
     """
     v = F.col("value").cast("string")
-    parsed = topic.select("message_id", parse_json(v, SIMPLE_READING).alias("m"),
-                          F.from_json(v, "map<string,string>").alias("k"))
+    both = F.struct(parse_json(v, SIMPLE_READING).alias("m"), F.from_json(v, "map<string,string>").alias("k"))
+    parsed = parse_once(topic.select("message_id", "value"), both, "_p").select("message_id", "_p.m", "_p.k")
     parsed = parsed.filter(well_formed("m"))
 
     def get(name, default):
@@ -125,7 +137,7 @@ def normalize_current_weather(topic: DataFrame) -> DataFrame:
     City attributes come from the fixed catalogue when the city is in it (a
     broadcast of 80 literal rows), else from the message envelope.
     """
-    p = topic.select("*", F.from_json("payload", CURRENT_WEATHER).alias("p"))
+    p = parse_once(topic, F.from_json("payload", CURRENT_WEATHER), "p")
     req = (F.col("p.main.temp").isNotNull() & F.col("p.main.humidity").isNotNull()
            & F.col("p.main.pressure").isNotNull() & F.col("p.wind.speed").isNotNull()
            & F.get(F.col("p.weather"), 0)["main"].isNotNull() & F.get(F.col("p.weather"), 0)["description"].isNotNull()
@@ -185,7 +197,8 @@ def normalize_forecast_period(topic: DataFrame) -> DataFrame:
     and any pressure above 100 is divided by 100 (so the default becomes 10.13,
     as in the application); precipitation is 0.
     """
-    p = topic.select("message_id", "location", "observed_at", F.from_json("payload", FORECAST_PERIOD).alias("p"))
+    p = parse_once(topic.select("message_id", "location", "observed_at", "payload"),
+                   F.from_json("payload", FORECAST_PERIOD), "p")
     ws = F.col("p.windSpeed")
     wind = F.when(ws.isNull() | (ws == ""), F.lit(0.0)).otherwise(
         F.split(ws, " ", 2)[0].try_cast("double"))

@@ -37,7 +37,8 @@ def file_source(spark: SparkSession, path: str, schema: str = "message_id long,
 
 def decode_reading_json(messages: DataFrame) -> DataFrame:
     """value (flat reading JSON) -> 20 typed columns; undecodable messages dropped."""
-    parsed = messages.select(payloads.parse_json(F.col("value").cast("string"), READING).alias("data"))
+    parsed = payloads.parse_once(messages.select("value"),
+                                 payloads.parse_json(F.col("value").cast("string"), READING), "data")
     return parsed.filter(payloads.well_formed("data")).select(*[f"data.{f.name}" for f in READING.fields])
 
 
