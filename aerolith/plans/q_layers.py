@@ -182,9 +182,13 @@ def q_safe_cast(spark, d):
                     safe_double("weather_condition").alias("condition_as_double"))
 
 
-@register("adaptive_columns")
+@register("adaptive_columns", sql(
+    "SELECT reading_id, round((temperature_fahrenheit - 32) * 5 / 9, 2) AS temperature_celsius, "
+    "CAST(0.0 AS DOUBLE) AS visibility_km, 0 AS is_heavy_precipitation, "
+    "CAST(hour(timestamp) AS INTEGER) AS hour_of_day FROM silver_b", "silver_b"))
 def q_adaptive(spark, d):
-    """Variant B rules applied to a layer missing optional inputs (rows-only check)."""
+    """Variant B rules on a layer lacking celsius, visibility and precipitation, whose time
+    column is ``reading_timestamp``: each rule adapts to the columns present."""
     df = readings(spark, d).drop("temperature_celsius", "visibility_miles", "precipitation_mm") \
         .withColumnRenamed("timestamp", "reading_timestamp")
     return medallion.gold_b(medallion.silver_b(df)).select(
