@@ -76,16 +76,17 @@ def processor_clean(topic: DataFrame) -> DataFrame:
     """Variant C row processor: defaults for *missing* keys, clamps, heat index, extreme flag.
 
     A key that is present with a null temperature, humidity or wind speed makes
-    the application's arithmetic fail, so that message is skipped. Missing keys
-    are told apart from nulls by parsing the message a second time as a map.
+    the application's arithmetic fail, so that message is skipped. The message
+    is parsed once, as a map: key presence tells missing from null, and values
+    are cast to their types (an unparseable value becomes null).
     """
     v = F.col("value").cast("string")
-    both = F.struct(parse_json(v, SIMPLE_READING).alias("m"), F.from_json(v, "map<string,string>").alias("k"))
-    parsed = parse_once(topic.select("message_id", "value"), both, "_p").select("message_id", "_p.m", "_p.k")
-    parsed = parsed.filter(well_formed("m"))
+    parsed = parse_once(topic.select("message_id", "value"), F.from_json(v, "map<string,string>"), "k")
+    parsed = parsed.filter(F.col("k").isNotNull())
 
-    def get(name, default):
-        return F.when(F.map_contains_key("k", name), F.col(f"m.{name}")).otherwise(F.lit(default))
+    def get(name, default, typ="double"):
+        val = F.col("k")[name] if typ == "string" else F.col("k")[name].try_cast(typ)
+        return F.when(F.map_contains_key("k", name), val).otherwise(F.lit(default))
 
     t, h, w = get("temperature", 70.0), get("humidity", 50.0), get("wind_speed", 0.0)
     ok = t.isNotNull() & h.isNotNull() & w.isNotNull()
@@ -93,8 +94,8 @@ def processor_clean(topic: DataFrame) -> DataFrame:
     h_c = F.greatest(F.lit(0.0), F.least(F.lit(100.0), h))
     w_c = F.greatest(F.lit(0.0), w)
     out = parsed.filter(ok).select(
-        "message_id", F.col("m.timestamp").alias("timestamp"),
-        get("location", "Unknown").alias("location"),
+        "message_id", F.col("k")["timestamp"].alias("timestamp"),
+        get("location", "Unknown", "string").alias("location"),
         t_c.alias("temperature"), h_c.alias("humidity"), w_c.alias("wind_speed"),
         get("pressure", 1013.0).alias("pressure"), get("precipitation", 0.0).alias("precipitation"))
     return out.select("*", wx.heat_index(PROFILE_C, "temperature", "humidity").alias("heat_index"),

@@ -43,9 +43,13 @@ def decode_reading_json(messages: DataFrame) -> DataFrame:
 
 
 def bronze(decoded: DataFrame) -> DataFrame:
-    """Stamp load time and the partition column (date of the reading timestamp)."""
+    """Stamp load time and the partition column (date of the reading timestamp).
+
+    Timestamps are ISO-8601 strings in UTC, so the date is their first ten
+    characters: independent of the session time zone and of parser policies.
+    """
     return (decoded.withColumn("bronze_loaded_at", F.current_timestamp())
-                   .withColumn("ingestion_date", F.to_date(F.try_to_timestamp(F.col("timestamp")))))
+                   .withColumn("ingestion_date", F.try_to_date(F.substring("timestamp", 1, 10), "yyyy-MM-dd")))
 
 
 def start_parquet_sink(df: DataFrame, path: str, checkpoint: str, partition_by: str | None = None,
