@@ -9,6 +9,13 @@ from aerolith.functions.numeric import col_
 from aerolith.profiles import Profile
 
 
+def hour_floor(ts) -> Column:
+    """Start of the hour as TIMESTAMP_NTZ, independent of the session time zone
+    (``date_trunc`` returns a zoned timestamp)."""
+    t = col_(ts)
+    return F.make_timestamp_ntz(F.year(t), F.month(t), F.dayofmonth(t), F.hour(t), F.lit(0), F.lit(0))
+
+
 def season(month) -> Column:
     m = col_(month)
     return (F.when(m.isin(12, 1, 2), F.lit("Winter"))

@@ -83,7 +83,8 @@ def stratified_split(df: DataFrame, label: str = LABEL, id_col: str = "reading_i
 def chronological_split(df: DataFrame, key: str = "city", ts: str = "timestamp", id_col: str = "reading_id",
                         fraction: float = 0.8) -> DataFrame:
     """Per city, the first 80% of readings in time order are train (no shuffling of time)."""
-    return ordered_split(df, [key], [F.col(ts), F.col(id_col)], F.date_trunc("hour", F.col(ts)), fraction)
+    from aerolith.functions.calendar import hour_floor
+    return ordered_split(df, [key], [F.col(ts), F.col(id_col)], hour_floor(ts), fraction)
 
 
 def class_weights(train: DataFrame, label: str = "label") -> DataFrame:
@@ -103,6 +104,9 @@ def with_weights(train: DataFrame, label: str = "label") -> DataFrame:
 # --- per-entity sequences ----------------------------------------------------------
 
 def _segment(ts: str, granularity: str) -> Column:
+    if granularity == "hour":
+        from aerolith.functions.calendar import hour_floor
+        return hour_floor(ts)
     return F.date_trunc(granularity, F.col(ts))
 
 

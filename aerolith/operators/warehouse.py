@@ -71,8 +71,8 @@ def dim_time(spark: SparkSession, start: Column | str, end: Column | str,
     (the calendar then spans the data); otherwise they are timestamp literals.
     """
     if source is None:
-        bounds = spark.range(1).select(F.to_timestamp(F.lit(start)).alias("s"),
-                                       F.to_timestamp(F.lit(end)).alias("e"))
+        bounds = spark.range(1).select(F.to_timestamp_ntz(F.lit(start)).alias("s"),
+                                       F.to_timestamp_ntz(F.lit(end)).alias("e"))
     else:
         bounds = source.agg(start.alias("s"), end.alias("e"))
     hours = bounds.select(F.explode(F.sequence("s", "e", F.expr("INTERVAL 1 HOUR"))).alias("full_timestamp"))
@@ -157,7 +157,7 @@ def join_location(fact: DataFrame, dim_loc: DataFrame) -> DataFrame:
 def join_time(fact: DataFrame, dim_t: DataFrame, ts: str = "timestamp") -> DataFrame:
     """Floor to the hour and match the calendar; out of range -> null key, row kept."""
     hours = dim_t.select(F.col("full_timestamp").alias("_hour"), "time_key")
-    return (fact.withColumn("_hour", F.date_trunc("hour", F.col(ts).cast("timestamp_ntz")))
+    return (fact.withColumn("_hour", cal.hour_floor(F.col(ts).cast("timestamp_ntz")))
                 .join(hours, "_hour", "left").drop("_hour"))
 
 
@@ -227,8 +227,8 @@ def star(gold: DataFrame, persist: bool = True) -> dict[str, DataFrame]:
         gold = materialize(gold, "gold")
     ts = "timestamp" if "timestamp" in gold.columns else "reading_timestamp"
     loc = dim_location(gold)
-    tim = dim_time(spark, F.min(F.date_trunc("hour", F.col(ts).cast("timestamp_ntz"))),
-                   F.max(F.date_trunc("hour", F.col(ts).cast("timestamp_ntz"))), source=gold)
+    h = cal.hour_floor(F.col(ts).cast("timestamp_ntz"))
+    tim = dim_time(spark, F.min(h), F.max(h), source=gold)
     wt = dim_weather_type(gold)
     if persist:
         loc, tim, wt = materialize(loc, "dim_location"), materialize(tim, "dim_time"), \

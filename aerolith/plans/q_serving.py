@@ -215,7 +215,7 @@ def q_dashboard(spark, d):
 
 
 @register("forecast_24h", sql(f"""SELECT city, hour, predicted_temp_f, round((predicted_temp_f - 32) * 5 / 9, 1) AS predicted_temp_c,
-  round(greatest(0.7, 1.0 - hour * 0.01), 2) AS confidence
+  round(greatest(0.7e0, 1.0e0 - hour * 0.01e0), 2) AS confidence
 FROM (SELECT l.city, h.hour, round(l.{T} + sin(h.hour * pi() / 12) * s.sd * 0.3, 1) AS predicted_temp_f
       FROM latest_a l JOIN (SELECT city, CASE WHEN count(*) > 1 THEN stddev_samp({T}) ELSE 2.0 END AS sd
                             FROM gold_a GROUP BY city) s ON l.city = s.city,

@@ -96,7 +96,7 @@ def q_current(spark, d):
   CASE WHEN reading_id % {pl.WIND_MISSING_EVERY} <> 0 THEN CAST(CAST(floor(wind_speed_mph) AS BIGINT) AS DOUBLE)
        ELSE 0.0 END AS wind_speed,
   CASE WHEN pressure_hpa * 100 > 100 THEN pressure_hpa * 100 / 100 ELSE pressure_hpa * 100 END AS pressure,
-  0.0 AS precipitation, coalesce(weather_description, '') AS forecast_text,
+  CAST(0.0 AS DOUBLE) AS precipitation, coalesce(weather_description, '') AS forecast_text,
   hour(timestamp) >= 6 AND hour(timestamp) < 18 AS is_daytime FROM readings""", "readings"))
 def q_forecast_period(spark, d):
     return pl.normalize_forecast_period(pl.forecast_period_topic(readings(spark, d)))

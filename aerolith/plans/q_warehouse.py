@@ -43,7 +43,8 @@ def q_dim_location(spark, d):
 def q_dim_time(spark, d):
     """Hourly calendar spanning the readings (the reference fixes 2025-2026; the range is a parameter)."""
     g = base.gold_a(spark, d)
-    h = F.date_trunc("hour", F.col("timestamp").cast("timestamp_ntz"))
+    from aerolith.functions.calendar import hour_floor
+    h = hour_floor(F.col("timestamp").cast("timestamp_ntz"))
     return wh.dim_time(spark, F.min(h), F.max(h), source=g)
 
 

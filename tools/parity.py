@@ -94,7 +94,8 @@ def main(argv):
     names = [a for a in argv[1:] if not os.path.isdir(a)]
     from aerolith.session import build_session
     from aerolith.plans.registry import load_all
-    spark = build_session()
+    tz = os.environ.get("PARITY_TZ")  # e.g. America/Los_Angeles: results must not depend on it
+    spark = build_session(extra={"spark.sql.session.timeZone": tz} if tz else None)
     con = duck(sf_dir)
     reg = load_all()
     bad = 0
