@@ -16,6 +16,10 @@ HEAT_INDEX_COEFFS = (
 # FIXED VALUES: wind chill  WC = 35.74 + 0.6215*T - 35.75*V^0.16 + 0.4275*T*V^0.16
 WIND_CHILL_COEFFS = (35.74, 0.6215, 35.75, 0.4275, 0.16)
 
+# FIXED VALUES: source tag written on every fact row, and the quality fallback
+SOURCE_TAG = "openweathermap"
+QUALITY_FALLBACK = "PASSED"
+
 # FIXED VALUES: unit conversions
 MILES_TO_KM = 1.60934
 METERS_PER_MILE = 1609.34

@@ -15,7 +15,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolith.constants import CONDITION_CATEGORY, WEATHER_TYPES_DDL
+from aerolith.constants import CONDITION_CATEGORY, QUALITY_FALLBACK, SOURCE_TAG, WEATHER_TYPES_DDL
 from aerolith.functions import calendar as cal
 from aerolith.functions.numeric import safe_double, safe_int
 from aerolith.operators.hints import literal_broadcast
@@ -205,8 +205,8 @@ def fact_columns(df: DataFrame) -> list[Column]:
         else:
             out.append(val(name, typ).alias(name))
     q = [F.col(c) for c in ("quality_flag", "data_quality_flag") if c in cols]
-    out.append(F.lit("openweathermap").alias("source"))
-    out.append(F.coalesce(*q, F.lit("PASSED")).alias("quality_flag") if q else F.lit("PASSED").alias("quality_flag"))
+    out.append(F.lit(SOURCE_TAG).alias("source"))
+    out.append(F.coalesce(*q, F.lit(QUALITY_FALLBACK)).alias("quality_flag"))
     return out
 
 

@@ -134,7 +134,7 @@ cte("latest_a", ["gold_a"], """SELECT * EXCLUDE (_rn) FROM (SELECT *, row_number
   PARTITION BY city ORDER BY timestamp DESC, reading_id DESC) AS _rn FROM gold_a) x WHERE _rn = 1""")
 
 # --- star schema ------------------------------------------------------------
-from aerolith.constants import CONDITION_CATEGORY, WEATHER_TYPES_DDL  # noqa: E402
+from aerolith.constants import CONDITION_CATEGORY, QUALITY_FALLBACK, SOURCE_TAG, WEATHER_TYPES_DDL  # noqa: E402
 from aerolith.operators import warehouse as wh  # noqa: E402
 
 
@@ -172,7 +172,7 @@ def fact_sql(src: str, quality: str = "quality_flag") -> str:
   TRY_CAST(trunc(g.cloud_cover_percent) AS INTEGER) AS cloud_cover_percent, CAST(NULL AS DOUBLE) AS uv_index,
   g.heat_index, g.wind_chill, g.temperature_anomaly AS temp_anomaly, g.temp_anomaly_score,
   g.is_extreme_weather, g.is_heatwave, g.is_extreme_cold, g.is_high_wind, g.is_heavy_precipitation,
-  'openweathermap' AS source, coalesce(g.{quality}, 'PASSED') AS quality_flag
+  '{SOURCE_TAG}' AS source, coalesce(g.{quality}, '{QUALITY_FALLBACK}') AS quality_flag
 FROM {src} g
 LEFT JOIN dim_location l1 ON g.city = l1.city AND g.country = l1.country
 LEFT JOIN (SELECT city, max(location_key) AS k2 FROM dim_location GROUP BY city) l2 ON g.city = l2.city

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from aerolith.constants import SOURCE_TAG
 from aerolith.functions.numeric import exact_avg_sql
 from aerolith.operators import warehouse as wh
 from aerolith.plans import base
@@ -124,7 +125,7 @@ _DQ = [  # (check, SQL scalar over the star, min, max)
                                 "OR temperature_fahrenheit > 140", None, 0),
     ("Null time_key (should be low)", "SELECT count(*) FROM {fact} WHERE time_key IS NULL", None, 50),
     ("Null location_key", "SELECT count(*) FROM {fact} WHERE location_key IS NULL", None, 0),
-    ("Records with source tag", "SELECT count(*) FROM {fact} WHERE source = 'openweathermap'", 1, None),
+    ("Records with source tag", "SELECT count(*) FROM {fact} WHERE source = '" + SOURCE_TAG + "'", 1, None),
 ]
 
 
@@ -152,7 +153,7 @@ def q_dq(spark, d):
          .alias("Temperature range check"),
         F.count(F.when(c("time_key").isNull(), 1)).alias("Null time_key (should be low)"),
         F.count(F.when(c("location_key").isNull(), 1)).alias("Null location_key"),
-        F.count(F.when(c("source") == "openweathermap", 1)).alias("Records with source tag"))
+        F.count(F.when(c("source") == SOURCE_TAG, 1)).alias("Records with source tag"))
     l = loc.agg(F.countDistinct("city").alias("Unique cities"), F.countDistinct("country").alias("Unique countries"))
     melt = lambda df: df.unpivot([], df.columns, "check_name", "value")
     rows = melt(f).unionByName(melt(l))
