@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.functions import calendar as cal
 from aerolith.functions import weather as wx
 from aerolith.functions.numeric import exact_avg, exact_avg_sql
 from aerolith.profiles import Profile

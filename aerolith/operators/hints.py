@@ -1,11 +1,14 @@
 """Join-strategy helpers.
 
-``bounded_broadcast`` broadcasts a side only after proving its size with a bounded
-probe (``limit(max_rows + 1).count()`` reads at most ``max_rows + 1`` rows). Above
-the bound the plain DataFrame is returned and Spark/AQE choose a shuffle join,
-converting it to a broadcast at runtime only if the materialised side is small.
-Use it for inputs read from storage; for sides derived from large aggregations
-rely on AQE (its runtime statistics are the size check, with no extra job).
+Broadcasts in this package rest on a proven size bound, in one of three ways:
+
+* ``literal_broadcast`` for tables built from literal lists in ``constants.py``
+  (their size is fixed in code);
+* file-backed tables (driver tables, written layers, dimensions and statistics
+  tables) are left to the planner, which sizes them from file statistics and
+  broadcasts under ``spark.sql.autoBroadcastJoinThreshold``, else shuffles;
+* a single-row parameter table whose array length is asserted at run time
+  (see ``retrieval.cosine_top_k``).
 """
 
 from __future__ import annotations
@@ -14,11 +17,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
-
 def literal_broadcast(df: DataFrame) -> DataFrame:
     """Broadcast a DataFrame built from a literal list in this package (size fixed in code)."""
     return F.broadcast(df)

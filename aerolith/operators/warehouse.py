@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from aerolith.constants import CONDITION_CATEGORY, QUALITY_FALLBACK, SOURCE_TAG, WEATHER_TYPES_DDL
 from aerolith.functions import calendar as cal
 from aerolith.functions.numeric import safe_double, safe_int
-from aerolith.operators.hints import literal_broadcast
 from aerolith.session import scratch_path
 
 
@@ -233,7 +232,5 @@ def star(gold: DataFrame, persist: bool = True) -> dict[str, DataFrame]:
     if persist:
         loc, tim, wt = materialize(loc, "dim_location"), materialize(tim, "dim_time"), \
             materialize(wt, "dim_weather_type")
-    else:
-        wt = literal_broadcast(wt)
     fact = build_fact(gold, loc, tim, wt)
     return {"dim_location": loc, "dim_time": tim, "dim_weather_type": wt, "fact_weather_readings": fact}

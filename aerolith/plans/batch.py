@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 from aerolith.operators import warehouse as wh
 from aerolith.plans import medallion
 from aerolith.sources import layers
-from aerolith.sources.tables import READING_COLUMNS
 
 
 def _typed_bronze(df: DataFrame) -> DataFrame:
@@ -86,5 +85,3 @@ def audit(df: DataFrame) -> dict:
     r = df.agg(F.count(F.lit(1)).alias("rows"), F.countDistinct("city").alias("cities")).first()
     return {"rows": r["rows"], "cities": r["cities"]}
 
-
-__all__ = ["bronze_to_silver", "silver_to_gold", "gold_to_warehouse", "quality_checks", "READING_COLUMNS"]

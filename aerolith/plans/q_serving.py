@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from aerolith.constants import MAP_COORDS_BY_CITY, US_REGION_BY_CITY
