@@ -311,3 +311,20 @@ BATCH_LINE_TEMPLATE = [
 ]
 EXTREME_TAG = "⚠️ EXTREME"
 BATCH_REPORT_LIMIT = 30
+
+# ---------------------------------------------------------------------------
+# FIXED VALUES: direct answers of the chat application ({place} = "city, country",
+# {t}/{h}/{w} = value rounded to 1 dp, {n} = count, {lines}/{list} as described)
+# ---------------------------------------------------------------------------
+ANSWER_HOTTEST = "🔥 **{place}** has the highest temperature at **{t}°F**.\n\n**Top 5 Hottest:**\n{lines}"
+ANSWER_COLDEST = "🥶 **{place}** has the lowest temperature at **{t}°F**.\n\n**Top 5 Coldest:**\n{lines}"
+ANSWER_TOP_LINE = "  {rank}. **{place}** — {t}°F"            # lines joined by "\n"
+ANSWER_HUMID = "💧 **{place}** — highest humidity at **{h}%** ({t}°F)."
+ANSWER_WINDY = "💨 **{place}** — highest wind at **{w} mph** ({t}°F)."
+ANSWER_LIST_ITEM = "**{place}** ({t}°F)"                      # items joined by ", "
+ANSWER_EXTREME = "⚠️ **{n} extreme event(s):**\n\n{list}"
+ANSWER_EXTREME_NONE = "✅ No extreme weather events detected."
+ANSWER_HEATWAVE = "🔥 **{n} heatwave(s)** (>100°F):\n\n{list}"
+ANSWER_HEATWAVE_NONE = "✅ No heatwave conditions detected."
+ANSWER_COLD = "🥶 **{n} extreme cold** (<10°F):\n\n{list}"
+ANSWER_COLD_NONE = "✅ No extreme cold detected."
