@@ -7,7 +7,8 @@ Broadcasts in this package rest on a proven size bound, in one of three ways:
 * file-backed tables (driver tables, written layers, dimensions and statistics
   tables) are left to the planner, which sizes them from file statistics and
   broadcasts under ``spark.sql.autoBroadcastJoinThreshold``, else shuffles;
-* a single-row parameter table whose array length is asserted at run time
+* a single-row parameter table whose array length is checked before planning and
+  asserted at run time; above the bound the work is split into bounded blocks
   (see ``retrieval.cosine_top_k``).
 """
 

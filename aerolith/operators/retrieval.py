@@ -1,10 +1,18 @@
 """Exact vector retrieval (2.10): cosine top-k and context assembly.
 
 Brute-force scoring is the operator (no approximate index). Query vectors form
-a small, size-checked table that is broadcast; every stored vector is scored
-against every query in one narrow stage, then a per-query ``row_number() <= k``
-keeps the k best. Spark plans that filter as a partial WindowGroupLimit before
-the shuffle, so each map task ships at most k rows per query.
+a size-checked table that is broadcast; every stored vector is scored against
+every query of the broadcast set in one narrow stage, then a per-query
+``row_number() <= k`` keeps the k best. Spark plans that filter as a partial
+WindowGroupLimit before the shuffle, so each map task ships at most k rows per
+query.
+
+The query table is written once under the shared checkpoint folder (it cuts
+lineage, and its row count is then read from parquet footers). At most
+``MAX_BROADCAST_QUERIES`` queries are broadcast in one pass; a larger query set
+is split into hash blocks of about half that size, each block is one broadcast
+pass over the stored vectors, and the block results (final, since every query
+lies in exactly one block) are written and read back as one table.
 """
 
 from __future__ import annotations
@@ -12,8 +20,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aerolith.sources.layers import fresh_path
 
-MAX_QUERIES = 100_000
+# 20,000 queries x 64 doubles is about 10 MB per executor: the largest broadcast row
+MAX_BROADCAST_QUERIES = 20_000
 
 
 def as_double_array(c) -> Column:
@@ -37,35 +47,51 @@ def label_centroids(emb: DataFrame, key: str = "label", vec: str = "embedding")
                    .select(F.col(key).alias("query_id"), F.transform("_p", lambda s: s["x"]).alias("query_vec")))
 
 
-def cosine_top_k(items: DataFrame, queries: DataFrame, k: int, item_id: str = "vec_id",
-                 vec: str = "embedding") -> DataFrame:
-    """(query_id, rank, item_id, score): the k items most cosine-similar to each query.
-
-    The query set is folded into one array row whose length is checked at run
-    time (at most ``MAX_QUERIES``) and broadcast; each item computes its score against every query in
-    one expression, so there is no pair table and no nested-loop join.
-    """
-    q = queries.select("query_id", as_double_array("query_vec").alias("q"))
-    q = q.select("query_id", "q", norm(F.col("q")).alias("qn"))
+def _broadcast_pass(items: DataFrame, q: DataFrame, k: int, item_id: str, bound: int) -> DataFrame:
+    """Top-k of every query in ``q`` (at most ``bound`` rows, asserted at run time) over all items."""
     qs = F.collect_list(F.struct("query_id", "q", "qn"))
-    # the broadcast row is bounded: more than MAX_QUERIES queries fails the job instead of
-    # shipping an unbounded array to every executor
     qset = (q.agg(qs.alias("_qs"))
-             .select(F.when(F.size("_qs") <= MAX_QUERIES, F.col("_qs"))
-                      .otherwise(F.raise_error(F.lit(f"more than {MAX_QUERIES} query vectors"))).alias("_qs"))
+             .select(F.when(F.size("_qs") <= bound, F.col("_qs"))
+                      .otherwise(F.raise_error(F.lit(f"more than {bound} query vectors in one broadcast")))
+                      .alias("_qs"))
              .withColumn("_k", F.lit(1)))
-    it = items.select(item_id, as_double_array(vec).alias("v"))
-    it = it.select(item_id, "v", norm(F.col("v")).alias("vn"), F.lit(1).alias("_k"))
-    scored = (it.join(F.broadcast(qset), "_k")
-                .select(item_id, F.explode(F.transform(
-                    "_qs", lambda s: F.struct(s["query_id"].alias("query_id"),
-                                              F.round(dot(F.col("v"), s["q"]) / (F.col("vn") * s["qn"]), 6)
-                                              .alias("score")))).alias("_s"))
-                .select("_s.query_id", item_id, "_s.score"))
+    scored = (items.join(F.broadcast(qset), "_k")
+                   .select(item_id, F.explode(F.transform(
+                       "_qs", lambda s: F.struct(s["query_id"].alias("query_id"),
+                                                 F.round(dot(F.col("v"), s["q"]) / (F.col("vn") * s["qn"]), 6)
+                                                 .alias("score")))).alias("_s"))
+                   .select("_s.query_id", item_id, "_s.score"))
     w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(item_id))
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+def cosine_top_k(items: DataFrame, queries: DataFrame, k: int, item_id: str = "vec_id",
+                 vec: str = "embedding", max_broadcast: int = MAX_BROADCAST_QUERIES) -> DataFrame:
+    """(query_id, vec_id, score, rank): the k items most cosine-similar to each query.
+
+    Each item computes its score against every query of a broadcast set in one
+    expression, so there is no pair table and no nested-loop join over data rows.
+    """
+    spark = items.sparkSession
+    path = fresh_path(spark, "retrieval/queries")
+    (queries.select("query_id", as_double_array("query_vec").alias("q"))
+            .select("query_id", "q", norm(F.col("q")).alias("qn"))
+            .write.parquet(path))
+    q = spark.read.parquet(path)
+    n = q.count()  # the size check: one number to the driver
+    it = (items.select(item_id, as_double_array(vec).alias("v"))
+               .select(item_id, "v", norm(F.col("v")).alias("vn"), F.lit(1).alias("_k")))
+    if n <= max_broadcast:
+        return _broadcast_pass(it, q, k, item_id, max_broadcast)
+    block_rows = max(1, max_broadcast // 2)
+    blocks = -(-n // block_rows)
+    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
+    out = fresh_path(spark, "retrieval/top_k")
+    for b in range(blocks):
+        _broadcast_pass(it, q.filter(block == b), k, item_id, max_broadcast).write.mode("append").parquet(out)
+    return spark.read.parquet(out)
+
+
 def build_context(ranked: DataFrame, texts: DataFrame, item_id: str = "vec_id",
                   text: str = "text") -> DataFrame:
     """Join retrieved texts in rank order with newlines: one context per query (k texts)."""
