@@ -60,22 +60,11 @@ def gold_to_warehouse(spark: SparkSession, gold: str, warehouse: str) -> dict:
 
 
 def quality_checks(spark: SparkSession, warehouse: str) -> DataFrame:
-    from aerolith.plans.q_warehouse import _DQ, dq_gate
+    """The nine checks in one scan of the fact table and one of ``dim_location``; raises if any fails."""
+    from aerolith.plans.q_warehouse import dq_checks, dq_gate
     fact = spark.read.parquet(os.path.join(warehouse, "fact_weather_readings"))
     loc = spark.read.parquet(os.path.join(warehouse, "dim_location"))
-    fact.createOrReplaceTempView("fact_weather_readings")
-    loc.createOrReplaceTempView("dim_location")
-    parts = []
-    for n, q, lo, hi in _DQ:
-        v = spark.sql(q.format(fact="fact_weather_readings", loc="dim_location"))
-        parts.append(v.select(F.lit(n).alias("check_name"), F.col(v.columns[0]).alias("value"),
-                              F.lit(lo).cast("long").alias("lo"), F.lit(hi).cast("long").alias("hi")))
-    checks = parts[0]
-    for p in parts[1:]:
-        checks = checks.unionByName(p)
-    checks = checks.select("check_name", "value", F.when(
-        (F.col("lo").isNull() | (F.col("value") >= F.col("lo"))) & (F.col("hi").isNull() | (F.col("value") <= F.col("hi"))),
-        "PASS").otherwise("FAIL").alias("status"))
+    checks = dq_checks(fact, loc)
     dq_gate(checks)
     return checks
 

@@ -142,7 +142,12 @@ def _dq_sql(fact: str, loc: str) -> str:
 def q_dq(spark, d):
     """Nine named checks; ``dq_gate`` raises when any FAILs (the job-failure semantics)."""
     s = star_views(spark, d)
-    fact, loc = s["fact_weather_readings"], s["dim_location"]
+    return dq_checks(s["fact_weather_readings"], s["dim_location"])
+
+
+def dq_checks(fact, loc):
+    """(check_name, value, status) of the nine checks: one scan of each table."""
+    spark = fact.sparkSession
     c = F.col
     # one scan of the fact with conditional counts, one of the location dimension
     f = fact.agg(
