@@ -1,10 +1,11 @@
 """ML data work (2.9): features, exact splits, lag sequences, scaling, metrics, models.
 
 Per-entity ordered operations (splits, forward fill, lag windows) are written
-as two-level scans so that no task ever holds a whole entity: a hot city with a
-third of all rows is cut into time segments; a small per-segment summary table
-carries state across segment borders, and the row-level window runs within a
-segment only.
+as two-level scans so that no task ever holds a whole entity: rows are cut into
+ordered segments (range partitions of (city, time, id), so a hot city with a
+third of all rows spans about a third of the partitions); a small per-segment
+summary table carries state across segment borders, and the row-level window
+runs within a segment only.
 """
 
 from __future__ import annotations
@@ -12,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aerolith.sources.layers import fresh_path
+
 FEATURES_24 = [
     "temperature_fahrenheit", "temperature_celsius", "humidity_percent", "pressure_hpa", "wind_speed_mph",
     "wind_direction_degrees", "precipitation_mm", "visibility_miles", "cloud_cover_percent", "heat_index",
@@ -81,10 +84,15 @@ def stratified_split(df: DataFrame, label: str = LABEL, id_col: str = "reading_i
 
 
 def chronological_split(df: DataFrame, key: str = "city", ts: str = "timestamp", id_col: str = "reading_id",
-                        fraction: float = 0.8) -> DataFrame:
-    """Per city, the first 80% of readings in time order are train (no shuffling of time)."""
-    from aerolith.functions.calendar import hour_floor
-    return ordered_split(df, [key], [F.col(ts), F.col(id_col)], hour_floor(ts), fraction)
+                        fraction: float = 0.8, parts: int | None = None) -> DataFrame:
+    """Per city, the first 80% of readings in time order are train (no shuffling of time).
+
+    The histogram buckets are the city's ordered segments, so the one bucket
+    ranked row by row is bounded by a partition, not by the city.
+    """
+    order = [F.col(ts), F.col(id_col)]
+    seg = ordered_segments(df, key, order, parts)
+    return ordered_split(seg, [key], order, F.col("_seg"), fraction).drop("_seg")
 
 
 def class_weights(train: DataFrame, label: str = "label") -> DataFrame:
@@ -103,17 +111,30 @@ def with_weights(train: DataFrame, label: str = "label") -> DataFrame:
 
 # --- per-entity sequences ----------------------------------------------------------
 
-def _segment(ts: str, granularity: str) -> Column:
-    if granularity == "hour":
-        from aerolith.functions.calendar import hour_floor
-        return hour_floor(ts)
-    return F.date_trunc(granularity, F.col(ts))
+def ordered_segments(df: DataFrame, key: str, order: list[Column], parts: int | None = None) -> DataFrame:
+    """Add ``_seg``, a segment id that never decreases along ``order`` within a key.
+
+    Rows are range-partitioned on (key, *order) and the partition id is the
+    segment. Range bounds are drawn from a sample of the whole sort key, so a
+    key holding a third of all rows is spread over about a third of the
+    partitions: a segment is bounded by the partition size, never by one key.
+
+    Range bounds come from a seeded sample that differs between two shuffles of
+    the same rows, so the segmented rows are written once (under the shared
+    checkpoint folder) and read back: every branch of the caller's plan, and a
+    recomputed task, sees the same segments. The write also cuts the lineage.
+    """
+    spark = df.sparkSession
+    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = fresh_path(spark, "segments/ordered")
+    df.repartitionByRange(n, F.col(key), *order).withColumn("_seg", F.spark_partition_id()).write.parquet(path)
+    return spark.read.parquet(path)
 
 
 def forward_fill(df: DataFrame, cols: list[str], key: str = "city", ts: str = "timestamp",
-                 id_col: str = "reading_id", granularity: str = "hour") -> DataFrame:
+                 id_col: str = "reading_id", parts: int | None = None) -> DataFrame:
     """Carry the last non-null value forward within each city; leading nulls -> 0."""
-    d = df.withColumn("_seg", _segment(ts, granularity))
+    d = ordered_segments(df, key, [F.col(ts), F.col(id_col)], parts)
     order = F.struct(F.col(ts), F.col(id_col))
     seg_last = d.groupBy(key, "_seg").agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(f"_l_{c}") for c in cols])
@@ -130,7 +151,7 @@ def forward_fill(df: DataFrame, cols: list[str], key: str = "city", ts: str = "t
 
 def sequence_windows(df: DataFrame, features=SEQ_FEATURES, length: int = 7, key: str = "city",
                      ts: str = "timestamp", id_col: str = "reading_id", target: str = "temperature_fahrenheit",
-                     granularity: str = "hour") -> DataFrame:
+                     parts: int | None = None) -> DataFrame:
     """Each reading with the ``length`` previous readings of its city (oldest first) as lag columns.
 
     The first ``length`` readings of a city have no full history and yield no sample.
@@ -139,8 +160,8 @@ def sequence_windows(df: DataFrame, features=SEQ_FEATURES, length: int = 7, key:
     """
     L = length
     item = F.struct(F.col(ts).alias("t"), F.col(id_col).alias("i"), *[F.col(c) for c in features])
-    d = df.select(key, ts, id_col, target, *[c for c in features if c != target],
-                  _segment(ts, granularity).alias("_seg"), item.alias("_it"))
+    cols = list(dict.fromkeys([key, ts, id_col, target, *features]))
+    d = ordered_segments(df.select(*cols), key, [F.col(ts), F.col(id_col)], parts).withColumn("_it", item)
     # tail of every segment: its last L readings (partial top-L before the shuffle)
     w_desc = Window.partitionBy(key, "_seg").orderBy(F.col(ts).desc(), F.col(id_col).desc())
     tails = (d.withColumn("_rd", F.row_number().over(w_desc)).filter(F.col("_rd") <= L)
