@@ -22,6 +22,31 @@ _DEFAULTS = {
 }
 
 
+def scale_settings(input_bytes: int, total_cores: int, split_bytes: int = 256 << 20,
+                   max_shuffle_partitions: int = 100_000) -> dict:
+    """Partition sizing for a cluster run over ``input_bytes`` of parquet on ``total_cores``.
+
+    * scan splits of ``split_bytes`` (compressed), so a task decodes a few
+      hundred MB and the task count stays in the hundreds of thousands at 100 TB;
+    * one initial shuffle partition per GB of input (at least 3 per core, at
+      most ``max_shuffle_partitions``, so the map x reduce block count stays
+      manageable). Shuffled data is projected and partially aggregated, so a
+      partition holds well under a GB; AQE coalesces what turns out small toward
+      the advisory size and splits skewed join partitions;
+    * this width is also the number of ordered segments in ``operators.ml``.
+
+    Apply with ``spark.conf.set`` before building plans, or pass as ``extra`` to
+    ``build_session``; a cluster's own settings take precedence when it has them.
+    """
+    parts = min(max(3 * total_cores, -(-input_bytes // (1 << 30))), max_shuffle_partitions)
+    return {
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(128 << 20),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+    }
+
+
 def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
                   app_name: str = "aerolith", extra: dict | None = None) -> SparkSession:
     """Local session for tests and the bench; on a cluster use the provided session."""

@@ -45,3 +45,12 @@ def test_json_parsed_once(spark):
     from aerolith.plans.registry import load_all
     p = _plan(load_all()["normalize_current_weather"][0](spark, SF_SMALL))
     assert p.count("from_json(") == 1
+
+
+def test_scale_settings_bounds():
+    from aerolith.session import scale_settings
+    big = scale_settings(100 * 10**12, 8000)
+    assert int(big["spark.sql.shuffle.partitions"]) <= 100_000
+    assert int(big["spark.sql.shuffle.partitions"]) >= 3 * 8000
+    assert int(scale_settings(10**6, 8)["spark.sql.shuffle.partitions"]) == 24
+    assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 << 20
