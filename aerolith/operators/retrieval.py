@@ -94,8 +94,20 @@ def cosine_top_k(items: DataFrame, queries: DataFrame, k: int, item_id: str = "v
 
 def build_context(ranked: DataFrame, texts: DataFrame, item_id: str = "vec_id",
                   text: str = "text") -> DataFrame:
-    """Join retrieved texts in rank order with newlines: one context per query (k texts)."""
-    j = ranked.join(texts.select(F.col(item_id), F.col(text)), item_id, "left")
+    """Join retrieved texts in rank order with newlines: one context per query (k texts).
+
+    The ranked rows (queries x k) are written once so the planner sizes them
+    from file statistics: under the broadcast threshold they are broadcast into
+    one streamed scan of the text table, which is never shuffled. The inner join
+    comes first because a left outer join can only broadcast its right side;
+    ranks without a text are restored by a join of two small tables.
+    """
+    spark = ranked.sparkSession
+    path = fresh_path(spark, "retrieval/ranked")
+    ranked.select("query_id", item_id, "rank").write.parquet(path)
+    r = spark.read.parquet(path)
+    found = texts.select(F.col(item_id), F.col(text)).join(r, item_id).select("query_id", item_id, text)
+    j = r.join(found, ["query_id", item_id], "left")
     return (j.groupBy("query_id")
              .agg(F.array_sort(F.collect_list(F.struct("rank", F.coalesce(F.col(text), F.lit(""))
                                                        .alias("t")))).alias("_d"))
