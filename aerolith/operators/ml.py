@@ -58,6 +58,10 @@ def ordered_split(df: DataFrame, part_cols: list[str], order_cols: list[Column],
     per (partition, bucket) gives every bucket's starting rank; whole buckets on
     either side of the cut are decided from the histogram alone, and only rows of
     the one bucket containing the cut are ranked individually.
+
+    The histogram (one row per partition and bucket) is written once, so the
+    planner sizes it from its files: under the broadcast threshold the rows are
+    joined to it map-side and only the cut buckets are shuffled.
     """
     d = df.withColumn("_b", bucket)
     hist = d.groupBy(*part_cols, "_b").agg(F.count(F.lit(1)).alias("_cnt"))
@@ -65,7 +69,10 @@ def ordered_split(df: DataFrame, part_cols: list[str], order_cols: list[Column],
     hist = (hist.withColumn("_before", F.coalesce(F.sum("_cnt").over(w.rowsBetween(Window.unboundedPreceding, -1)),
                                                   F.lit(0)))
                 .withColumn("_cut", F.floor(F.sum("_cnt").over(Window.partitionBy(*part_cols)) * fraction)))
-    j = d.join(hist, [*part_cols, "_b"])
+    spark = df.sparkSession
+    path = fresh_path(spark, "splits/histogram")
+    hist.write.parquet(path)
+    j = d.join(spark.read.parquet(path), [*part_cols, "_b"])
     whole_train = F.col("_before") + F.col("_cnt") <= F.col("_cut")
     whole_test = F.col("_before") >= F.col("_cut")
     decided = j.filter(whole_train | whole_test).withColumn(out, whole_train)
