@@ -63,10 +63,10 @@ def q_fill(spark, d):
     "SELECT reading_id, temperature_celsius AS celsius_a, "
     "round((temperature_fahrenheit - 32) * 5 / 9, 2) AS celsius_b FROM silver_a", "silver_a"))
 def q_celsius(spark, d):
-    s = base.silver_a(spark, d)
-    b = clean.celsius_backfill(s.drop("temperature_celsius"), "B")
-    return (s.select("reading_id", F.col("temperature_celsius").alias("celsius_a"))
-             .join(b.select("reading_id", F.col("temperature_celsius").alias("celsius_b")), "reading_id"))
+    # both variants in one projection of the same rows: B rebuilds the column, so hide A's under another name
+    s = base.silver_a(spark, d).withColumnRenamed("temperature_celsius", "celsius_a")
+    b = clean.celsius_backfill(s, "B")
+    return b.select("reading_id", "celsius_a", F.col("temperature_celsius").alias("celsius_b"))
 
 
 @register("reading_date_parts", sql(
