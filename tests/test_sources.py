@@ -50,3 +50,11 @@ def test_current_weather_defaults(spark):
     assert (t["wind_speed_mph"], t["wind_direction_degrees"], t["visibility_miles"], t["precipitation_mm"]) == \
         (3.46, 0.0, 6.21, 0.0)
     assert (out[2]["country"], out[2]["latitude"]) == ("NW", 1.0)
+
+
+def test_sink_counts_detect_missing_raw(spark):
+    from aerolith.plans.q_sources import sink_counts
+    raw = spark.createDataFrame([(1,), (2,)], "message_id long")
+    proc = spark.createDataFrame([(1, 70.0), (2, 71.0), (3, 72.0)], "message_id long, temperature double")
+    r = sink_counts(raw, proc).first()
+    assert (r["raw_rows"], r["processed_rows"], r["processed_with_raw"]) == (2, 3, 2)
