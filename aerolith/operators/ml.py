@@ -158,12 +158,13 @@ def forward_fill(df: DataFrame, cols: list[str], key: str = "city", ts: str = "t
 
 def sequence_windows(df: DataFrame, features=SEQ_FEATURES, length: int = 7, key: str = "city",
                      ts: str = "timestamp", id_col: str = "reading_id", target: str = "temperature_fahrenheit",
-                     parts: int | None = None) -> DataFrame:
+                     parts: int | None = None, keep_ts: bool = False) -> DataFrame:
     """Each reading with the ``length`` previous readings of its city (oldest first) as lag columns.
 
     The first ``length`` readings of a city have no full history and yield no sample.
     Lag columns are named ``{feature}_lag{i}`` with i = 1 for the immediately
-    preceding reading.
+    preceding reading. ``keep_ts`` passes the reading's timestamp through (for a
+    chronological split of the samples without joining back to the input).
     """
     L = length
     item = F.struct(F.col(ts).alias("t"), F.col(id_col).alias("i"), *[F.col(c) for c in features])
@@ -186,7 +187,7 @@ def sequence_windows(df: DataFrame, features=SEQ_FEATURES, length: int = 7, key:
     head = F.when(need > 0, F.slice(c, F.greatest(F.size(c) - need + 1, F.lit(1)), need)).otherwise(empty)
     j = j.withColumn("_lags", F.concat(head, F.col("_w"))).filter(F.size("_lags") == L)
     lag_cols = [F.col("_lags")[L - i][f].alias(f"{f}_lag{i}") for i in range(1, L + 1) for f in features]
-    return j.select(id_col, key, F.col(target).alias("target"), *lag_cols)
+    return j.select(id_col, key, *([ts] if keep_ts else []), F.col(target).alias("target"), *lag_cols)
 
 
 def minmax_scale(df: DataFrame, cols: list[str]) -> DataFrame:

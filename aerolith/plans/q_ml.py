@@ -163,9 +163,9 @@ def q_tune(spark, d, trials: int = 2, folds: int = 2):
 def q_forecast_reg(spark, d):
     """Sequences -> chronological split per city -> linear model -> test MAE / RMSE."""
     g = base.gold_a(spark, d)
-    seq = ml.sequence_windows(g)
+    seq = ml.sequence_windows(g, keep_ts=True)
     lag_cols = [c for c in seq.columns if "_lag" in c]
-    split = ml.chronological_split(seq.join(g.select("reading_id", "timestamp"), "reading_id"))
+    split = ml.chronological_split(seq)
     model = ml.forecast_regressor(split.filter("is_train"), lag_cols)
     pred = model.transform(ml.assemble(split.filter("NOT is_train"), lag_cols))
     return ml.regression_metrics(pred.select(F.col("target").alias("actual"), F.col("prediction").alias("predicted")))
