@@ -32,8 +32,14 @@ def read_layer(spark: SparkSession, path: str, schema=None) -> DataFrame:
 
 def write_layer(df: DataFrame, path: str, partition_by: str = "reading_date") -> None:
     """Overwrite a layer partitioned by date. With dynamic partition overwrite (session
-    default here) only the dates present in ``df`` are replaced, so reruns are idempotent."""
-    (df.write.mode("overwrite").option("compression", "snappy")
+    default here) only the dates present in ``df`` are replaced, so reruns are idempotent.
+
+    The rows are rebalanced on the partition column first: otherwise every task
+    of the preceding shuffle writes one file per date it holds (tasks x dates
+    small files). With AQE the rebalance sizes write tasks toward the advisory
+    partition size, splitting a hot date over several tasks and merging small ones.
+    """
+    (df.hint("rebalance", partition_by).write.mode("overwrite").option("compression", "snappy")
        .partitionBy(partition_by).parquet(path))
 
 
