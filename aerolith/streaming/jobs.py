@@ -17,14 +17,22 @@ from aerolith.sources import payloads
 BRONZE_TRIGGER = "30 seconds"
 
 
-def kafka_source(spark: SparkSession, servers: str, topic: str) -> DataFrame:
-    """Subscribe from the earliest offsets, tolerating data loss (needs the Kafka connector jar)."""
-    return (spark.readStream.format("kafka")
-            .option("kafka.bootstrap.servers", servers)
-            .option("subscribe", topic)
-            .option("startingOffsets", "earliest")
-            .option("failOnDataLoss", "false")
-            .load())
+def kafka_source(spark: SparkSession, servers: str, topic: str,
+                 max_offsets_per_trigger: int | None = None) -> DataFrame:
+    """Subscribe from the earliest offsets, tolerating data loss (needs the Kafka connector jar).
+
+    ``max_offsets_per_trigger`` bounds a micro-batch, so a backlog (first start
+    from the earliest offsets, or a restart after an outage) is drained in
+    batches of a known size instead of one batch holding the whole topic.
+    """
+    r = (spark.readStream.format("kafka")
+         .option("kafka.bootstrap.servers", servers)
+         .option("subscribe", topic)
+         .option("startingOffsets", "earliest")
+         .option("failOnDataLoss", "false"))
+    if max_offsets_per_trigger:
+        r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
+    return r.load()
 
 
 def file_source(spark: SparkSession, path: str, schema: str = "message_id long, value string",
