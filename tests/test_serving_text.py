@@ -73,3 +73,17 @@ def test_retrieval_blocks_equal_single_broadcast(spark):
     b = sorted(tuple(r) for r in blocked.select(cols).collect())
     assert len(a) == n * 5
     assert a == b
+
+
+def test_layer_write_one_file_per_small_date(spark):
+    """Rebalanced layer writes: a small date is one file, not one file per upstream task."""
+    import glob
+    import datetime as dt
+    from aerolith.sources import layers
+    rows = [(i, dt.date(2024, 1, 1 + i % 3)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id long, reading_date date").repartition(8)
+    path = layers.fresh_path(spark, "layer-files")
+    layers.write_layer(df, path)
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        assert len(glob.glob(f"{path}/reading_date={day}/*.parquet")) == 1
+    assert layers.read_layer(spark, path).count() == 300
