@@ -87,16 +87,17 @@ def risk_levels(latest: DataFrame) -> DataFrame:
         wx.risk_level().alias("risk_level"))
 
 
-def forecast_24h(gold: DataFrame, latest: DataFrame) -> DataFrame:
+def forecast_24h(gold: DataFrame, ts: str = "timestamp", tie: str = "reading_id") -> DataFrame:
     """Per city and hour 1..24: current + sin(h*pi/12) * sd * 0.3, rounded to 1 dp.
 
-    ``sd`` is the city's sample stddev (2.0 for a one-row city). The unseeded
-    noise term of the application is left out so the result is reproducible.
+    The current temperature is that of the latest reading (as ``latest_per_city``)
+    and ``sd`` the city's sample stddev (2.0 for a one-row city), both from one
+    partial aggregate per city. The unseeded noise term of the application is left
+    out so the result is reproducible.
     """
-    sd = gold.groupBy("city").agg(F.count(F.lit(1)).alias("_n"), F.stddev_samp(T).alias("_sd"))
-    cur = latest.select("city", F.col(T).alias("current_temp_f"))
-    base = (cur.join(sd, "city")
-               .withColumn("_sd", F.when(F.col("_n") > 1, F.col("_sd")).otherwise(F.lit(2.0))))
+    agg = gold.groupBy("city").agg(F.max_by(F.col(T), F.struct(ts, tie)).alias("current_temp_f"),
+                                   F.count(F.lit(1)).alias("_n"), F.stddev_samp(T).alias("_sd"))
+    base = agg.withColumn("_sd", F.when(F.col("_n") > 1, F.col("_sd")).otherwise(F.lit(2.0)))
     h = F.col("hour")
     pred = F.round(F.col("current_temp_f") + F.sin(h * F.lit(3.141592653589793) / 12) * F.col("_sd") * 0.3, 1)
     return (base.select("city", "current_temp_f", "_sd", F.explode(F.sequence(F.lit(1), F.lit(24))).alias("hour"))

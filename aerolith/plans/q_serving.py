@@ -221,4 +221,4 @@ FROM (SELECT l.city, h.hour, round(l.{T} + sin(h.hour * pi() / 12) * s.sd * 0.3,
            (SELECT CAST(range AS INTEGER) AS hour FROM range(1, 25)) h) x""", "latest_a"))
 def q_forecast(spark, d):
     g = base.gold_a(spark, d)
-    return serving.forecast_24h(g, serving.latest_per_city(g))
+    return serving.forecast_24h(g)
