@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.constants import SILVER_A_FILL
@@ -14,13 +14,14 @@ def first_timestamp_column(df: DataFrame, candidates=("timestamp", "reading_time
 
 
 def dedup_readings(df: DataFrame, keys=("city", "timestamp"),
-                   order=("ingestion_timestamp", "reading_id")) -> DataFrame:
+                   order=("ingestion_timestamp", "reading_id"), copies: str | None = None) -> DataFrame:
     """One row per (city, timestamp): the earliest ingestion, then the lowest id.
 
     Written as an aggregation (``min_by`` over a struct) instead of a
     ``row_number`` window: the aggregate runs a partial (map-side) step, so a hot
     key with many copies is collapsed before the shuffle instead of landing whole
-    in one task.
+    in one task. ``copies`` names an optional extra column holding each group's
+    size (from the same aggregate), for audits.
     """
     keys = [k for k in keys if k in df.columns]
     if not keys or "timestamp" not in keys:
@@ -28,9 +29,11 @@ def dedup_readings(df: DataFrame, keys=("city", "timestamp"),
         keys = ["city", ts] if ts else ["city"]
     order = [o for o in order if o in df.columns]
     rest = [c for c in df.columns if c not in keys]
+    extra = [copies] if copies else []
     agg = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*rest), F.struct(*order)).alias("_r"))
-    return agg.select(*keys, "_r.*").select(*df.columns)
+        F.min_by(F.struct(*rest), F.struct(*order)).alias("_r"),
+        *([F.count(F.lit(1)).alias(copies)] if copies else []))
+    return agg.select(*keys, "_r.*", *extra).select(*df.columns, *extra)
 
 
 def dedup_readings_sql(src: str, keys=("city", "timestamp"),
@@ -61,10 +64,25 @@ def range_quality_flag_sql() -> str:
     return f"CASE {whens} ELSE 'VALID' END"
 
 
-def drop_null_critical(df: DataFrame, profile: str = "A") -> DataFrame:
+def _critical(df: DataFrame, profile: str) -> list[str]:
     subset = ["city", "timestamp", "temperature_fahrenheit"] if profile == "A" else \
         ["city", "temperature_fahrenheit"]
-    return df.dropna(subset=[c for c in subset if c in df.columns])
+    return [c for c in subset if c in df.columns]
+
+
+def drop_null_critical(df: DataFrame, profile: str = "A") -> DataFrame:
+    return df.dropna(subset=_critical(df, profile))
+
+
+def critical_present(df: DataFrame, profile: str = "A") -> Column:
+    """True where ``drop_null_critical`` keeps the row (no null, and no NaN in a float column)."""
+    cond = F.lit(True)
+    for c in _critical(df, profile):
+        ok = F.col(c).isNotNull()
+        if df.schema[c].dataType.typeName() in ("double", "float"):
+            ok = ok & ~F.isnan(c)
+        cond = cond & ok
+    return cond
 
 
 def drop_null_critical_sql(profile: str = "A") -> str:
