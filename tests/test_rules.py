@@ -123,3 +123,15 @@ def test_extreme_reasons_text(spark):
     assert got[0] == ("High temperature (101.3F > 100F); High wind (55.0 mph > 50 mph); "
                       "High anomaly score (3.0 > 2.5)")
     assert got[1] == ""
+
+
+def test_critical_present_agrees_with_dropna(spark):
+    import datetime as dt
+    from aerolith.operators import clean
+    t = dt.datetime(2024, 1, 1)
+    df = spark.createDataFrame([(1, "A", t, 50.0), (2, None, t, 50.0), (3, "B", None, 50.0),
+                                (4, "C", t, None), (5, "D", t, float("nan"))],
+                               "reading_id long, city string, timestamp timestamp_ntz, temperature_fahrenheit double")
+    kept = sorted(r[0] for r in clean.drop_null_critical(df, "A").collect())
+    flagged = sorted(r[0] for r in df.filter(clean.critical_present(df, "A")).collect())
+    assert kept == flagged == [1]
