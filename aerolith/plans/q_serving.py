@@ -171,7 +171,6 @@ def q_anomalies_over(spark, d, threshold: float = _ANOM_THRESHOLD):
   (SELECT count(DISTINCT city) FROM gold_a) AS gold_cities""", "gold_a"))
 def q_distinct(spark, d):
     s = base.silver_a(spark, d)
-    g = s.filter(F.col("quality_flag") == "VALID")
     # one scan: a city is a gold city when it has at least one VALID row
     per_city = s.groupBy("city").agg(F.max((F.col("quality_flag") == "VALID").cast("int")).alias("v"))
     return per_city.agg(F.count(F.lit(1)).alias("silver_cities"), F.sum("v").cast("long").alias("gold_cities"))
