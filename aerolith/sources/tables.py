@@ -73,9 +73,32 @@ def memo(spark: SparkSession, *key):
     return deco
 
 
+# a scan smaller than this is left as it is, however few tasks it has
+MIN_SPREAD_BYTES = 1 << 20
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the session has cores.
+
+    A table stored as one unsplittable row group scans as one task, and every
+    narrow step after it (message building, JSON parsing, scoring) then runs in
+    that task. Such a scan is round-robin repartitioned to the default
+    parallelism. A large table made of many files or row groups already scans
+    as many tasks and is returned unchanged, and so is a tiny table (under
+    ``MIN_SPREAD_BYTES`` by the planner's file-size estimate), which joins as a
+    broadcast.
+    """
+    spark = df.sparkSession
+    want = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size >= MIN_SPREAD_BYTES and df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return memo(spark, "table", sf_dir, name)(
-        lambda: spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
+        lambda: spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))))
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
