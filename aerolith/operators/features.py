@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.functions import weather as wx
-from aerolith.functions.numeric import exact_avg, exact_avg_sql
+from aerolith.functions.numeric import exact_avg_round, exact_avg_round_sql
 from aerolith.profiles import Profile
 
 T = "temperature_fahrenheit"
@@ -33,19 +33,19 @@ def city_statistics(df: DataFrame, p: Profile, with_humidity: bool = True) -> Da
     rows costs no more than any other. The per-city table is then joined back.
     """
     d = p.stats_digits
-    aggs = [F.round(exact_avg(T), d).alias("city_avg_temp"),
+    aggs = [exact_avg_round(T, d).alias("city_avg_temp"),
             F.round(F.min(T), d).alias("city_min_temp"),
             F.round(F.max(T), d).alias("city_max_temp"),
             F.round(F.stddev_samp(T), 2).alias("city_stddev_temp")]
     if with_humidity:
-        aggs.append(F.round(exact_avg("humidity_percent"), 1).alias("city_avg_humidity"))
+        aggs.append(exact_avg_round("humidity_percent", 1).alias("city_avg_humidity"))
     return df.groupBy("city").agg(*aggs)
 
 
 def city_statistics_sql(p: Profile, src: str, with_humidity: bool = True) -> str:
     d = p.stats_digits
-    hum = f", round({exact_avg_sql('humidity_percent')}, 1) AS city_avg_humidity" if with_humidity else ""
-    return (f"SELECT city, round({exact_avg_sql(T)}, {d}) AS city_avg_temp, "
+    hum = f", {exact_avg_round_sql('humidity_percent', 1)} AS city_avg_humidity" if with_humidity else ""
+    return (f"SELECT city, {exact_avg_round_sql(T, d)} AS city_avg_temp, "
             f"round(min({T}), {d}) AS city_min_temp, round(max({T}), {d}) AS city_max_temp, "
             f"round(stddev_samp({T}), 2) AS city_stddev_temp{hum} FROM {src} GROUP BY city")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from aerolith.constants import MAP_COORDS_BY_CITY, US_REGION_BY_CITY
 from aerolith.functions import weather as wx
-from aerolith.functions.numeric import exact_avg
+from aerolith.functions.numeric import exact_avg_round
 from aerolith.operators.hints import literal_broadcast
 
 T, H, W = "temperature_fahrenheit", "humidity_percent", "wind_speed_mph"
@@ -56,11 +56,11 @@ def geo_lookup(df: DataFrame) -> DataFrame:
 def region_stats(latest: DataFrame) -> DataFrame:
     r = region_lookup(latest)
     return (r.groupBy("us_region").agg(
-        F.round(exact_avg(T), 1).alias("avg_temp"),
+        exact_avg_round(T, 1).alias("avg_temp"),
         F.round(F.max(T), 1).alias("max_temp"),
         F.round(F.min(T), 1).alias("min_temp"),
-        F.round(exact_avg(H), 1).alias("avg_humidity"),
-        F.round(exact_avg(W), 1).alias("avg_wind"),
+        exact_avg_round(H, 1).alias("avg_humidity"),
+        exact_avg_round(W, 1).alias("avg_wind"),
         F.concat_ws(",", F.array_sort(F.collect_list("city"))).alias("cities"),
         F.count(F.lit(1)).alias("city_count"),
         F.sum("is_extreme_weather").cast("long").alias("extreme_count")))

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from aerolith.constants import MAP_COORDS_BY_CITY, US_REGION_BY_CITY
 from aerolith.functions import weather as wx
-from aerolith.functions.numeric import exact_avg, exact_avg_sql
+from aerolith.functions.numeric import exact_avg_round, exact_avg_round_sql
 from aerolith.operators import serving
 from aerolith.plans import base
 from aerolith.plans.oracle import sql
@@ -176,9 +176,9 @@ def q_distinct(spark, d):
     return per_city.agg(F.count(F.lit(1)).alias("silver_cities"), F.sum("v").cast("long").alias("gold_cities"))
 
 
-@register("region_stats", sql(f"""SELECT us_region, round({exact_avg_sql(T)}, 1) AS avg_temp,
-  round(max({T}), 1) AS max_temp, round(min({T}), 1) AS min_temp, round({exact_avg_sql(H)}, 1) AS avg_humidity,
-  round({exact_avg_sql(W)}, 1) AS avg_wind, array_to_string(list_sort(list(city)), ',') AS cities,
+@register("region_stats", sql(f"""SELECT us_region, {exact_avg_round_sql(T, 1)} AS avg_temp,
+  round(max({T}), 1) AS max_temp, round(min({T}), 1) AS min_temp, {exact_avg_round_sql(H, 1)} AS avg_humidity,
+  {exact_avg_round_sql(W, 1)} AS avg_wind, array_to_string(list_sort(list(city)), ',') AS cities,
   count(*) AS city_count, CAST(sum(is_extreme_weather) AS BIGINT) AS extreme_count
 FROM (SELECT l.*, coalesce(m.us_region, 'Other') AS us_region FROM latest_a l
       LEFT JOIN (VALUES {_REGION_VALUES}) m(city, us_region) ON l.city = m.city) x GROUP BY us_region""",
@@ -200,13 +200,13 @@ def q_geo(spark, d):
 
 
 @register("dashboard_stats", sql(f"""SELECT count(*) AS total_readings, count(DISTINCT city) AS total_cities,
-  round({exact_avg_sql(T)}, 1) AS avg_temperature, round(max({T}), 1) AS max_temperature,
+  {exact_avg_round_sql(T, 1)} AS avg_temperature, round(max({T}), 1) AS max_temperature,
   round(min({T}), 1) AS min_temperature, CAST(sum(is_extreme_weather) AS BIGINT) AS extreme_events,
   count(DISTINCT continent) AS continents, count(DISTINCT country) AS countries FROM gold_a""", "gold_a"))
 def q_dashboard(spark, d):
     g = base.gold_a(spark, d)
     return g.agg(F.count(F.lit(1)).alias("total_readings"), F.countDistinct("city").alias("total_cities"),
-                 F.round(exact_avg(T), 1).alias("avg_temperature"), F.round(F.max(T), 1).alias("max_temperature"),
+                 exact_avg_round(T, 1).alias("avg_temperature"), F.round(F.max(T), 1).alias("max_temperature"),
                  F.round(F.min(T), 1).alias("min_temperature"),
                  F.sum("is_extreme_weather").cast("long").alias("extreme_events"),
                  F.countDistinct("continent").alias("continents"), F.countDistinct("country").alias("countries"))

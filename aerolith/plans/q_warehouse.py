@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from aerolith.constants import SOURCE_TAG
-from aerolith.functions.numeric import exact_avg_sql
+from aerolith.functions.numeric import exact_avg_round_sql
 from aerolith.operators import warehouse as wh
 from aerolith.plans import base
 from aerolith.plans.oracle import UNKNOWN_KEY, dim_location_sql, sql
@@ -195,10 +195,10 @@ def q_wh_summary(spark, d):
 
 
 # --- the six demo questions, as fixed SQL over the star views ----------------
-_AVG_T = exact_avg_sql("f.temperature_fahrenheit")
-_AVG_W = exact_avg_sql("f.wind_speed_mph")
+_AVG_T = exact_avg_round_sql("f.temperature_fahrenheit", 2)
+_AVG_W = exact_avg_round_sql("f.wind_speed_mph", 2)
 STAR_QUESTIONS = {
-    "q_avg_temp_by_city": f"""SELECT l.city, round({_AVG_T}, 2) AS avg_temp
+    "q_avg_temp_by_city": f"""SELECT l.city, {_AVG_T} AS avg_temp
 FROM {{fact}} f JOIN {{loc}} l ON f.location_key = l.location_key GROUP BY l.city
 ORDER BY avg_temp DESC, l.city LIMIT 20""",
     "q_extreme_cities": """SELECT DISTINCT l.city FROM {fact} f JOIN {loc} l ON f.location_key = l.location_key
@@ -209,7 +209,7 @@ ORDER BY f.temperature_fahrenheit DESC, l.city, f.reading_key LIMIT 1""",
     "q_total_readings": "SELECT count(*) AS total_readings FROM {fact}",
     "q_humid_cities": """SELECT l.city, round(max(f.humidity_percent), 1) AS max_humidity, count(*) AS readings_above_80
 FROM {fact} f JOIN {loc} l ON f.location_key = l.location_key WHERE f.humidity_percent > 80 GROUP BY l.city""",
-    "q_avg_wind_by_region": f"""SELECT l.region, round({_AVG_W}, 2) AS avg_wind
+    "q_avg_wind_by_region": f"""SELECT l.region, {_AVG_W} AS avg_wind
 FROM {{fact}} f JOIN {{loc}} l ON f.location_key = l.location_key GROUP BY l.region""",
 }
 

@@ -135,3 +135,14 @@ def test_critical_present_agrees_with_dropna(spark):
     kept = sorted(r[0] for r in clean.drop_null_critical(df, "A").collect())
     flagged = sorted(r[0] for r in df.filter(clean.critical_present(df, "A")).collect())
     assert kept == flagged == [1]
+
+
+def test_exact_avg_round_ties(spark):
+    """The mean 61.85 (a double just below the tie) rounds up; negative ties round away from zero."""
+    from pyspark.sql import functions as F
+    from aerolith.functions.numeric import exact_avg_round
+    rows = [("a", 61.85)] * 41 + [("a", 2597.7 - 41 * 61.85), ("b", -0.25), ("b", -0.25), ("c", 1 / 3), ("d", None)]
+    df = spark.createDataFrame(rows, "k string, x double")
+    got = {r["k"]: (r["r1"], r["r2"]) for r in df.groupBy("k").agg(
+        exact_avg_round("x", 1).alias("r1"), exact_avg_round("x", 2).alias("r2")).collect()}
+    assert got == {"a": (61.9, 61.85), "b": (-0.3, -0.25), "c": (0.3, 0.33), "d": (None, None)}
