@@ -54,3 +54,21 @@ def test_scale_settings_bounds():
     assert int(big["spark.sql.shuffle.partitions"]) >= 3 * 8000
     assert int(scale_settings(10**6, 8)["spark.sql.shuffle.partitions"]) == 24
     assert int(big["spark.sql.files.maxPartitionBytes"]) == 256 << 20
+
+
+def test_context_never_shuffles_texts_by_id(spark):
+    """With the text table over the broadcast threshold, the written top-k rows are broadcast instead."""
+    from conftest import SF_CHECK
+    from aerolith.operators import retrieval
+    emb = spark.read.parquet(f"{SF_CHECK}/embeddings.parquet")
+    docs = spark.read.parquet(f"{SF_CHECK}/documents.parquet").withColumnRenamed("doc_id", "vec_id")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", str(64 << 10))  # documents: ~2 MB of parquet
+    try:
+        ctx = retrieval.build_context(retrieval.cosine_top_k(emb, retrieval.label_centroids(emb), 5), docs)
+        ctx.collect()
+        p = ctx._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "hashpartitioning(vec_id" not in p and "hashpartitioning(doc_id" not in p
+    assert "BroadcastHashJoin" in p
