@@ -72,3 +72,13 @@ def test_context_never_shuffles_texts_by_id(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert "hashpartitioning(vec_id" not in p and "hashpartitioning(doc_id" not in p
     assert "BroadcastHashJoin" in p
+
+
+def test_split_joins_histogram_map_side(spark):
+    """The written histogram is sized by the planner: rows join it by broadcast, not by a shuffle join."""
+    from aerolith.plans.registry import load_all
+    df = load_all()["stratified_split"][0](spark, SF_SMALL)
+    df.collect()
+    p = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "SortMergeJoin" not in p and "ShuffledHashJoin" not in p
+    assert "BroadcastHashJoin" in p
