@@ -88,12 +88,14 @@ def spread(df: DataFrame) -> DataFrame:
     ``MIN_SPREAD_BYTES`` by the planner's file-size estimate), which joins as a
     broadcast.
     """
-    spark = df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size >= MIN_SPREAD_BYTES and df.rdd.getNumPartitions() < want:
-        return df.repartition(want)
-    return df
+    try:
+        spark = df.sparkSession
+        want = spark.sparkContext.defaultParallelism
+        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+        few = df.rdd.getNumPartitions() < want
+    except Exception:  # no JVM-side plan access (e.g. a Spark Connect session): leave the scan as it is
+        return df
+    return df.repartition(want) if size >= MIN_SPREAD_BYTES and few else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
