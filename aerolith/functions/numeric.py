@@ -12,21 +12,6 @@ def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def exact_avg(c) -> Column:
-    """Average whose rounding is engine-independent.
-
-    A double ``avg`` depends on summation order, so a rounded average can flip
-    between engines on exact halves. Summing a DECIMAL(12,4) is order-independent
-    and still a mergeable (partial) aggregate.
-    """
-    x = col_(c)
-    return F.sum(x.cast("decimal(12,4)")).cast("double") / F.count(x)
-
-
-def exact_avg_sql(x: str) -> str:
-    return f"CAST(sum(CAST({x} AS DECIMAL(12,4))) AS DOUBLE) / count({x})"
-
-
 def exact_avg_round(c, d: int) -> Column:
     """The mean rounded to ``d`` digits, half away from zero, exactly.
 
