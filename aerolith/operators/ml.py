@@ -130,11 +130,17 @@ def ordered_segments(df: DataFrame, key: str, order: list[Column], parts: int |
     the same rows, so the segmented rows are written once (under the shared
     checkpoint folder) and read back: every branch of the caller's plan, and a
     recomputed task, sees the same segments. The write also cuts the lineage.
+
+    Without ``parts`` the shuffle width is the session's, and AQE merges
+    adjacent ranges toward its advisory size (merged partitions stay in range
+    order, so segment ids remain monotone): a small input gets a few segments,
+    a large one segments of about the advisory size. ``parts`` fixes the count.
     """
     spark = df.sparkSession
-    n = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cols = [F.col(key), *order]
+    ranged = df.repartitionByRange(parts, *cols) if parts else df.repartitionByRange(*cols)
     path = fresh_path(spark, "segments/ordered")
-    df.repartitionByRange(n, F.col(key), *order).withColumn("_seg", F.spark_partition_id()).write.parquet(path)
+    ranged.withColumn("_seg", F.spark_partition_id()).write.parquet(path)
     return spark.read.parquet(path)
 
 

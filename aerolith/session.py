@@ -33,7 +33,8 @@ def scale_settings(input_bytes: int, total_cores: int, split_bytes: int = 256 <<
       manageable). Shuffled data is projected and partially aggregated, so a
       partition holds well under a GB; AQE coalesces what turns out small toward
       the advisory size and splits skewed join partitions;
-    * this width is also the number of ordered segments in ``operators.ml``.
+    * this width also bounds the number of ordered segments in ``operators.ml``
+      (AQE merges adjacent small ones).
 
     Apply with ``spark.conf.set`` before building plans, or pass as ``extra`` to
     ``build_session``; a cluster's own settings take precedence when it has them.

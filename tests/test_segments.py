@@ -66,3 +66,22 @@ def test_chronological_split_matches_row_number(spark):
     a = sorted(tuple(r) for r in got.select("reading_id", "is_train").collect())
     b = sorted(tuple(r) for r in want.collect())
     assert a == b
+
+
+def test_default_segments_without_coalescing(spark):
+    """Without ``parts`` the session's shuffle width applies; results are exact however AQE sizes segments."""
+    df = _hot(spark)
+    old = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        seg = ml.ordered_segments(df, "city", [F.col("timestamp"), F.col("reading_id")])
+        assert seg.filter("city = 'Hot'").select("_seg").distinct().count() > 1
+        got = ml.forward_fill(df, ["temperature_fahrenheit"])
+        a = sorted(tuple(r) for r in got.select("reading_id", "temperature_fahrenheit").collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", old)
+    w = (Window.partitionBy("city").orderBy("timestamp", "reading_id")
+               .rowsBetween(Window.unboundedPreceding, 0))
+    want = df.select("reading_id", F.coalesce(F.last("temperature_fahrenheit", ignorenulls=True).over(w),
+                                              F.lit(0.0)).alias("temperature_fahrenheit"))
+    assert a == sorted(tuple(r) for r in want.collect())
