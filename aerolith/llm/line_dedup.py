@@ -56,6 +56,8 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
     repeated = (first.groupBy("h1", "h2")
                 .agg(F.count("doc_id").alias("docs"), F.max("doc_id").alias("keeper"))
                 .filter(F.col("docs") >= min_docs).select("h1", "h2", "keeper"))
+    # a written table: the join below then reads shuffles on both sides, which AQE can split at a hot key
+    repeated = keep(repeated, "repeated-lines")
     dropped = (lines.join(repeated, ["h1", "h2"])
                .filter(~F.col("doc_id").eqNullSafe(F.col("keeper")))
                .select("doc_id", "text_id", "pos").distinct())

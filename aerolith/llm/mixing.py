@@ -24,7 +24,7 @@ from pyspark.sql.window import Window
 
 from aerolith.llm.store import keep
 
-BIN_ROWS = 20_000
+BIN_ROWS = 2_000
 LEAST_WEIGHT = 1e-3
 WORD = r"[^\x20\x09-\x0D]+"
 

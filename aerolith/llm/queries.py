@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolith.llm import chat_format, line_dedup, mixing
+from aerolith.llm import chat_format, licenses, line_dedup, mixing, packing, quality, spotsigs
 from aerolith.llm.store import read
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -114,3 +114,27 @@ def op10_mix_sources(spark: SparkSession, d: str) -> DataFrame:
     docs = read(spark, d, "documents").select("doc_id", "text", "source")
     m = mixing.mix(docs).withColumn("_row", F.explode(F.sequence(F.lit(1), F.col("rows").cast("int"))))
     return m.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
+
+
+# -- 8: packing -----------------------------------------------------------------------------------------------------
+@query()
+def op8_pack(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(read(spark, d, "documents").select("doc_id", "text"))
+
+
+# -- 6: licence scan ------------------------------------------------------------------------------------------------
+@query()
+def op6_licences(spark: SparkSession, d: str) -> DataFrame:
+    return licenses.scan_licences(read(spark, d, "documents").select("doc_id", "text"))
+
+
+# -- 7: document fingerprints ---------------------------------------------------------------------------------------
+@query()
+def op7_spotsigs(spark: SparkSession, d: str) -> DataFrame:
+    return spotsigs.fingerprint_edits(read(spark, d, "documents").select("doc_id", "text"))
+
+
+# -- 4: quality classifier ------------------------------------------------------------------------------------------
+@query()
+def op4_quality(spark: SparkSession, d: str) -> DataFrame:
+    return quality.score_quality(read(spark, d, "documents").select("doc_id", "text"), read(spark, d, "labels"))
