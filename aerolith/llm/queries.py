@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolith.llm import chat_format, licenses, line_dedup, mixing, packing, quality, spotsigs, substring_dedup
+from aerolith.llm import chat_format, licenses, line_dedup, mixing, ngram_join, packing, quality, spotsigs, substring_dedup
 from aerolith.llm.store import read
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -145,3 +145,9 @@ def op4_quality(spark: SparkSession, d: str) -> DataFrame:
 def op5_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     left = substring_dedup.remove_repeats(read(spark, d, "documents").select("doc_id", "text"))
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+# -- 2: n-gram Jaccard join -----------------------------------------------------------------------------------------
+@query()
+def op2_ngram_join(spark: SparkSession, d: str) -> DataFrame:
+    return ngram_join.near_duplicates(read(spark, d, "documents").select("doc_id", "text"))
