@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolith.llm import chat_format, licenses, line_dedup, mixing, ngram_join, packing, quality, spotsigs, substring_dedup
+from aerolith.llm import (chat_format, hnsw, licenses, line_dedup, mixing, ngram_join, packing, quality, spotsigs,
+                          substring_dedup)
 from aerolith.llm.store import read
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -151,3 +152,9 @@ def op5_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def op2_ngram_join(spark: SparkSession, d: str) -> DataFrame:
     return ngram_join.near_duplicates(read(spark, d, "documents").select("doc_id", "text"))
+
+
+# -- 3: approximate nearest neighbours ------------------------------------------------------------------------------
+@query()
+def op3_hnsw(spark: SparkSession, d: str) -> DataFrame:
+    return hnsw.nearest(read(spark, d, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)
