@@ -13,7 +13,7 @@ double-precision inner products, ties to the smaller id.
 
 Defined cases: null vectors, zero vectors and vectors with null, NaN or infinite components take no part, neither
 as query nor as candidate; vectors only meet vectors of their own length; repeated ids are separate
-candidates, but a query never meets its own id; fewer than ``k`` candidates are all returned;
+candidates, but a query never meets its own id; a null id takes no part; fewer than ``k`` candidates are all returned;
 other columns are ignored; an empty table gives no rows.
 """
 
@@ -182,7 +182,7 @@ def usable(vectors: DataFrame) -> DataFrame:
     """``vec_id, v: array<double>, dim`` of vectors that take part."""
     v = F.col("embedding").cast("array<double>")
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return (vectors.select(F.col("vec_id").cast("long"), v.alias("v")).filter(F.col("v").isNotNull())
+    return (vectors.select(F.col("vec_id").cast("long"), v.alias("v")).filter("v is not null and vec_id is not null")
             .filter(~bad & F.exists("v", lambda x: x != 0)).withColumn("dim", F.size("v")))
 
 

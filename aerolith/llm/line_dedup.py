@@ -12,7 +12,7 @@ per document: 64-bit words of keep bits, words that keep all 64 lines left out.
 Defined cases: null or empty text is one empty line; keys under ``min_chars`` code
 points are never dropped; a null ``doc_id`` counts as no document and keeps no repeated
 line; rows with equal id and text share one bitmap; other columns are passed through
-or ignored; an empty table gives no bitmaps.
+(those named like an added count are replaced); an empty table gives no bitmaps.
 """
 
 from __future__ import annotations
@@ -68,24 +68,22 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
             .agg(F.sum("n").alias("n_dropped"), F.array_sort(F.collect_list(F.struct("word", "bits"))).alias("keep")))
 
 
-def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
-    """``docs`` with ``text`` reduced to kept lines, plus ``n_lines`` and ``n_dropped``."""
-    b = bitmaps.select(F.col("doc_id").alias("_id"), F.col("text_id").alias("_text_id"),
-                       F.col("n_dropped").alias("_dropped"), F.col("keep").alias("_keep"))
-    joined = (docs.withColumn("_t", text_id(F.col("text")))
-              .join(b, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_text_id")), "left"))
-    gone = F.expr("flatten(transform(_keep, w -> filter(sequence(w.word * 64, w.word * 64 + 63),"
+def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, counts: bool = True) -> DataFrame:
+    """``docs`` with ``text`` reduced to kept lines; with ``counts`` also ``n_lines`` and ``n_dropped``."""
+    rows = docs.select(F.struct("*").alias("row")).withColumn("text_id", text_id(F.col("row.text")))
+    b = bitmaps.withColumnRenamed("doc_id", "id")
+    joined = rows.join(b, F.col("row.doc_id").eqNullSafe(F.col("id")) & (rows["text_id"] == b["text_id"]), "left")
+    gone = F.expr("flatten(transform(keep, w -> filter(sequence(w.word * 64, w.word * 64 + 63),"
                   " p -> (shiftright(w.bits, p % 64) & 1L) = 0L)))")
-    lines = lines_of(F.col("text"))
+    whole = F.coalesce("row.text", F.lit(""))
+    lines = lines_of(whole)
     left = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), gone)
-    kept = F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n")
-    return joined.select(
-        *[F.when(F.col("_keep").isNull(), F.coalesce("text", F.lit(""))).otherwise(kept).alias("text")
-          if c == "text" else F.col(c) for c in docs.columns],
-        (F.char_length(F.coalesce("text", F.lit(""))) - F.char_length(F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit("")))
-         + 1).cast("long").alias("n_lines"),
-        F.coalesce("_dropped", F.lit(0)).cast("long").alias("n_dropped"))
+    kept = F.when(F.col("keep").isNull(), whole).otherwise(F.array_join(F.transform(left, lambda i: F.get(lines, i)), "\n"))
+    breaks = F.char_length(whole) - F.char_length(F.replace(whole, F.lit("\n"), F.lit("")))
+    added = {"n_lines": (breaks + 1).cast("long"), "n_dropped": F.coalesce("n_dropped", F.lit(0)).cast("long")} if counts else {}
+    return joined.select(*[kept.alias(c) if c == "text" else F.col(f"row.`{c}`") for c in docs.columns if c not in added],
+                         *[column.alias(name) for name, column in added.items()])
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    return apply_bitmaps(docs, keep_bitmaps(docs, min_chars, min_docs))
+def dedup_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, counts: bool = True) -> DataFrame:
+    return apply_bitmaps(docs, keep_bitmaps(docs, min_chars, min_docs), counts)

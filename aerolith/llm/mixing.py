@@ -31,7 +31,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 def text_weight() -> Column:
     """Default quality weight: 1 at a mean word length of 6 characters, falling off on both sides."""
-    mean = F.col("chars") / F.col("size")
+    mean = F.try_divide(F.col("chars").cast("double"), F.col("size"))  # null without words
     return F.lit(1.0) / (F.lit(1.0) + F.abs(mean - F.lit(6.0)) / F.lit(6.0))
 
 
@@ -73,7 +73,6 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int =
     names a column of weights; without it ``text_weight`` of the text is used.
     """
     text = F.coalesce("text", F.lit(""))
-    # the text holds no run of blanks where a word starts: counting matches is one pass
     base = docs.select("doc_id", "source", F.xxhash64(text).alias("text_id"),
                        F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"),
                        F.char_length(text).alias("chars"),
@@ -111,10 +110,8 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int =
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:
     """The rows of ``docs``, each as often as the mix takes it."""
-    m = mix(docs, **settings).select(F.col("doc_id").alias("_d"), F.col("source").alias("_s"),
-                                     F.col("text_id").alias("_t"), F.col("copies").alias("_n")).filter("_n > 0")
-    return (docs.withColumn("_h", F.xxhash64(F.coalesce("text", F.lit(""))))
-            .join(m, F.col("doc_id").eqNullSafe(F.col("_d")) & F.col("source").eqNullSafe(F.col("_s"))
-                  & (F.col("_h") == F.col("_t")))
-            .withColumn("_c", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))))
-            .select(*docs.columns))
+    m = mix(docs, **settings).filter("copies > 0").select("doc_id", "source", "text_id", "copies")
+    rows = docs.select(F.struct("*").alias("row")).withColumn("h", F.xxhash64(F.coalesce("row.text", F.lit(""))))
+    return (rows.join(m, F.col("row.doc_id").eqNullSafe(F.col("doc_id")) & F.col("row.source").eqNullSafe(F.col("source"))
+                      & (F.col("h") == F.col("text_id")))
+            .select("row", F.explode(F.sequence(F.lit(1), F.col("copies").cast("int")))).select("row.*"))
