@@ -20,7 +20,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents without their repeated lines; ``n_chars`` follows the text."""
-    left = line_dedup.dedup_lines(docs)
+    left = line_dedup.dedup_lines(docs, counts=False)
     if "n_chars" in docs.columns:
         left = left.withColumn("n_chars", F.char_length("text").cast("long"))
     return left.select(*docs.columns)
