@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from aerolith.llm import exchange
 from aerolith.llm.store import blocks
-from aerolith.llm.text import hashes, runs, words
+from aerolith.llm.text import distinct, hashes, runs, words
 
 FIRST = 7
 LAST_ID = np.iinfo(np.int64).max
@@ -54,13 +54,12 @@ class Batch:
         at = np.full(len(self.h), -1)
         if n:
             r = runs(self.h, first)
-            best, where = r[:n].copy(), np.arange(n)
+            best, ahead = r[:n].copy(), np.zeros(n, np.int8)
             for j in range(1, first):
                 less = r[j:j + n] < best
-                best[less] = r[j:j + n][less]
-                where[less] = np.arange(j, j + n)[less]
-            fits = self.room[:n] >= 2 * first - 1
-            at[:n][fits] = where[fits]
+                np.copyto(best, r[j:j + n], where=less)
+                np.copyto(ahead, j, where=less)
+            at[:n] = np.where(self.room[:n] >= 2 * first - 1, np.arange(n) + ahead, -1)
         return at
 
     def windows(self, at: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
@@ -71,13 +70,13 @@ class Batch:
 def replay(b: Batch, told: pa.Table, first: int, levels: int):
     """Candidates of level ``levels``: start positions, keys, ids and the length of the windows."""
     anchor = b.anchors(first)
-    starts = np.unique(anchor[anchor >= 0])
+    starts = np.flatnonzero(np.bincount(anchor[anchor >= 0], minlength=len(b.h)))
     keys, ids = b.windows(starts, first)
     length = first
     for level in range(levels):
         totals, _ = exchange.answers(told, level)
         alive = np.zeros(len(b.h), bool)
-        alive[starts] = totals[np.searchsorted(np.unique(keys), keys)] >= 2 if len(keys) else False
+        alive[starts] = totals[np.searchsorted(distinct(keys), keys)] >= 2 if len(keys) else False
         if level == 0:
             longer = 2 * first - 1
             starts = np.flatnonzero((anchor >= 0) & alive[anchor])
@@ -119,7 +118,7 @@ def remove_repeats(docs: DataFrame, first: int = FIRST) -> DataFrame:
         b = Batch(docs)
         starts, keys, ids, length = replay(b, side, first, 1)
         _, least = exchange.answers(side, 1)
-        hit = starts[least[np.searchsorted(np.unique(keys), keys)] < ids] if len(keys) else starts
+        hit = starts[least[np.searchsorted(distinct(keys), keys)] < ids] if len(keys) else starts
         edge = np.zeros(len(b.h) + 1, np.int64)
         np.add.at(edge, hit, 1)
         np.add.at(edge, hit + length, -1)
@@ -159,7 +158,7 @@ def repeated_windows(docs: DataFrame, first: int = FIRST, longest: int = 1 << 20
         for k in range(1, levels):
             starts, keys, ids, length = replay(b, side, first, k)
             totals, _ = exchange.answers(side, k)
-            n = totals[np.searchsorted(np.unique(keys), keys)] if len(keys) else np.empty(0, np.uint32)
+            n = totals[np.searchsorted(distinct(keys), keys)] if len(keys) else np.empty(0, np.uint32)
             base = (b.ends - b.lengths)[b.doc[starts]]
             found.append(np.stack([ids, starts - base, np.full(len(starts), length), n])[:, n >= 2].astype(np.int64))
         cols = np.concatenate(found, axis=1) if found else np.empty((4, 0), np.int64)

@@ -34,6 +34,12 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
+def distinct(h: np.ndarray) -> np.ndarray:
+    """Sorted distinct values (sorting beats the hash table behind ``np.unique`` here)."""
+    s = np.sort(h)
+    return s[np.r_[True, s[1:] != s[:-1]]] if len(s) else s
+
+
 def runs(h: np.ndarray, length: int) -> np.ndarray:
     """Hash of each run of ``length`` consecutive word hashes (order counts)."""
     n = len(h) - length + 1
