@@ -18,8 +18,9 @@ pairs with ``min(k)`` matches and fitting sizes are verified on the whole sets,
 parts of the cell are returned; these and the classes give the components.
 
 Defined cases: null or blank text has no shingles and links with nothing; texts under five words have one
-shingle, the whole sequence; equal ids get equal results only for equal texts; other columns are
-ignored; an empty table gives no rows. Shingles are 64-bit hashes, sets are told apart by 128 bits.
+shingle, the whole sequence; rows of one id with different texts are judged one by one; a null id takes part in its
+class but cannot name it (nor a component, if its whole class has none); other columns are
+ignored or passed through; an empty table gives no rows. Shingles are 64-bit hashes, sets are told apart by 128 bits.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 from aerolith.llm import exchange
 from aerolith.llm.components import components
 from aerolith.llm.store import blocks, keep
-from aerolith.llm.text import hashes, lower_words, mix, runs
+from aerolith.llm.text import distinct, hashes, lower_words, mix, runs
 
 WORDS = 5
 PERCENT = 80
@@ -48,7 +49,7 @@ _U = np.uint64
 def shingles(text: str | None, size: int = WORDS) -> np.ndarray:
     """Sorted distinct shingle hashes of a whole text."""
     h = hashes(lower_words(text))
-    return np.unique(runs(h, min(size, len(h)))) if len(h) else h
+    return distinct(runs(h, min(size, len(h)))) if len(h) else h
 
 
 def least_overlap(n):
@@ -252,7 +253,7 @@ def _families(ready: DataFrame, batches: int) -> DataFrame:
         sets, (keys, _, _) = tallied(t)
         _, least = exchange.answers(side, 0)
         pairs = [(name, other) for name, s in zip(t["id"].to_pylist(), sets)
-                 for other in np.unique(least[np.searchsorted(keys, s)]).tolist() if other != name]
+                 for other in distinct(least[np.searchsorted(keys, s)]).tolist() if other != name]
         return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
 
     told = exchange.resolve(dealt.groupBy("batch").applyInArrow(send, exchange.MESSAGE_DDL))
@@ -285,8 +286,9 @@ def class_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     batched = exchange.deal(docs, blocks(size, exchange.BATCH_BYTES))
     sets = keep(shingle_sets(batched), "sets")
     named = (sets.filter("n > 0").groupBy("h1", "h2", "n")
-             .agg(F.min(F.struct("doc_id", "batch")).alias("s")).select("h1", "h2", F.col("s.doc_id").alias("id"), F.col("s.batch").alias("batch")))
-    named = keep(named, "classes")
+             .agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "batch"))).alias("s"))
+             .select("h1", "h2", F.col("s.doc_id").alias("id"), F.col("s.batch").alias("batch")))
+    named = keep(named.filter("id is not null"), "classes")
     left = keep(_with_partners(batched, named.select("batch", F.col("id").alias("doc_id"), "h1", "h2", "id"),
                                blocks(size, exchange.BUCKET_BYTES)), "partners")
     batches = blocks((left.agg(F.sum("n")).first()[0] or 0) * 8, exchange.BATCH_BYTES)
@@ -314,5 +316,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def one_per_group(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with one document (the smallest id) of each group of linked documents."""
-    gone = (near_duplicates(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct())
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    gone = near_duplicates(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
+    rows = docs.select(F.struct("*").alias("row"))
+    return rows.join(gone, F.col("row.doc_id") == F.col("gone"), "left_anti").select("row.*")
