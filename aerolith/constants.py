@@ -21,7 +21,6 @@ SOURCE_TAG = "openweathermap"
 QUALITY_FALLBACK = "PASSED"
 
 # FIXED VALUES: unit conversions
-MILES_TO_KM = 1.60934
 METERS_PER_MILE = 1609.34
 
 # ---------------------------------------------------------------------------
@@ -282,6 +281,26 @@ DOC_TEMPLATE_API = [
     ("%. Extreme: ", "_extreme_yes"), (". Anomaly Score: ", "temp_anomaly_score"), (".", None),
 ]
 
+DOC_TEMPLATE_RAG = [
+    ("City: ", "city"), (", ", "state"), (" (", "country"), ("). Continent: ", "continent"),
+    (". Temperature: ", "temperature_fahrenheit"), ("°F. Humidity: ", "humidity_percent"), ("%. Wind: ", "wind_speed_mph"),
+    (" mph. Pressure: ", "pressure_hpa"), (" hPa. Heat Index: ", "heat_index"), ("°F. Wind Chill: ", "wind_chill"),
+    ("°F. Condition: ", "weather_condition"), (". Cloud Cover: ", "cloud_cover_percent"), ("%. Visibility: ", "visibility_miles"),
+    (" miles. Extreme Weather: ", "_extreme_word"), (". Anomaly Score: ", "temp_anomaly_score"),
+    (". Temperature Anomaly: ", "temperature_anomaly"), ("°F. Season: ", "season"), (".", None),
+]
+
+# printed with miles: this Gold layer has no kilometre column
+DOC_TEMPLATE_CHAT = [
+    ("City: ", "city"), (", Country: ", "country"), (", Continent: ", "continent"), (", Region: ", "region"),
+    (". Temperature: ", "temperature_fahrenheit"), ("F (", "temperature_celsius"), ("C). Humidity: ", "humidity_percent"),
+    ("%. Wind: ", "wind_speed_mph"), (" mph. Pressure: ", "pressure_hpa"), (" hPa. Heat Index: ", "heat_index"),
+    ("F. Wind Chill: ", "wind_chill"), ("F. Weather: ", "weather_condition"), (" - ", "weather_description"),
+    (". Clouds: ", "cloud_cover_percent"), ("%. Visibility: ", "visibility_miles"), (" miles. Rain: ", "precipitation_mm"),
+    (" mm. Extreme: ", "_extreme_yes"), (". Heatwave: ", "_heatwave"), (". Extreme Cold: ", "_cold"), (". High Wind: ", "_wind"),
+    (". Anomaly Score: ", "temp_anomaly_score"), (". Temp Anomaly: ", "temperature_anomaly"), ("F.", None),
+]
+
 ANOMALY_BRIEF_TEMPLATE = [
     ("- City: ", "city"), (", ", "state"), ("\n- Country: ", "country"), ("\n- Continent: ", "continent"),
     ("\n- Current Temperature: ", "temperature_fahrenheit"),

@@ -18,11 +18,11 @@ def exact_avg_round(c, d: int) -> Column:
     The double mean ``sum / count`` is rounded first; near a tie it can be one
     unit off (the mean 61.85 is the double 61.849999999999994). The exact DECIMAL
     sum is then compared with ``count * (r -/+ half a unit)`` in decimal, which
-    moves ``r`` to the correctly rounded value. Every part is a mergeable
+    moves ``r`` to the correctly rounded value. Values hold six digits after and fourteen before the point. Every part is a mergeable
     aggregate, so the result does not depend on summation order or engine.
     """
     x = col_(c)
-    s = F.sum(x.cast("decimal(12,4)"))
+    s = F.sum(x.cast("decimal(20,6)"))
     n = F.count(x).cast("decimal(20,0)")
     r = F.round(s.cast("double") / F.count(x), d).cast(f"decimal(18,{d})")
     u = F.lit(str(Decimal(1).scaleb(-d))).cast(f"decimal(18,{d})")
@@ -34,7 +34,7 @@ def exact_avg_round(c, d: int) -> Column:
 
 
 def exact_avg_round_sql(x: str, d: int) -> str:
-    s = f"sum(CAST({x} AS DECIMAL(12,4)))"
+    s = f"sum(CAST({x} AS DECIMAL(20,6)))"
     n = f"CAST(count({x}) AS DECIMAL(20,0))"
     r = f"CAST(round(CAST({s} AS DOUBLE) / count({x}), {d}) AS DECIMAL(18,{d}))"
     u = f"CAST('{Decimal(1).scaleb(-d)}' AS DECIMAL(18,{d}))"

@@ -143,8 +143,8 @@ def extreme_reasons(t=T, w=W, score="temp_anomaly_score") -> Column:
     """Reason strings for an extreme reading, in rule order, joined by '; '."""
     t, w, s = col_(t), col_(w), col_(score)
     parts = F.array(
-        F.when(t > 100, F.format_string("High temperature (%sF > 100F)", F.round(t, 1).cast("string"))),
-        F.when(t < 10, F.format_string("Low temperature (%sF < 10F)", F.round(t, 1).cast("string"))),
+        F.when(t > 100, F.format_string("High temperature (%s°F > 100°F)", F.round(t, 1).cast("string"))),
+        F.when(t < 10, F.format_string("Low temperature (%s°F < 10°F)", F.round(t, 1).cast("string"))),
         F.when(w > 50, F.format_string("High wind (%s mph > 50 mph)", F.round(w, 1).cast("string"))),
         F.when(s > 2.5, F.format_string("High anomaly score (%s > 2.5)", F.round(s, 2).cast("string"))),
     )
@@ -153,7 +153,7 @@ def extreme_reasons(t=T, w=W, score="temp_anomaly_score") -> Column:
 
 def extreme_reasons_sql(t=T, w=W, score="temp_anomaly_score") -> str:
     return ("concat_ws('; ', "
-            f"CASE WHEN {t} > 100 THEN 'High temperature (' || CAST(round({t}, 1) AS VARCHAR) || 'F > 100F)' END, "
-            f"CASE WHEN {t} < 10 THEN 'Low temperature (' || CAST(round({t}, 1) AS VARCHAR) || 'F < 10F)' END, "
+            f"CASE WHEN {t} > 100 THEN 'High temperature (' || CAST(round({t}, 1) AS VARCHAR) || '°F > 100°F)' END, "
+            f"CASE WHEN {t} < 10 THEN 'Low temperature (' || CAST(round({t}, 1) AS VARCHAR) || '°F < 10°F)' END, "
             f"CASE WHEN {w} > 50 THEN 'High wind (' || CAST(round({w}, 1) AS VARCHAR) || ' mph > 50 mph)' END, "
             f"CASE WHEN {score} > 2.5 THEN 'High anomaly score (' || CAST(round({score}, 2) AS VARCHAR) || ' > 2.5)' END)")

@@ -56,28 +56,38 @@ def _arg_max(latest: DataFrame, value: str, template: str, key: str) -> DataFram
     return top.select(fill(template, place=place(), **{key: r1(value)}, t=r1(T)).alias("answer"))
 
 
-def _listing(latest: DataFrame, cond: Column, template: str, none: str) -> DataFrame:
-    items = latest.filter(cond).select("city", fill(K.ANSWER_LIST_ITEM, place=place(), t=r1(T)).alias("item"))
-    agg = items.agg(F.count(F.lit(1)).alias("n"),
-                    F.array_sort(F.collect_list(F.struct("city", "item"))).alias("_i"))
-    text = fill(template, n=F.col("n").cast("string"),
-                list=F.concat_ws(", ", F.transform("_i", lambda s: s["item"])))
-    return agg.select(F.when(F.col("n") == 0, F.lit(none)).otherwise(text).alias("answer"))
+def _conditions(latest: DataFrame) -> dict:
+    cols = set(latest.columns)
+    return {"extreme": F.col("is_extreme_weather") == 1,
+            "heatwave": (F.col("is_heatwave") == 1) if "is_heatwave" in cols else (F.col(T) > 100),
+            "cold": (F.col("is_extreme_cold") == 1) if "is_extreme_cold" in cols else (F.col(T) < 10)}
+
+
+def _opening(latest: DataFrame, cond: Column, template: str, none: str) -> DataFrame:
+    """The answer up to its list of cities, which has a row per city in ``listed_cities``."""
+    n = latest.filter(cond).agg(F.count(F.lit(1)).alias("n"))
+    text = fill(template.split("{list}")[0], n=F.col("n").cast("string"))
+    return n.select(F.when(F.col("n") == 0, F.lit(none)).otherwise(text).alias("answer"))
+
+
+def listed_cities(latest: DataFrame) -> DataFrame:
+    """(kind, city, item): the cities that the list answers name."""
+    kinds = [F.when(cond, F.lit(kind)) for kind, cond in _conditions(latest).items()]
+    return latest.select(F.explode(F.array_compact(F.array(*kinds))).alias("kind"), "city",
+                         fill(K.ANSWER_LIST_ITEM, place=place(), t=r1(T)).alias("item"))
 
 
 def direct_answers(latest: DataFrame) -> DataFrame:
     """(kind, answer) for the seven kinds; every part is a small aggregate over latest rows."""
-    cols = set(latest.columns)
-    hw = (F.col("is_heatwave") == 1) if "is_heatwave" in cols else (F.col(T) > 100)
-    ec = (F.col("is_extreme_cold") == 1) if "is_extreme_cold" in cols else (F.col(T) < 10)
+    cond = _conditions(latest)
     parts = {
         "hottest": _top5(latest, True, K.ANSWER_HOTTEST),
         "coldest": _top5(latest, False, K.ANSWER_COLDEST),
         "humid": _arg_max(latest, H, K.ANSWER_HUMID, "h"),
         "windy": _arg_max(latest, W, K.ANSWER_WINDY, "w"),
-        "extreme": _listing(latest, F.col("is_extreme_weather") == 1, K.ANSWER_EXTREME, K.ANSWER_EXTREME_NONE),
-        "heatwave": _listing(latest, hw, K.ANSWER_HEATWAVE, K.ANSWER_HEATWAVE_NONE),
-        "cold": _listing(latest, ec, K.ANSWER_COLD, K.ANSWER_COLD_NONE),
+        "extreme": _opening(latest, cond["extreme"], K.ANSWER_EXTREME, K.ANSWER_EXTREME_NONE),
+        "heatwave": _opening(latest, cond["heatwave"], K.ANSWER_HEATWAVE, K.ANSWER_HEATWAVE_NONE),
+        "cold": _opening(latest, cond["cold"], K.ANSWER_COLD, K.ANSWER_COLD_NONE),
     }
     out = None
     for kind, df in parts.items():
@@ -127,8 +137,7 @@ def direct_answers_sql(latest: str) -> str:
         return f"SELECT {body} AS answer FROM {latest} ORDER BY {value} DESC NULLS LAST, city LIMIT 1"
 
     def listing(cond: str, template: str, none: str) -> str:
-        item = fill_sql(K.ANSWER_LIST_ITEM, place=PLACE_SQL, t=r1_sql(T))
-        text = fill_sql(template, n="CAST(count(*) AS VARCHAR)", list=f"string_agg({item}, ', ' ORDER BY city)")
+        text = fill_sql(template.split("{list}")[0], n="CAST(count(*) AS VARCHAR)")
         return (f"SELECT CASE WHEN count(*) = 0 THEN '{none}' ELSE {text} END AS answer "
                 f"FROM {latest} WHERE {cond}")
 
@@ -138,3 +147,9 @@ def direct_answers_sql(latest: str) -> str:
              ("heatwave", listing("is_heatwave = 1", K.ANSWER_HEATWAVE, K.ANSWER_HEATWAVE_NONE)),
              ("cold", listing("is_extreme_cold = 1", K.ANSWER_COLD, K.ANSWER_COLD_NONE))]
     return "\nUNION ALL\n".join(f"SELECT '{k}' AS kind, answer FROM ({q}) {k}_q" for k, q in parts)
+
+
+def listed_cities_sql(latest: str) -> str:
+    item = fill_sql(K.ANSWER_LIST_ITEM, place=PLACE_SQL, t=r1_sql(T))
+    flags = (("extreme", "is_extreme_weather"), ("heatwave", "is_heatwave"), ("cold", "is_extreme_cold"))
+    return "\nUNION ALL\n".join(f"SELECT '{k}' AS kind, city, {item} AS item FROM {latest} WHERE {flag} = 1" for k, flag in flags)

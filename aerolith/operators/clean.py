@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolith.constants import SILVER_A_FILL
@@ -17,23 +17,22 @@ def dedup_readings(df: DataFrame, keys=("city", "timestamp"),
                    order=("ingestion_timestamp", "reading_id"), copies: str | None = None) -> DataFrame:
     """One row per (city, timestamp): the earliest ingestion, then the lowest id.
 
-    Written as an aggregation (``min_by`` over a struct) instead of a
-    ``row_number`` window: the aggregate runs a partial (map-side) step, so a hot
-    key with many copies is collapsed before the shuffle instead of landing whole
-    in one task. ``copies`` names an optional extra column holding each group's
-    size (from the same aggregate), for audits.
+    A first-row window per key: Spark limits groups on the map side
+    (WindowGroupLimit), so a hot key with many copies is cut before the shuffle, and columns that the
+    caller does not use are pruned down to the scan. ``copies`` names an optional extra column
+    holding each group's size, for audits; it comes from an aggregate whose ``min_by`` columns
+    are pruned one by one.
     """
     keys = [k for k in keys if k in df.columns]
     if not keys or "timestamp" not in keys:
         ts = first_timestamp_column(df)
         keys = ["city", ts] if ts else ["city"]
     order = [o for o in order if o in df.columns]
-    rest = [c for c in df.columns if c not in keys]
-    extra = [copies] if copies else []
-    agg = df.groupBy(*keys).agg(
-        F.min_by(F.struct(*rest), F.struct(*order)).alias("_r"),
-        *([F.count(F.lit(1)).alias(copies)] if copies else []))
-    return agg.select(*keys, "_r.*", *extra).select(*df.columns, *extra)
+    if copies:
+        first = [F.min_by(c, F.struct(*order)).alias(c) for c in df.columns if c not in keys]
+        return df.groupBy(*keys).agg(*first, F.count(F.lit(1)).alias(copies)).select(*df.columns, copies)
+    w = Window.partitionBy(*keys).orderBy(*order)
+    return df.withColumn("_first", F.row_number().over(w)).filter("_first = 1").drop("_first")
 
 
 def dedup_readings_sql(src: str, keys=("city", "timestamp"),

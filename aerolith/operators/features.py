@@ -20,10 +20,6 @@ def add_wind_chill(df: DataFrame, p: Profile) -> DataFrame:
     return df.withColumn("wind_chill", wx.wind_chill(p))
 
 
-def add_columns(df: DataFrame, cols: dict) -> DataFrame:
-    return df.withColumns(cols)
-
-
 def city_statistics(df: DataFrame, p: Profile, with_humidity: bool = True) -> DataFrame:
     """Per-city aggregate table: avg/min/max (profile digits), sample stddev (2 dp).
 

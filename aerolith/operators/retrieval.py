@@ -1,43 +1,32 @@
 """Exact vector retrieval (2.10): cosine top-k and context assembly.
 
-Brute-force scoring is the operator (no approximate index). Query vectors form
-a size-checked table that is broadcast; every stored vector is scored against
-every query of the broadcast set in one narrow stage, then a per-query
-``row_number() <= k`` keeps the k best. Spark plans that filter as a partial
-WindowGroupLimit before the shuffle, so each map task ships at most k rows per
-query.
-
-The query table is written once under the shared checkpoint folder (it cuts
-lineage, and its row count is then read from parquet footers). At most
-``MAX_BROADCAST_QUERIES`` queries are broadcast in one pass; a larger query set
-is split into hash blocks of about half that size, each block is one broadcast
-pass over the stored vectors, and the block results (final, since every query
-lies in exactly one block) are written and read back as one table.
+Brute-force scoring is the operator (no approximate index). Items are dealt into
+shards and queries into blocks of ``block_bytes``; each task scores one shard
+against one block by a blocked product over Arrow data and returns at most k rows per query, which a per-query
+``row_number() <= k`` merges. One code path serves any number and width of queries, nothing is
+broadcast, and no pair table is built.
+
+Ranking uses the full double-precision score; the output is rounded. Vectors that
+are null, hold null components, or have length zero take no part.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from aerolith.sources.layers import fresh_path
 
-# 20,000 queries x 64 doubles is about 10 MB per executor: the largest broadcast row
-MAX_BROADCAST_QUERIES = 20_000
+BLOCK_BYTES = 4 << 20
+SHARD_ROWS = 65_536
 
 
 def as_double_array(c) -> Column:
     return (F.col(c) if isinstance(c, str) else c).cast("array<double>")
 
 
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
-
-
-def norm(a: Column) -> Column:
-    return F.sqrt(F.aggregate(a, F.lit(0.0), lambda acc, x: acc + x * x))
-
-
 def label_centroids(emb: DataFrame, key: str = "label", vec: str = "embedding") -> DataFrame:
     """Mean vector per label (one query per class), built with a partial aggregate per dimension."""
     exploded = emb.select(key, F.posexplode(as_double_array(vec)).alias("pos", "x"))
@@ -47,49 +36,73 @@ def label_centroids(emb: DataFrame, key: str = "label", vec: str = "embedding")
                    .select(F.col(key).alias("query_id"), F.transform("_p", lambda s: s["x"]).alias("query_vec")))
 
 
-def _broadcast_pass(items: DataFrame, q: DataFrame, k: int, item_id: str, bound: int) -> DataFrame:
-    """Top-k of every query in ``q`` (at most ``bound`` rows, asserted at run time) over all items."""
-    qs = F.collect_list(F.struct("query_id", "q", "qn"))
-    qset = (q.agg(qs.alias("_qs"))
-             .select(F.when(F.size("_qs") <= bound, F.col("_qs"))
-                      .otherwise(F.raise_error(F.lit(f"more than {bound} query vectors in one broadcast")))
-                      .alias("_qs"))
-             .withColumn("_k", F.lit(1)))
-    scored = (items.join(F.broadcast(qset), "_k")
-                   .select(item_id, F.explode(F.transform(
-                       "_qs", lambda s: F.struct(s["query_id"].alias("query_id"),
-                                                 F.round(dot(F.col("v"), s["q"]) / (F.col("vn") * s["qn"]), 6)
-                                                 .alias("score")))).alias("_s"))
-                   .select("_s.query_id", item_id, "_s.score"))
-    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(item_id))
-    return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+def _usable(df: DataFrame, id_col: str, vec: str, out: str) -> DataFrame:
+    v = as_double_array(vec)
+    d = df.select(F.col(id_col).alias(out), v.alias("v")).filter("v is not null")
+    return (d.filter(~F.exists("v", lambda x: x.isNull()) & F.exists("v", lambda x: x != 0))
+             .withColumn("dim", F.size("v")))
 
 
-def cosine_top_k(items: DataFrame, queries: DataFrame, k: int, item_id: str = "vec_id",
-                 vec: str = "embedding", max_broadcast: int = MAX_BROADCAST_QUERIES) -> DataFrame:
-    """(query_id, vec_id, score, rank): the k items most cosine-similar to each query.
+def _matrix(t: pa.Table) -> np.ndarray:
+    return t["v"].combine_chunks().values.to_numpy(zero_copy_only=False).reshape(len(t), -1)
 
-    Each item computes its score against every query of a broadcast set in one
-    expression, so there is no pair table and no nested-loop join over data rows.
+
+def _norms(m: np.ndarray) -> np.ndarray:
+    total = np.zeros(len(m))
+    for x in m.T:
+        total += x * x
+    return np.sqrt(total)
+
+
+def best_in_shard(items: np.ndarray, ids: np.ndarray, queries: np.ndarray, k: int, cells: int = 1 << 21):
+    """Item positions and cosine scores (queries, <= k) of the best items of each query, ties to smaller ids.
+
+    Products are added up component by component, so equal vectors get equal scores wherever they lie.
     """
-    spark = items.sparkSession
-    path = fresh_path(spark, "retrieval/queries")
-    (queries.select("query_id", as_double_array("query_vec").alias("q"))
-            .select("query_id", "q", norm(F.col("q")).alias("qn"))
-            .write.parquet(path))
-    q = spark.read.parquet(path)
-    n = q.count()  # the size check: one number to the driver
-    it = (items.select(item_id, as_double_array(vec).alias("v"))
-               .select(item_id, "v", norm(F.col("v")).alias("vn"), F.lit(1).alias("_k")))
-    if n <= max_broadcast:
-        return _broadcast_pass(it, q, k, item_id, max_broadcast)
-    block_rows = max(1, max_broadcast // 2)
-    blocks = -(-n // block_rows)
-    block = F.pmod(F.xxhash64("query_id"), F.lit(blocks))
-    out = fresh_path(spark, "retrieval/top_k")
-    for b in range(blocks):
-        _broadcast_pass(it, q.filter(block == b), k, item_id, max_broadcast).write.mode("append").parquet(out)
-    return spark.read.parquet(out)
+    order = np.argsort(ids, kind="stable")
+    items = items[order]
+    qn, n = _norms(queries), _norms(items)
+    at, score = np.empty((len(queries), 0), np.int64), np.empty((len(queries), 0))
+    step = max(1, cells // max(1, len(queries)))
+    for lo in range(0, len(items), step):
+        part = items[lo:lo + step]
+        s = np.zeros((len(queries), len(part)))
+        for x, y in zip(queries.T, part.T):
+            s += x[:, None] * y
+        s /= qn[:, None] * n[lo:lo + step]
+        score = np.hstack([score, s])
+        at = np.hstack([at, np.broadcast_to(np.arange(lo, lo + len(part)), s.shape)])
+        keep = np.argsort(-score, axis=1, kind="stable")[:, :k]  # stable: earlier ids win ties
+        score, at = np.take_along_axis(score, keep, 1), np.take_along_axis(at, keep, 1)
+    return order[at], score
+
+
+def cosine_top_k(items: DataFrame, queries: DataFrame, k: int, item_id: str = "vec_id", vec: str = "embedding",
+                 block_bytes: int = BLOCK_BYTES, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """(query_id, vec_id, score, rank): the k items most cosine-similar to each query."""
+    it, q = _usable(items, item_id, vec, "item"), _usable(queries, "query_id", "query_vec", "query")
+    n, wide = q.agg(F.count(F.lit(1)), F.max("dim")).first()
+    blocks = max(1, -(-n * (wide or 0) * 8 // block_bytes))
+    shards = max(1, -(-it.count() // shard_rows))
+    types = {f.name: f.dataType.simpleString() for f in [*it.schema.fields, *q.schema.fields]}
+    each = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
+    held = it.select("*", F.pmod(F.xxhash64("item"), F.lit(shards)).cast("int").alias("shard")).select("*", each(blocks).alias("block"))
+    asked = q.select("*", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int").alias("block")).select("*", each(shards).alias("shard"))
+
+    def score(q_rows, i_rows):
+        if not len(q_rows) or not len(i_rows):
+            return pa.table({"query_id": q_rows["query"].slice(0, 0), item_id: i_rows["item"].slice(0, 0),
+                             "score": pa.array([], pa.float64())})
+        at, s = best_in_shard(_matrix(i_rows), i_rows["item"].to_numpy(), _matrix(q_rows), k)
+        which = np.repeat(np.arange(len(at)), at.shape[1])
+        return pa.table({"query_id": q_rows["query"].take(pa.array(which)), item_id: i_rows["item"].take(pa.array(at.ravel())),
+                         "score": pa.array(s.ravel())})
+
+    found = (asked.groupBy("dim", "shard", "block").cogroup(held.groupBy("dim", "shard", "block"))
+             .applyInArrow(score, f"query_id {types['query']}, {item_id} {types['item']}, score double"))
+    w = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col(item_id))
+    return (found.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+                 .select("query_id", item_id, F.round("score", 6).alias("score"), "rank"))
 
 
 def build_context(ranked: DataFrame, texts: DataFrame, item_id: str = "vec_id",

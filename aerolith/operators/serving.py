@@ -16,13 +16,17 @@ T, H, W = "temperature_fahrenheit", "humidity_percent", "wind_speed_mph"
 def latest_per_city(gold: DataFrame, ts: str = "timestamp", tie: str = "reading_id") -> DataFrame:
     """One current row per city: latest timestamp, then highest id.
 
-    ``max_by`` over a struct is an aggregate with a partial step, so a city with a
-    third of all rows is reduced map-side; no per-city sort of all rows happens.
+    Two hash aggregates over plain columns find each city's newest time and the highest id there (one small
+    key row per city); the row itself is fetched by a join with those keys. Nothing is sorted to find it, a city with
+    a third of all rows is reduced map-side, and unused columns are never read.
     """
-    rest = [c for c in gold.columns if c != "city"]
-    return (gold.groupBy("city")
-                .agg(F.max_by(F.struct(*rest), F.struct(ts, tie)).alias("_r"))
-                .select("city", "_r.*"))
+    newest = gold.groupBy("city").agg(F.max(ts).alias("_ts"))
+    at = gold.select("city", ts, tie).join(newest.withColumnRenamed("city", "_city"),
+                                           (F.col("city") == F.col("_city")) & F.col(ts).eqNullSafe(F.col("_ts")))
+    keys = at.groupBy(F.col("city").alias("_city"), "_ts").agg(F.max(tie).alias("_tie"))
+    return (gold.join(keys, (F.col("city") == F.col("_city")) & F.col(ts).eqNullSafe(F.col("_ts"))
+                      & (F.col(tie) == F.col("_tie")))
+                .drop("_city", "_ts", "_tie"))
 
 
 def top_k(df: DataFrame, k: int, *order) -> DataFrame:

@@ -156,7 +156,7 @@ def join_location(fact: DataFrame, dim_loc: DataFrame) -> DataFrame:
 def join_time(fact: DataFrame, dim_t: DataFrame, ts: str = "timestamp") -> DataFrame:
     """Floor to the hour and match the calendar; out of range -> null key, row kept."""
     hours = dim_t.select(F.col("full_timestamp").alias("_hour"), "time_key")
-    return (fact.withColumn("_hour", cal.hour_floor(F.col(ts).cast("timestamp_ntz")))
+    return (fact.withColumn("_hour", cal.hour_floor(F.col(ts).try_cast("timestamp_ntz")))
                 .join(hours, "_hour", "left").drop("_hour"))
 
 
@@ -226,7 +226,7 @@ def star(gold: DataFrame, persist: bool = True) -> dict[str, DataFrame]:
         gold = materialize(gold, "gold")
     ts = "timestamp" if "timestamp" in gold.columns else "reading_timestamp"
     loc = dim_location(gold)
-    h = cal.hour_floor(F.col(ts).cast("timestamp_ntz"))
+    h = cal.hour_floor(F.col(ts).try_cast("timestamp_ntz"))
     tim = dim_time(spark, F.min(h), F.max(h), source=gold)
     wt = dim_weather_type(gold)
     if persist:

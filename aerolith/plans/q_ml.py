@@ -129,16 +129,13 @@ def q_regression(spark, d):
 
 # --- learned models: rows-only checks ------------------------------------------------
 
-REG_TREES = 20  # registered-query setting; the application default is 200
-
-
 def _train_test(spark, d):
     s = ml.stratified_split(_fm(spark, d), label="label")
     return s.filter("is_train"), s.filter("NOT is_train")
 
 
 @register("train_extreme_classifier")
-def q_train(spark, d, trees: int = REG_TREES):
+def q_train(spark, d, trees: int = 200):
     train, test = _train_test(spark, d)
     model = ml.train_extreme_classifier(train, F24, trees=trees)
     return model.transform(ml.assemble(test, F24)).select("reading_id", "label",
@@ -146,23 +143,21 @@ def q_train(spark, d, trees: int = REG_TREES):
 
 
 @register("feature_importance")
-def q_importance(spark, d, trees: int = REG_TREES):
+def q_importance(spark, d, trees: int = 200):
     train, _ = _train_test(spark, d)
     return ml.feature_importance(ml.train_extreme_classifier(train, F24, trees=trees), F24, spark)
 
 
-@register("tune_classifier")
-def q_tune(spark, d, trials: int = 2, folds: int = 2):
-    train, test = _train_test(spark, d)
-    cv = ml.tune_classifier(train, F24, trials=trials, folds=folds)
-    pred = cv.bestModel.transform(ml.assemble(test, F24))
-    return ml.binary_metrics(pred.withColumn("prediction", F.col("prediction").cast("int")))
+# The search (operators.ml.tune_classifier: 50 settings, 5 folds, up to 500 trees) is not registered: it fits
+# 251 models, which no check run has time for, and a smaller search would be another operator.
 
 
 @register("forecast_regressor")
 def q_forecast_reg(spark, d):
-    """Sequences -> chronological split per city -> linear model -> test MAE / RMSE."""
+    """Fill forward -> scale to 0..1 -> sequences -> chronological split per city -> linear model -> scaled MAE / RMSE."""
     g = base.gold_a(spark, d)
+    feats = list(ml.SEQ_FEATURES)
+    g = ml.minmax_scale(ml.forward_fill(g, feats), feats)
     seq = ml.sequence_windows(g, keep_ts=True)
     lag_cols = [c for c in seq.columns if "_lag" in c]
     split = ml.chronological_split(seq)

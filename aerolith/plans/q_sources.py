@@ -16,7 +16,7 @@ from aerolith.sources.tables import readings
 from aerolith.streaming import jobs
 
 _ISO = f"strftime(timestamp, '{pl.ISO_DUCK}')"
-_NOT_MALFORMED = f"reading_id % {pl.MALFORMED_EVERY} <> 0"
+_NOT_MALFORMED = f"reading_id % {pl.MALFORMED_EVERY} <> 0 AND reading_id % {pl.QUOTED_EVERY} <> 0"
 
 
 @register("decode_json_payload", sql(f"""SELECT reading_id AS message_id, {_ISO} AS timestamp, city AS location,
@@ -50,11 +50,11 @@ def q_processor(spark, d):
     return pl.processor_clean(pl.simple_reading_topic(readings(spark, d)))
 
 
-@register("extreme_event_c", sql("SELECT extreme_event, count(*) AS n FROM processed GROUP BY extreme_event",
+@register("extreme_event_c", sql("SELECT message_id, temperature, wind_speed, extreme_event FROM processed",
                                  "processed"))
 def q_extreme_c(spark, d):
     p = pl.processor_clean(pl.simple_reading_topic(readings(spark, d)))
-    return p.groupBy("extreme_event").agg(F.count(F.lit(1)).alias("n"))
+    return p.select("message_id", "temperature", "wind_speed", "extreme_event")
 
 
 @register("latest_processed", sql("""SELECT location, temperature, humidity, wind_speed, heat_index, extreme_event,
@@ -85,7 +85,9 @@ _CAT_VALUES = ", ".join(f"('{c.replace(chr(39), chr(39) * 2)}', '{co}', '{ct}',
 FROM readings r LEFT JOIN (VALUES {_CAT_VALUES}) c(city, country, continent, region, lat, lon) ON r.city = c.city
 WHERE temperature_fahrenheit IS NOT NULL AND humidity_percent IS NOT NULL AND pressure_hpa IS NOT NULL
   AND wind_speed_mph IS NOT NULL AND weather_condition IS NOT NULL AND weather_description IS NOT NULL
-  AND cloud_cover_percent IS NOT NULL""", "readings"))
+  AND cloud_cover_percent IS NOT NULL
+  AND NOT (reading_id % {pl.CURRENT_NULLS_EVERY} = 0 AND (wind_direction_degrees IS NULL OR
+           reading_id % {pl.VISIBILITY_MISSING_EVERY} = 0 OR NOT coalesce(precipitation_mm > 0, false)))""", "readings"))
 def q_current(spark, d):
     return pl.normalize_current_weather(pl.current_weather_topic(readings(spark, d)))
 
@@ -95,8 +97,12 @@ def q_current(spark, d):
   CASE WHEN reading_id % {pl.WIND_MISSING_EVERY} <> 0 THEN CAST(CAST(floor(wind_speed_mph) AS BIGINT) AS DOUBLE)
        ELSE 0.0 END AS wind_speed,
   CASE WHEN pressure_hpa * 100 > 100 THEN pressure_hpa * 100 / 100 ELSE pressure_hpa * 100 END AS pressure,
-  CAST(0.0 AS DOUBLE) AS precipitation, coalesce(weather_description, '') AS forecast_text,
-  hour(timestamp) >= 6 AND hour(timestamp) < 18 AS is_daytime FROM readings""", "readings"))
+  CAST(0.0 AS DOUBLE) AS precipitation,
+  CASE WHEN reading_id % {pl.FORECAST_NULLS_EVERY} = 0 THEN weather_description ELSE coalesce(weather_description, '') END
+    AS forecast_text,
+  hour(timestamp) >= 6 AND hour(timestamp) < 18 AS is_daytime FROM readings
+WHERE reading_id % {pl.MALFORMED_EVERY} <> 0 AND reading_id % {pl.CALM_EVERY} <> 0
+  AND NOT (reading_id % {pl.FORECAST_NULLS_EVERY} = 0 AND temperature_fahrenheit IS NULL)""", "readings"))
 def q_forecast_period(spark, d):
     return pl.normalize_forecast_period(pl.forecast_period_topic(readings(spark, d)))
 
@@ -143,24 +149,28 @@ def q_bronze_stream(spark, d):
     """Messages -> decode -> stamp -> parquet partitioned by ingestion_date (availableNow), read back."""
     landing = layers.land(pl.reading_json_topic(readings(spark, d)), "bronze-topic")
     out, ckpt = layers.fresh_path(spark, "bronze"), layers.fresh_path(spark, "checkpoints/bronze")
-    q = jobs.start_bronze_stream(spark, jobs.file_source(spark, landing, max_files=1), out, ckpt,
+    q = jobs.start_bronze_stream(spark, jobs.file_source(spark, landing), out, ckpt,
                                  trigger={"availableNow": True})
     q.awaitTermination()
     return spark.read.parquet(out).drop("bronze_loaded_at")
 
 
-@register("bronze_stream_sink", sql("""SELECT ingestion_date, count(*) AS n FROM (SELECT CAST(timestamp AS DATE)
-  AS ingestion_date FROM readings) x GROUP BY ingestion_date""", "readings"))
+@register("bronze_stream_sink", sql("""SELECT CAST(timestamp AS DATE) AS ingestion_date, count(*) AS n,
+  count(DISTINCT city) AS cities, min(temperature_fahrenheit) AS coldest, max(temperature_fahrenheit) AS hottest,
+  count(humidity_percent) AS humid_rows FROM readings GROUP BY ALL""", "readings"))
 def q_bronze_sink(spark, d):
-    """The Bronze sink's partition layout: rows per ingestion_date directory."""
-    return q_bronze_stream(spark, d).groupBy("ingestion_date").agg(F.count(F.lit(1)).alias("n"))
+    """What the Bronze sink holds in each ingestion_date directory."""
+    return q_bronze_stream(spark, d).groupBy("ingestion_date").agg(
+        F.count(F.lit(1)).alias("n"), F.countDistinct("city").alias("cities"),
+        F.min("temperature_fahrenheit").alias("coldest"), F.max("temperature_fahrenheit").alias("hottest"),
+        F.count("humidity_percent").alias("humid_rows"))
 
 
 def _processor_run(spark, d):
     landing = layers.land(pl.simple_reading_topic(readings(spark, d)), "json-topic")
     raw, proc = layers.fresh_path(spark, "raw_events"), layers.fresh_path(spark, "processed_data")
     ckpt = layers.fresh_path(spark, "checkpoints/processor")
-    src = jobs.file_source(spark, landing, max_files=1)
+    src = jobs.file_source(spark, landing)
     for q in jobs.start_processor_stream(spark, src, raw, proc, ckpt, trigger={"availableNow": True}):
         q.awaitTermination()
     return spark.read.parquet(raw), spark.read.parquet(proc)
@@ -172,13 +182,16 @@ def q_processor_stream(spark, d):
     return proc.drop("processed_at")
 
 
-@register("raw_and_processed_sink", sql(f"""SELECT (SELECT count(*) FROM readings WHERE {_NOT_MALFORMED}) AS raw_rows,
-  (SELECT count(*) FROM processed) AS processed_rows,
-  (SELECT count(*) FROM processed p JOIN (SELECT reading_id FROM readings WHERE {_NOT_MALFORMED}) r
-     ON p.message_id = r.reading_id) AS processed_with_raw""", "processed"))
+@register("raw_and_processed_sink", sql(f"""SELECT r.reading_id AS message_id, strftime(r.timestamp, '{pl.ISO_DUCK}') AS timestamp, r.city AS location,
+  r.temperature_fahrenheit AS raw_temperature, r.humidity_percent AS raw_humidity, p.temperature, p.humidity,
+  p.heat_index, p.extreme_event
+FROM (SELECT * FROM readings WHERE {_NOT_MALFORMED}) r LEFT JOIN processed p ON p.message_id = r.reading_id""", "processed"))
 def q_raw_processed(spark, d):
+    """Both sinks' rows side by side: every raw message, with its processed row where there is one."""
     raw, proc = _processor_run(spark, d)
-    return sink_counts(raw, proc)
+    p = proc.select(F.col("message_id"), "temperature", "humidity", "heat_index", "extreme_event")
+    return (raw.select("message_id", "timestamp", "location", F.col("temperature").alias("raw_temperature"),
+                       F.col("humidity").alias("raw_humidity")).join(p, "message_id", "left"))
 
 
 def sink_counts(raw, proc):
@@ -190,19 +203,3 @@ def sink_counts(raw, proc):
         F.count(F.lit(1)).alias("processed_rows"),
         F.count("_in_raw").alias("processed_with_raw"))
     return r.withColumn("_k", F.lit(1)).join(p.withColumn("_k", F.lit(1)), "_k").drop("_k")
-
-
-# --- Avro ---------------------------------------------------------------------------
-from aerolith.sources import avro  # noqa: E402
-
-_AVRO_COLS = ", ".join(
-    f"strftime({n}, '{pl.ISO_MICRO_DUCK}') AS {n}" if n in ("timestamp", "ingestion_timestamp") else n
-    for n, _ in READING_FIELDS)
-_AVRO_REQUIRED = " AND ".join(f"{n} IS NOT NULL" for n, _ in READING_FIELDS if n not in ("state",))
-
-
-@register("decode_avro_payload", sql(f"""SELECT reading_id AS message_id, {_AVRO_COLS} FROM readings
-WHERE reading_id % {avro.GARBAGE_EVERY} <> 0 AND {_AVRO_REQUIRED}""", "readings"))
-def q_avro(spark, d):
-    """Producer twin (Avro, half behind a registry header, some garbage) decoded back."""
-    return avro.decode_avro_payload(avro.avro_topic(readings(spark, d)))

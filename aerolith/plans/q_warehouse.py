@@ -70,17 +70,25 @@ def q_upsert(spark, d):
     return wh.upsert_dim_location(existing, incoming)
 
 
-@register("join_location", sql("SELECT reading_key AS reading_id, location_key FROM fact", "fact"))
+@register("join_location", sql("""SELECT reading_key AS reading_id, f.location_key FROM fact f
+JOIN dim_location l ON f.location_key = l.location_key WHERE l.city <> 'Miami'""", "fact", "dim_location"))
 def q_join_location(spark, d):
+    """Against a dimension that lacks one city: its readings are dropped."""
     g = base.gold_a(spark, d)
-    loc = wh.materialize(wh.dim_location(g), "dim_location")
+    loc = wh.materialize(wh.dim_location(g).filter("city <> 'Miami'"), "dim_location")
     return wh.join_location(g, loc).select("reading_id", "location_key")
 
 
-@register("join_time", sql("SELECT reading_key AS reading_id, time_key FROM fact", "fact"))
+@register("join_time", sql("""SELECT reading_id, CASE WHEN date_trunc('hour', timestamp) <= (
+    SELECT date_trunc('hour', max(timestamp)) - INTERVAL 1 DAY FROM gold_a) THEN t.time_key END AS time_key
+FROM gold_a LEFT JOIN dim_time t ON date_trunc('hour', timestamp) = t.full_timestamp""", "gold_a", "dim_time"))
 def q_join_time(spark, d):
-    s = star(spark, d)
-    return wh.join_time(base.gold_a(spark, d), s["dim_time"]).select("reading_id", "time_key")
+    """A calendar that ends a day before the data does: later readings keep a null key."""
+    from aerolith.functions.calendar import hour_floor
+    g = base.gold_a(spark, d)
+    h = hour_floor(F.col("timestamp").cast("timestamp_ntz"))
+    dim = wh.dim_time(spark, F.min(h), F.max(h) - F.expr("INTERVAL 1 DAY"), source=g)
+    return wh.join_time(g, dim).select("reading_id", "time_key")
 
 
 @register("join_weather_type", sql(f"""SELECT g.reading_id,

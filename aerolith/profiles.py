@@ -38,5 +38,3 @@ PROFILE_B = Profile("B", hi_needs_humidity=False, hi_digits=2, hi_round_else=Fal
 PROFILE_C = Profile("C", hi_needs_humidity=True, hi_digits=2, hi_round_else=True,
                     wc_digits=2, stats_digits=2, anomaly_digits=2,
                     score_from_rounded_anomaly=True, daytime_start=6, daytime_end=20)
-
-PROFILES = {"A": PROFILE_A, "B": PROFILE_B, "C": PROFILE_C}

@@ -14,8 +14,6 @@ READING_FIELDS = [
     ("visibility_miles", _D), ("precipitation_mm", _D), ("timestamp", _S), ("ingestion_timestamp", _S),
 ]
 READING = StructType([StructField(n, t, True) for n, t in READING_FIELDS])
-# Only ``state`` may be null in the Avro contract.
-AVRO_NULLABLE = {"state"}
 
 # Simple reading (JSON topic) plus the forecast extras.
 SIMPLE_READING = StructType([
@@ -34,25 +32,3 @@ CURRENT_WEATHER = StructType([
     StructField("visibility", LongType()),
     StructField("rain", StructType([StructField("1h", _D)])),
 ])
-
-# Provider payload: one forecast period.
-FORECAST_PERIOD = StructType([
-    StructField("temperature", _D), StructField("windSpeed", _S),
-    StructField("relativeHumidity", StructType([StructField("value", _D)])),
-    StructField("barometricPressure", StructType([StructField("value", _D)])),
-    StructField("shortForecast", _S), StructField("isDaytime", BooleanType()),
-])
-
-# Registry contract of a nested reading and of an alert (no producer uses them).
-NESTED_READING = StructType([
-    StructField("reading_id", _S), StructField("timestamp", LongType()), StructField("source", _S),
-    StructField("location", StructType([StructField("city", _S), StructField("state", _S),
-                                        StructField("latitude", _D), StructField("longitude", _D)])),
-    StructField("temperature_fahrenheit", _D), StructField("humidity_percent", _D),
-])
-ALERT = StructType([
-    StructField("alert_id", _S), StructField("alert_type", _S), StructField("severity", _S),
-    StructField("affected_area", StructType([StructField("state", _S),
-                                             StructField("counties", ArrayType(_S)),
-                                             StructField("latitude", _D), StructField("longitude", _D)])),
-])

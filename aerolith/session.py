@@ -68,10 +68,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the operator of the cluster sets it to shared storage and we only
-    read it. Only when it is unset (local tests) do we create a scratch folder.
+    read it. Only in local mode, and only when it is unset (tests), do we create a scratch folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="aerolith-ckpt-")
         spark.conf.set("spark.checkpoint.dir", configured)
     if spark.sparkContext.getCheckpointDir() is None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from aerolith.session import scratch_path
@@ -23,7 +24,7 @@ def read_layer(spark: SparkSession, path: str, schema=None) -> DataFrame:
         if schema is not None:
             r = r.schema(schema)
         df = r.parquet(path)
-    except Exception as e:  # AnalysisException: path does not exist / cannot infer schema
+    except AnalysisException as e:  # path does not exist / cannot infer schema
         raise LayerMissing(f"layer not found or unreadable: {path}") from e
     if df.isEmpty():
         raise LayerMissing(f"layer is empty: {path}")
@@ -57,8 +58,10 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
-def land(df: DataFrame, name: str, files: int = 4) -> str:
-    """Write a message DataFrame as ``files`` parquet files: a file-source stand-in for a topic."""
+def land(df: DataFrame, name: str, records_per_file: int | None = None) -> str:
+    """Write a message DataFrame as parquet, a file-source stand-in for a topic: one file per
+    input partition, or several where ``records_per_file`` bounds them."""
     path = fresh_path(df.sparkSession, f"landing/{name}")
-    df.repartition(files).write.parquet(path)
+    w = df.write.option("maxRecordsPerFile", records_per_file) if records_per_file else df.write
+    w.parquet(path)
     return path

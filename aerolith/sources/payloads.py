@@ -15,7 +15,7 @@ from aerolith.operators.hints import literal_broadcast
 from aerolith.profiles import PROFILE_C
 from pyspark.sql.types import StringType, StructField, StructType
 
-from aerolith.schemas import CURRENT_WEATHER, FORECAST_PERIOD, SIMPLE_READING
+from aerolith.schemas import CURRENT_WEATHER, SIMPLE_READING
 
 CORRUPT = "_corrupt_record"
 
@@ -23,6 +23,7 @@ ISO_SPARK = "yyyy-MM-dd'T'HH:mm:ss"
 ISO_DUCK = "%Y-%m-%dT%H:%M:%S"
 MALFORMED_EVERY = 101   # every 101st reading publishes a malformed message
 EXPLICIT_NULLS_EVERY = 2  # every 2nd message keeps null keys instead of omitting them
+QUOTED_EVERY = 103        # every 103rd message sends its temperature as a quoted number
 
 
 def iso(ts: str) -> Column:
@@ -38,7 +39,9 @@ def simple_reading_topic(readings: DataFrame) -> DataFrame:
                  F.col("wind_speed_mph").alias("wind_speed"), F.col("pressure_hpa").alias("pressure"),
                  F.col("precipitation_mm").alias("precipitation"))
     rid = F.col("reading_id")
+    quoted = s.withField("temperature", F.lit("72"))
     value = (F.when(rid % MALFORMED_EVERY == 0, F.lit("{not json"))
+              .when(rid % QUOTED_EVERY == 0, F.to_json(quoted))
               .when(rid % EXPLICIT_NULLS_EVERY == 0, F.to_json(s, {"ignoreNullFields": "false"}))
               .otherwise(F.to_json(s)))
     return readings.select(F.col("reading_id").alias("message_id"), value.alias("value"))
@@ -65,8 +68,16 @@ def well_formed(parsed: str) -> Column:
     return F.col(parsed).isNotNull() & F.col(f"{parsed}.{CORRUPT}").isNull()
 
 
+def envelope(messages: DataFrame) -> DataFrame:
+    """Give messages an id where the source has none: Kafka's topic, partition and offset name a message."""
+    if "message_id" in messages.columns:
+        return messages
+    return messages.withColumn("message_id", F.xxhash64("topic", "partition", "offset"))
+
+
 def decode_json_payload(topic: DataFrame) -> DataFrame:
     """value (JSON string) -> simple reading columns; malformed messages dropped."""
+    topic = envelope(topic)
     parsed = parse_once(topic.select("message_id", "value"), parse_json(F.col("value").cast("string"),
                                                                         SIMPLE_READING), "m")
     return parsed.filter(well_formed("m")).select("message_id", *[f"m.{f.name}" for f in SIMPLE_READING.fields])
@@ -76,17 +87,20 @@ def processor_clean(topic: DataFrame) -> DataFrame:
     """Variant C row processor: defaults for *missing* keys, clamps, heat index, extreme flag.
 
     A key that is present with a null temperature, humidity or wind speed makes
-    the application's arithmetic fail, so that message is skipped. The message
-    is parsed once, as a map: key presence tells missing from null, and values
-    are cast to their types (an unparseable value becomes null).
+    the application's arithmetic fail, and so does a quoted number; that message is
+    skipped. The message is parsed once, as a variant, which keeps apart a
+    missing key, a null, a number and a string.
     """
     v = F.col("value").cast("string")
-    parsed = parse_once(topic.select("message_id", "value"), F.from_json(v, "map<string,string>"), "k")
-    parsed = parsed.filter(F.col("k").isNotNull())
+    parsed = parse_once(envelope(topic).select("message_id", "value"), F.try_parse_json(v), "k")
+    parsed = parsed.filter(F.schema_of_variant("k").startswith("OBJECT"))
 
     def get(name, default, typ="double"):
-        val = F.col("k")[name] if typ == "string" else F.col("k")[name].try_cast(typ)
-        return F.when(F.map_contains_key("k", name), val).otherwise(F.lit(default))
+        there = F.try_variant_get("k", f"$.{name}", "variant")
+        val = F.try_variant_get("k", f"$.{name}", typ)
+        if name in ("temperature", "humidity", "wind_speed"):
+            val = F.when(F.schema_of_variant(there) != "STRING", val)
+        return F.when(there.isNull(), F.lit(default)).otherwise(val)
 
     t, h, w = get("temperature", 70.0), get("humidity", 50.0), get("wind_speed", 0.0)
     ok = t.isNotNull() & h.isNotNull() & w.isNotNull()
@@ -94,7 +108,7 @@ def processor_clean(topic: DataFrame) -> DataFrame:
     h_c = F.greatest(F.lit(0.0), F.least(F.lit(100.0), h))
     w_c = F.greatest(F.lit(0.0), w)
     out = parsed.filter(ok).select(
-        "message_id", F.col("k")["timestamp"].alias("timestamp"),
+        "message_id", F.try_variant_get("k", "$.timestamp", "string").alias("timestamp"),
         get("location", "Unknown", "string").alias("location"),
         t_c.alias("temperature"), h_c.alias("humidity"), w_c.alias("wind_speed"),
         get("pressure", 1013.0).alias("pressure"), get("precipitation", 0.0).alias("precipitation"))
@@ -111,6 +125,7 @@ def raw_events(topic: DataFrame) -> DataFrame:
 # --- provider payload: current conditions --------------------------------------
 
 VISIBILITY_MISSING_EVERY = 7
+CURRENT_NULLS_EVERY = 19  # every 19th payload keeps null keys, which the application cannot convert
 
 
 def current_weather_topic(readings: DataFrame) -> DataFrame:
@@ -129,17 +144,29 @@ def current_weather_topic(readings: DataFrame) -> DataFrame:
         F.when(F.col("precipitation_mm") > 0, F.struct(F.col("precipitation_mm").alias("1h"))).alias("rain"))
     return readings.select(
         F.col("reading_id").alias("message_id"), "city", "country", "continent", "region", "state", "latitude",
-        "longitude", iso("timestamp").alias("observed_at"), F.to_json(payload).alias("payload"))
+        "longitude", iso("timestamp").alias("observed_at"),
+        F.when(rid % CURRENT_NULLS_EVERY == 0, F.to_json(payload, {"ignoreNullFields": "false"}))
+         .otherwise(F.to_json(payload)).alias("payload"))
+
+
+def _null_key(m: Column, key: str) -> Column:
+    """The key is there with a null (a missing key or a missing map is not)."""
+    return F.coalesce(F.map_contains_key(m, key) & m[key].isNull(), F.lit(False))
 
 
 def normalize_current_weather(topic: DataFrame) -> DataFrame:
-    """Provider JSON -> flat reading. Messages lacking a required field are skipped.
+    """Provider JSON -> flat reading. Messages lacking a required field are skipped, and so
+    are those that hold a null where a missing key would have a default.
 
     City attributes come from the fixed catalogue when the city is in it (a
     broadcast of 80 literal rows), else from the message envelope.
     """
-    p = parse_once(topic, F.from_json("payload", CURRENT_WEATHER), "p")
-    req = (F.col("p.main.temp").isNotNull() & F.col("p.main.humidity").isNotNull()
+    keys = F.from_json("payload", "map<string,string>")
+    p = parse_once(topic, F.struct(F.from_json("payload", CURRENT_WEATHER).alias("p"), keys.alias("m")), "_j")
+    p = p.select(*topic.columns, "_j.p", "_j.m")
+    wind, rain = (F.from_json(F.col("m")[c], "map<string,string>") for c in ("wind", "rain"))
+    req = (~_null_key(F.col("m"), "visibility") & ~_null_key(F.col("m"), "rain") & ~_null_key(wind, "deg")
+           & ~_null_key(rain, "1h") & F.col("p.main.temp").isNotNull() & F.col("p.main.humidity").isNotNull()
            & F.col("p.main.pressure").isNotNull() & F.col("p.wind.speed").isNotNull()
            & F.get(F.col("p.weather"), 0)["main"].isNotNull() & F.get(F.col("p.weather"), 0)["description"].isNotNull()
            & F.col("p.clouds.all").isNotNull())
@@ -175,12 +202,14 @@ def normalize_current_weather(topic: DataFrame) -> DataFrame:
 # --- provider payload: forecast period -------------------------------------------
 
 WIND_MISSING_EVERY = 11
+FORECAST_NULLS_EVERY = 13  # every 13th payload keeps null keys
+CALM_EVERY = 17            # every 17th payload has a wind without a number
 
 
 def forecast_period_topic(readings: DataFrame) -> DataFrame:
     rid = F.col("reading_id")
-    wind_text = F.when(rid % WIND_MISSING_EVERY != 0,
-                       F.concat(F.floor("wind_speed_mph").cast("bigint").cast("string"), F.lit(" mph")))
+    wind_text = F.when(rid % CALM_EVERY == 0, F.lit("calm")).when(
+        rid % WIND_MISSING_EVERY != 0, F.concat(F.floor("wind_speed_mph").cast("bigint").cast("string"), F.lit(" mph")))
     payload = F.struct(
         F.col("temperature_fahrenheit").alias("temperature"), wind_text.alias("windSpeed"),
         F.struct(F.col("humidity_percent").alias("value")).alias("relativeHumidity"),
@@ -188,31 +217,44 @@ def forecast_period_topic(readings: DataFrame) -> DataFrame:
         F.col("weather_description").alias("shortForecast"),
         ((F.hour("timestamp") >= 6) & (F.hour("timestamp") < 18)).alias("isDaytime"))
     return readings.select(F.col("reading_id").alias("message_id"), F.col("city").alias("location"),
-                           iso("timestamp").alias("observed_at"), F.to_json(payload).alias("payload"))
+                           iso("timestamp").alias("observed_at"),
+                           F.when(rid % MALFORMED_EVERY == 0, F.lit("{not json"))
+                            .when(rid % FORECAST_NULLS_EVERY == 0, F.to_json(payload, {"ignoreNullFields": "false"}))
+                            .otherwise(F.to_json(payload)).alias("payload"))
 
 
 def normalize_forecast_period(topic: DataFrame) -> DataFrame:
     """Forecast period -> simple reading.
 
-    "12 mph" -> 12.0 (first token); humidity default 50; pressure default 1013,
-    and any pressure above 100 is divided by 100 (so the default becomes 10.13,
-    as in the application); precipitation is 0.
+    "12 mph" -> 12.0 (first token), no or empty wind -> 0; humidity default 50; pressure default
+    1013, and any pressure above 100 is divided by 100 (so the default becomes
+    10.13, as in the application); precipitation is 0. Dropped, because the application fails on them:
+    malformed messages, a null temperature, a null humidity or pressure object, a wind without a leading number.
     """
     p = parse_once(topic.select("message_id", "location", "observed_at", "payload"),
-                   F.from_json("payload", FORECAST_PERIOD), "p")
-    ws = F.col("p.windSpeed")
-    wind = F.when(ws.isNull() | (ws == ""), F.lit(0.0)).otherwise(
-        F.split(ws, " ", 2)[0].try_cast("double"))
-    pressure = F.coalesce(F.col("p.barometricPressure.value"), F.lit(1013.0))
-    return p.select(
+                   F.from_json("payload", "map<string,string>"), "k")
+
+    def field(name: str, default, value: Column) -> Column:
+        return F.when(F.map_contains_key("k", name), value).otherwise(F.lit(default))
+
+    def inner(name: str, default: float) -> Column:
+        """``{"value": x}``: the default where the value is missing or null, null where the object is not one."""
+        obj = F.col("k")[name]
+        x = F.get_json_object(obj, "$.value")
+        return field(name, default, F.when(obj.startswith("{"), F.when(x.isNull(), F.lit(default)).otherwise(x.try_cast("double"))))
+
+    ws = F.col("k")["windSpeed"]
+    wind = F.when(F.coalesce(ws, F.lit("")) == "", F.lit(0.0)).otherwise(F.split(F.trim(ws), r"\s+", 2)[0].try_cast("double"))
+    p = p.filter(F.col("k").isNotNull()).select(
         "message_id", F.col("observed_at").alias("timestamp"), "location",
-        F.coalesce(F.col("p.temperature"), F.lit(70.0)).alias("temperature"),
-        F.coalesce(F.col("p.relativeHumidity.value"), F.lit(50.0)).alias("humidity"),
-        wind.alias("wind_speed"),
-        F.when(pressure > 100, pressure / 100).otherwise(pressure).alias("pressure"),
+        field("temperature", 70.0, F.col("k")["temperature"].try_cast("double")).alias("temperature"),
+        inner("relativeHumidity", 50.0).alias("humidity"), wind.alias("wind_speed"),
+        inner("barometricPressure", 1013.0).alias("pressure"),
         F.lit(0.0).alias("precipitation"),
-        F.coalesce(F.col("p.shortForecast"), F.lit("")).alias("forecast_text"),
-        F.coalesce(F.col("p.isDaytime"), F.lit(True)).alias("is_daytime"))
+        field("shortForecast", "", F.col("k")["shortForecast"]).alias("forecast_text"),
+        field("isDaytime", True, F.col("k")["isDaytime"].try_cast("boolean")).alias("is_daytime"))
+    return (p.dropna(subset=["temperature", "humidity", "wind_speed", "pressure"])
+             .withColumn("pressure", F.when(F.col("pressure") > 100, F.col("pressure") / 100).otherwise(F.col("pressure"))))
 
 
 # --- flat reading topic (what the Bronze stream consumes) -------------------------

@@ -33,7 +33,9 @@ _DESC = ("CASE event_type WHEN 'click' THEN 'clear sky' WHEN 'view' THEN 'broken
 # (column, SQL over events e + nation + region + k + copy) - identical in both engines.
 READING_COLUMNS = [
     ("reading_id", f"event_id + copy * {DUP_ID_OFFSET}"),
-    ("city", "concat('City_', CAST(user_id AS VARCHAR(20)))"),
+    ("city", "CASE user_id WHEN 1 THEN 'New York' WHEN 2 THEN 'Miami' WHEN 3 THEN 'Chicago' WHEN 4 THEN 'Denver' "
+             "WHEN 5 THEN 'Tokyo' WHEN 6 THEN 'Anchorage' WHEN 7 THEN 'London' "
+             "ELSE concat('City_', CAST(user_id AS VARCHAR(20))) END"),
     ("country", "n_name"),
     ("continent", "r_name"),
     ("region", "concat(r_name, ' Zone ', CAST(user_id % 4 AS VARCHAR(20)))"),
@@ -73,34 +75,9 @@ def memo(spark: SparkSession, *key):
     return deco
 
 
-# a scan smaller than this is left as it is, however few tasks it has
-MIN_SPREAD_BYTES = 1 << 20
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the session has cores.
-
-    A table stored as one unsplittable row group scans as one task, and every
-    narrow step after it (message building, JSON parsing, scoring) then runs in
-    that task. Such a scan is round-robin repartitioned to the default
-    parallelism. A large table made of many files or row groups already scans
-    as many tasks and is returned unchanged, and so is a tiny table (under
-    ``MIN_SPREAD_BYTES`` by the planner's file-size estimate), which joins as a
-    broadcast.
-    """
-    try:
-        spark = df.sparkSession
-        want = spark.sparkContext.defaultParallelism
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-        few = df.rdd.getNumPartitions() < want
-    except Exception:  # no JVM-side plan access (e.g. a Spark Connect session): leave the scan as it is
-        return df
-    return df.repartition(want) if size >= MIN_SPREAD_BYTES and few else df
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return memo(spark, "table", sf_dir, name)(
-        lambda: spread(spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))))
+        lambda: spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ def kafka_source(spark: SparkSession, servers: str, topic: str,
          .option("failOnDataLoss", "false"))
     if max_offsets_per_trigger:
         r = r.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
-    return r.load()
+    return payloads.envelope(r.load())
 
 
 def file_source(spark: SparkSession, path: str, schema: str = "message_id long, value string",
@@ -50,6 +50,22 @@ def decode_reading_json(messages: DataFrame) -> DataFrame:
     return parsed.filter(payloads.well_formed("data")).select(*[f"data.{f.name}" for f in READING.fields])
 
 
+def decode_reading_avro(schema: str):
+    """Decoder of Avro values (``schema``: the JSON text of the reading's schema); needs the spark-avro package.
+
+    A reading that does not decode, or decodes without a city, is dropped.
+    """
+    def decode(messages: DataFrame) -> DataFrame:
+        from pyspark.sql.avro.functions import from_avro
+        parsed = parse(messages, from_avro("value", schema, {"mode": "PERMISSIVE"}))
+        return parsed.filter(F.col("data.city").isNotNull()).select(*[f"data.{f.name}" for f in READING.fields])
+
+    def parse(messages, value):
+        return payloads.parse_once(messages.select("value"), value, "data")
+
+    return decode
+
+
 def bronze(decoded: DataFrame) -> DataFrame:
     """Stamp load time and the partition column (date of the reading timestamp).
 
@@ -71,8 +87,9 @@ def start_parquet_sink(df: DataFrame, path: str, checkpoint: str, partition_by:
 
 
 def start_bronze_stream(spark: SparkSession, source: DataFrame, path: str, checkpoint: str,
-                        trigger: dict | None = None):
-    return start_parquet_sink(bronze(decode_reading_json(source)), path, checkpoint, "ingestion_date", trigger)
+                        trigger: dict | None = None, decoder=decode_reading_json):
+    """Messages -> ``decoder`` (JSON, or ``decode_reading_avro``) -> Bronze files by date."""
+    return start_parquet_sink(bronze(decoder(source)), path, checkpoint, "ingestion_date", trigger)
 
 
 def start_processor_stream(spark: SparkSession, source: DataFrame, raw_path: str, processed_path: str,

@@ -31,7 +31,7 @@ def test_processor_stream_restart_is_exactly_once(spark):
     from aerolith.sources.tables import readings
     from aerolith.streaming import jobs
     topic = pl.simple_reading_topic(readings(spark, SF_SMALL))
-    landing = layers.land(topic, "restart-topic", files=4)
+    landing = layers.land(topic, "restart-topic", records_per_file=300)
     raw, proc = layers.fresh_path(spark, "r-raw"), layers.fresh_path(spark, "r-proc")
     ckpt = layers.fresh_path(spark, "r-ckpt")
     src = jobs.file_source(spark, landing, max_files=1)

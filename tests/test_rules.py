@@ -120,7 +120,7 @@ def test_extreme_reasons_text(spark):
     df = spark.createDataFrame([(101.26, 55.0, 3.0), (50.0, 5.0, 0.0)],
                                "temperature_fahrenheit double, wind_speed_mph double, temp_anomaly_score double")
     got = [r[0] for r in df.select(wx.extreme_reasons()).collect()]
-    assert got[0] == ("High temperature (101.3F > 100F); High wind (55.0 mph > 50 mph); "
+    assert got[0] == ("High temperature (101.3°F > 100°F); High wind (55.0 mph > 50 mph); "
                       "High anomaly score (3.0 > 2.5)")
     assert got[1] == ""
 

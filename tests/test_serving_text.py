@@ -31,22 +31,23 @@ def test_direct_answer_order_differs(spark):
                                                    ("hottest", "hottest")]
 
 
-def test_guarded_sql_extraction():
-    from aerolith.plans.q_text import extract_select
-    assert extract_select("Sure!\n```sql\nSELECT 1 AS x\nFROM t;\n```\nmore") == "SELECT 1 AS x\nFROM t"
-    assert extract_select("DROP TABLE t;") is None
-    assert extract_select("no query here") is None
-    # line-based, as in the application: the whole line holding the first ';' is kept
-    assert extract_select("select a from t; select b from u;") == "select a from t; select b from u"
+def test_query_text_of_an_answer():
+    from aerolith.plans.q_text import query_text
+    assert query_text("Sure!\n```sql\nSELECT 1 AS x\nFROM t;\n```\nmore") == "SELECT 1 AS x\nFROM t"
+    assert query_text("Here:\nWITH a AS (SELECT 1 AS x) SELECT x FROM a; thanks") == "WITH a AS (SELECT 1 AS x) SELECT x FROM a"
+    for bad in ("DROP TABLE t;", "no query here"):
+        with pytest.raises(ValueError):
+            query_text(bad)
 
 
-def test_guarded_sql_rejects_non_select(spark):
+def test_guard_lets_only_queries_through(spark):
     from aerolith.plans.q_text import run_guarded
-    with pytest.raises(ValueError):
-        run_guarded(spark, "DELETE FROM fact_weather_readings;")
-    assert run_guarded(spark, "SELECT id FROM range(100) ORDER BY id").count() == 20
-    with pytest.raises(Exception):  # two statements on one line do not parse as one query
-        run_guarded(spark, "SELECT 1; DROP TABLE x;").collect()
+    for bad in ("DELETE FROM fact_weather_readings;", "```sql\nSELECT 1) x; DROP TABLE y\n```", "SELECT FROM WHERE"):
+        with pytest.raises(ValueError):
+            run_guarded(spark, bad)
+    assert run_guarded(spark, "SELECT id FROM range(100)").count() == 100
+    assert run_guarded(spark, "SELECT id FROM range(100) ORDER BY id", limit=20).count() == 20
+    assert run_guarded(spark, "WITH a AS (SELECT id FROM range(3)) SELECT * FROM a").count() == 3
 
 
 def test_read_layer_fails_clearly(spark):
@@ -59,20 +60,27 @@ def test_read_layer_fails_clearly(spark):
         layers.read_layer(spark, empty)
 
 
-def test_retrieval_blocks_equal_single_broadcast(spark):
-    """A query set above the broadcast bound is scored in hash blocks; the result is the same."""
+def test_retrieval_blocks_and_shards_do_not_change_results(spark):
     from conftest import SF_SMALL
     from aerolith.operators import retrieval
     emb = spark.read.parquet(f"{SF_SMALL}/embeddings.parquet")
     queries = retrieval.label_centroids(emb)
     n = queries.count()
-    single = retrieval.cosine_top_k(emb, queries, 5)
-    blocked = retrieval.cosine_top_k(emb, queries, 5, max_broadcast=max(2, n // 2))
     cols = ["query_id", "vec_id", "score", "rank"]
-    a = sorted(tuple(r) for r in single.select(cols).collect())
-    b = sorted(tuple(r) for r in blocked.select(cols).collect())
-    assert len(a) == n * 5
-    assert a == b
+    one, many = (sorted(tuple(r) for r in retrieval.cosine_top_k(emb, queries, 5, **kw).select(cols).collect())
+                 for kw in ({}, {"block_bytes": 1024, "shard_rows": 37}))
+    assert len(one) == n * 5 and one == many
+
+
+def test_retrieval_ranks_on_full_scores(spark):
+    """A difference below the printed digits still decides; zero and null vectors take no part; k may exceed the items."""
+    from aerolith.operators import retrieval
+    items = spark.createDataFrame([(1, [1.0, 0.0009]), (2, [1.0, 0.0]), (3, [0.0, 0.0]), (4, None), (5, [2.0, 0.0]), (6, [1.0, None])],
+                                  "vec_id bigint, embedding array<double>")
+    queries = spark.createDataFrame([(7, [1.0, 0.0]), (8, [0.0, 0.0])], "query_id bigint, query_vec array<double>")
+    got = retrieval.cosine_top_k(items, queries, 5).orderBy("rank")
+    assert [(r.query_id, r.vec_id, r.score) for r in got.collect()] == [(7, 2, 1.0), (7, 5, 1.0), (7, 1, 1.0)]
+    assert "NestedLoopJoin" not in got._jdf.queryExecution().executedPlan().toString()
 
 
 def test_layer_write_one_file_per_small_date(spark):
