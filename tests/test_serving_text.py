@@ -42,7 +42,7 @@ def test_query_text_of_an_answer():
 
 def test_guard_lets_only_queries_through(spark):
     from aerolith.plans.q_text import run_guarded
-    for bad in ("DELETE FROM fact_weather_readings;", "```sql\nSELECT 1) x; DROP TABLE y\n```", "SELECT FROM WHERE"):
+    for bad in ("DELETE FROM fact_weather_readings;", "```sql\nSELECT 1) x; DROP TABLE y\n```", "SELECT (1"):
         with pytest.raises(ValueError):
             run_guarded(spark, bad)
     assert run_guarded(spark, "SELECT id FROM range(100)").count() == 100
