@@ -176,97 +176,92 @@ DEMO_QUESTIONS = [
 # ---------------------------------------------------------------------------
 # FIXED VALUES: the 80-city catalogue (city, country, continent, region, lat, lon)
 # ---------------------------------------------------------------------------
-CITY_CATALOGUE_CSV = """\
-New York,US,North America,Northeast US,40.71,-74.01
-Los Angeles,US,North America,West US,34.05,-118.24
-Chicago,US,North America,Midwest US,41.88,-87.63
-Houston,US,North America,South US,29.76,-95.37
-Miami,US,North America,Southeast US,25.76,-80.19
-Seattle,US,North America,Northwest US,47.61,-122.33
-Denver,US,North America,West US,39.74,-104.99
-Phoenix,US,North America,West US,33.45,-112.07
-Boston,US,North America,Northeast US,42.36,-71.06
-San Francisco,US,North America,West US,37.77,-122.42
-Toronto,CA,North America,Canada,43.65,-79.38
-Mexico City,MX,North America,Mexico,19.43,-99.13
-Vancouver,CA,North America,Canada,49.28,-123.12
-Montreal,CA,North America,Canada,45.50,-73.57
-Havana,CU,North America,Caribbean,23.11,-82.37
-São Paulo,BR,South America,South America East,-23.55,-46.63
-Buenos Aires,AR,South America,South America South,-34.60,-58.38
-Rio de Janeiro,BR,South America,South America East,-22.91,-43.17
-Lima,PE,South America,South America West,-12.05,-77.04
-Bogota,CO,South America,South America North,4.71,-74.07
-Santiago,CL,South America,South America South,-33.45,-70.67
-Caracas,VE,South America,South America North,10.49,-66.88
-Quito,EC,South America,South America West,-0.18,-78.47
-London,GB,Europe,Western Europe,51.51,-0.13
-Paris,FR,Europe,Western Europe,48.86,2.35
-Berlin,DE,Europe,Central Europe,52.52,13.41
-Madrid,ES,Europe,Southern Europe,40.42,-3.70
-Rome,IT,Europe,Southern Europe,41.90,12.50
-Amsterdam,NL,Europe,Western Europe,52.37,4.90
-Moscow,RU,Europe,Eastern Europe,55.76,37.62
-Stockholm,SE,Europe,Northern Europe,59.33,18.07
-Vienna,AT,Europe,Central Europe,48.21,16.37
-Zurich,CH,Europe,Central Europe,47.38,8.54
-Istanbul,TR,Europe,Eastern Europe,41.01,28.98
-Athens,GR,Europe,Southern Europe,37.98,23.73
-Warsaw,PL,Europe,Central Europe,52.23,21.01
-Dublin,IE,Europe,Western Europe,53.35,-6.26
-Lisbon,PT,Europe,Southern Europe,38.72,-9.14
-Oslo,NO,Europe,Northern Europe,59.91,10.75
-Helsinki,FI,Europe,Northern Europe,60.17,24.94
-Prague,CZ,Europe,Central Europe,50.08,14.44
-Tokyo,JP,Asia,East Asia,35.68,139.69
-Beijing,CN,Asia,East Asia,39.90,116.41
-Shanghai,CN,Asia,East Asia,31.23,121.47
-Mumbai,IN,Asia,South Asia,19.08,72.88
-Delhi,IN,Asia,South Asia,28.61,77.21
-Bangkok,TH,Asia,Southeast Asia,13.76,100.50
-Singapore,SG,Asia,Southeast Asia,1.35,103.82
-Seoul,KR,Asia,East Asia,37.57,126.98
-Dubai,AE,Asia,Middle East,25.20,55.27
-Riyadh,SA,Asia,Middle East,24.69,46.72
-Hong Kong,HK,Asia,East Asia,22.32,114.17
-Jakarta,ID,Asia,Southeast Asia,-6.21,106.85
-Taipei,TW,Asia,East Asia,25.03,121.57
-Tel Aviv,IL,Asia,Middle East,32.09,34.78
-Karachi,PK,Asia,South Asia,24.86,67.01
-Dhaka,BD,Asia,South Asia,23.81,90.41
-Kuala Lumpur,MY,Asia,Southeast Asia,3.14,101.69
-Manila,PH,Asia,Southeast Asia,14.60,120.98
-Hanoi,VN,Asia,Southeast Asia,21.03,105.85
-Doha,QA,Asia,Middle East,25.29,51.53
-Cairo,EG,Africa,North Africa,30.04,31.24
-Lagos,NG,Africa,West Africa,6.52,3.38
-Nairobi,KE,Africa,East Africa,-1.29,36.82
-Cape Town,ZA,Africa,Southern Africa,-33.93,18.42
-Johannesburg,ZA,Africa,Southern Africa,-26.20,28.04
-Casablanca,MA,Africa,North Africa,33.57,-7.59
-Accra,GH,Africa,West Africa,5.56,-0.19
-Addis Ababa,ET,Africa,East Africa,9.02,38.75
-Dar es Salaam,TZ,Africa,East Africa,-6.79,39.28
-Algiers,DZ,Africa,North Africa,36.75,3.04
-Sydney,AU,Oceania,Australia,-33.87,151.21
-Melbourne,AU,Oceania,Australia,-37.81,144.96
-Auckland,NZ,Oceania,New Zealand,-36.85,174.76
-Brisbane,AU,Oceania,Australia,-27.47,153.03
-Honolulu,US,Oceania,Pacific,21.31,-157.86
-Anchorage,US,North America,Alaska,61.22,-149.90
-Reykjavik,IS,Europe,Northern Europe,64.15,-21.94
-Norilsk,RU,Asia,Siberia,69.35,88.20
-Ushuaia,AR,South America,South America South,-54.80,-68.30
-"""
+CITY_CATALOGUE = [
+    ("New York", "US", "North America", "Northeast US", 40.71, -74.01),
+    ("Los Angeles", "US", "North America", "West US", 34.05, -118.24),
+    ("Chicago", "US", "North America", "Midwest US", 41.88, -87.63),
+    ("Houston", "US", "North America", "South US", 29.76, -95.37),
+    ("Miami", "US", "North America", "Southeast US", 25.76, -80.19),
+    ("Seattle", "US", "North America", "Northwest US", 47.61, -122.33),
+    ("Denver", "US", "North America", "West US", 39.74, -104.99),
+    ("Phoenix", "US", "North America", "West US", 33.45, -112.07),
+    ("Boston", "US", "North America", "Northeast US", 42.36, -71.06),
+    ("San Francisco", "US", "North America", "West US", 37.77, -122.42),
+    ("Toronto", "CA", "North America", "Canada", 43.65, -79.38),
+    ("Mexico City", "MX", "North America", "Mexico", 19.43, -99.13),
+    ("Vancouver", "CA", "North America", "Canada", 49.28, -123.12),
+    ("Montreal", "CA", "North America", "Canada", 45.50, -73.57),
+    ("Havana", "CU", "North America", "Caribbean", 23.11, -82.37),
+    ("São Paulo", "BR", "South America", "South America East", -23.55, -46.63),
+    ("Buenos Aires", "AR", "South America", "South America South", -34.60, -58.38),
+    ("Rio de Janeiro", "BR", "South America", "South America East", -22.91, -43.17),
+    ("Lima", "PE", "South America", "South America West", -12.05, -77.04),
+    ("Bogota", "CO", "South America", "South America North", 4.71, -74.07),
+    ("Santiago", "CL", "South America", "South America South", -33.45, -70.67),
+    ("Caracas", "VE", "South America", "South America North", 10.49, -66.88),
+    ("Quito", "EC", "South America", "South America West", -0.18, -78.47),
+    ("London", "GB", "Europe", "Western Europe", 51.51, -0.13),
+    ("Paris", "FR", "Europe", "Western Europe", 48.86, 2.35),
+    ("Berlin", "DE", "Europe", "Central Europe", 52.52, 13.41),
+    ("Madrid", "ES", "Europe", "Southern Europe", 40.42, -3.70),
+    ("Rome", "IT", "Europe", "Southern Europe", 41.90, 12.50),
+    ("Amsterdam", "NL", "Europe", "Western Europe", 52.37, 4.90),
+    ("Moscow", "RU", "Europe", "Eastern Europe", 55.76, 37.62),
+    ("Stockholm", "SE", "Europe", "Northern Europe", 59.33, 18.07),
+    ("Vienna", "AT", "Europe", "Central Europe", 48.21, 16.37),
+    ("Zurich", "CH", "Europe", "Central Europe", 47.38, 8.54),
+    ("Istanbul", "TR", "Europe", "Eastern Europe", 41.01, 28.98),
+    ("Athens", "GR", "Europe", "Southern Europe", 37.98, 23.73),
+    ("Warsaw", "PL", "Europe", "Central Europe", 52.23, 21.01),
+    ("Dublin", "IE", "Europe", "Western Europe", 53.35, -6.26),
+    ("Lisbon", "PT", "Europe", "Southern Europe", 38.72, -9.14),
+    ("Oslo", "NO", "Europe", "Northern Europe", 59.91, 10.75),
+    ("Helsinki", "FI", "Europe", "Northern Europe", 60.17, 24.94),
+    ("Prague", "CZ", "Europe", "Central Europe", 50.08, 14.44),
+    ("Tokyo", "JP", "Asia", "East Asia", 35.68, 139.69),
+    ("Beijing", "CN", "Asia", "East Asia", 39.90, 116.41),
+    ("Shanghai", "CN", "Asia", "East Asia", 31.23, 121.47),
+    ("Mumbai", "IN", "Asia", "South Asia", 19.08, 72.88),
+    ("Delhi", "IN", "Asia", "South Asia", 28.61, 77.21),
+    ("Bangkok", "TH", "Asia", "Southeast Asia", 13.76, 100.50),
+    ("Singapore", "SG", "Asia", "Southeast Asia", 1.35, 103.82),
+    ("Seoul", "KR", "Asia", "East Asia", 37.57, 126.98),
+    ("Dubai", "AE", "Asia", "Middle East", 25.20, 55.27),
+    ("Riyadh", "SA", "Asia", "Middle East", 24.69, 46.72),
+    ("Hong Kong", "HK", "Asia", "East Asia", 22.32, 114.17),
+    ("Jakarta", "ID", "Asia", "Southeast Asia", -6.21, 106.85),
+    ("Taipei", "TW", "Asia", "East Asia", 25.03, 121.57),
+    ("Tel Aviv", "IL", "Asia", "Middle East", 32.09, 34.78),
+    ("Karachi", "PK", "Asia", "South Asia", 24.86, 67.01),
+    ("Dhaka", "BD", "Asia", "South Asia", 23.81, 90.41),
+    ("Kuala Lumpur", "MY", "Asia", "Southeast Asia", 3.14, 101.69),
+    ("Manila", "PH", "Asia", "Southeast Asia", 14.60, 120.98),
+    ("Hanoi", "VN", "Asia", "Southeast Asia", 21.03, 105.85),
+    ("Doha", "QA", "Asia", "Middle East", 25.29, 51.53),
+    ("Cairo", "EG", "Africa", "North Africa", 30.04, 31.24),
+    ("Lagos", "NG", "Africa", "West Africa", 6.52, 3.38),
+    ("Nairobi", "KE", "Africa", "East Africa", -1.29, 36.82),
+    ("Cape Town", "ZA", "Africa", "Southern Africa", -33.93, 18.42),
+    ("Johannesburg", "ZA", "Africa", "Southern Africa", -26.20, 28.04),
+    ("Casablanca", "MA", "Africa", "North Africa", 33.57, -7.59),
+    ("Accra", "GH", "Africa", "West Africa", 5.56, -0.19),
+    ("Addis Ababa", "ET", "Africa", "East Africa", 9.02, 38.75),
+    ("Dar es Salaam", "TZ", "Africa", "East Africa", -6.79, 39.28),
+    ("Algiers", "DZ", "Africa", "North Africa", 36.75, 3.04),
+    ("Sydney", "AU", "Oceania", "Australia", -33.87, 151.21),
+    ("Melbourne", "AU", "Oceania", "Australia", -37.81, 144.96),
+    ("Auckland", "NZ", "Oceania", "New Zealand", -36.85, 174.76),
+    ("Brisbane", "AU", "Oceania", "Australia", -27.47, 153.03),
+    ("Honolulu", "US", "Oceania", "Pacific", 21.31, -157.86),
+    ("Anchorage", "US", "North America", "Alaska", 61.22, -149.90),
+    ("Reykjavik", "IS", "Europe", "Northern Europe", 64.15, -21.94),
+    ("Norilsk", "RU", "Asia", "Siberia", 69.35, 88.20),
+    ("Ushuaia", "AR", "South America", "South America South", -54.80, -68.30),
+]
 
 
 def city_catalogue_rows():
-    """The catalogue as tuples (city, country, continent, region, lat, lon)."""
-    rows = []
-    for line in CITY_CATALOGUE_CSV.strip().splitlines():
-        city, country, continent, region, lat, lon = line.split(",")
-        rows.append((city, country, continent, region, float(lat), float(lon)))
-    return rows
+    return list(CITY_CATALOGUE)
 
 # ---------------------------------------------------------------------------
 # FIXED VALUES: document and brief templates as (literal text, column) pieces.
@@ -347,3 +342,31 @@ ANSWER_HEATWAVE = "🔥 **{n} heatwave(s)** (>100°F):\n\n{list}"
 ANSWER_HEATWAVE_NONE = "✅ No heatwave conditions detected."
 ANSWER_COLD = "🥶 **{n} extreme cold** (<10°F):\n\n{list}"
 ANSWER_COLD_NONE = "✅ No extreme cold detected."
+
+# ---------------------------------------------------------------------------
+# FIXED VALUES: model inputs of the classifier and of the sequence model
+# ---------------------------------------------------------------------------
+FEATURES_24 = [
+    "temperature_fahrenheit", "temperature_celsius", "humidity_percent", "pressure_hpa", "wind_speed_mph",
+    "wind_direction_degrees", "precipitation_mm", "visibility_miles", "cloud_cover_percent", "heat_index",
+    "wind_chill", "temperature_anomaly", "temp_anomaly_score", "city_avg_temp", "city_min_temp",
+    "city_max_temp", "city_stddev_temp", "city_avg_humidity", "hour_of_day", "day_of_week", "month_of_year",
+    "is_daytime", "latitude", "longitude",
+]
+SEQ_FEATURES = ["temperature_fahrenheit", "humidity_percent", "pressure_hpa", "wind_speed_mph", "heat_index",
+                "wind_chill"]
+
+# ---------------------------------------------------------------------------
+# FIXED VALUES: the nine warehouse checks (name, least, most)
+# ---------------------------------------------------------------------------
+DQ_CHECKS = [
+    ("Total fact records", 1, None),
+    ("Unique cities", 1, None),
+    ("Unique countries", 1, None),
+    ("Extreme weather count", 0, None),
+    ("Null temperatures", None, 0),
+    ("Temperature range check", None, 0),
+    ("Null time_key (should be low)", None, 50),
+    ("Null location_key", None, 0),
+    ("Records with source tag", 1, None),
+]

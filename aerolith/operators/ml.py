@@ -13,17 +13,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from aerolith.constants import FEATURES_24, SEQ_FEATURES  # noqa: F401
 from aerolith.sources.layers import fresh_path
 
-FEATURES_24 = [
-    "temperature_fahrenheit", "temperature_celsius", "humidity_percent", "pressure_hpa", "wind_speed_mph",
-    "wind_direction_degrees", "precipitation_mm", "visibility_miles", "cloud_cover_percent", "heat_index",
-    "wind_chill", "temperature_anomaly", "temp_anomaly_score", "city_avg_temp", "city_min_temp",
-    "city_max_temp", "city_stddev_temp", "city_avg_humidity", "hour_of_day", "day_of_week", "month_of_year",
-    "is_daytime", "latitude", "longitude",
-]
-SEQ_FEATURES = ["temperature_fahrenheit", "humidity_percent", "pressure_hpa", "wind_speed_mph", "heat_index",
-                "wind_chill"]
 LABEL = "is_extreme_weather"
 
 

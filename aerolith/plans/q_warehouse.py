@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from aerolith.constants import SOURCE_TAG
+from aerolith.constants import DQ_CHECKS, SOURCE_TAG
 from aerolith.functions.numeric import exact_avg_round_sql
 from aerolith.operators import warehouse as wh
 from aerolith.plans import base
@@ -123,18 +123,14 @@ def q_star_join(spark, d):
                                       wt="dim_weather_type"))
 
 
-_DQ = [  # (check, SQL scalar over the star, min, max)
-    ("Total fact records", "SELECT count(*) FROM {fact}", 1, None),
-    ("Unique cities", "SELECT count(DISTINCT city) FROM {loc}", 1, None),
-    ("Unique countries", "SELECT count(DISTINCT country) FROM {loc}", 1, None),
-    ("Extreme weather count", "SELECT count(*) FROM {fact} WHERE is_extreme_weather = 1", 0, None),
-    ("Null temperatures", "SELECT count(*) FROM {fact} WHERE temperature_fahrenheit IS NULL", None, 0),
-    ("Temperature range check", "SELECT count(*) FROM {fact} WHERE temperature_fahrenheit < -80 "
-                                "OR temperature_fahrenheit > 140", None, 0),
-    ("Null time_key (should be low)", "SELECT count(*) FROM {fact} WHERE time_key IS NULL", None, 50),
-    ("Null location_key", "SELECT count(*) FROM {fact} WHERE location_key IS NULL", None, 0),
-    ("Records with source tag", "SELECT count(*) FROM {fact} WHERE source = '" + SOURCE_TAG + "'", 1, None),
+_DQ_VALUES = [  # SQL scalars over the star, in the order of DQ_CHECKS
+    "SELECT count(*) FROM {fact}", "SELECT count(DISTINCT city) FROM {loc}", "SELECT count(DISTINCT country) FROM {loc}",
+    "SELECT count(*) FROM {fact} WHERE is_extreme_weather = 1", "SELECT count(*) FROM {fact} WHERE temperature_fahrenheit IS NULL",
+    "SELECT count(*) FROM {fact} WHERE temperature_fahrenheit < -80 OR temperature_fahrenheit > 140",
+    "SELECT count(*) FROM {fact} WHERE time_key IS NULL", "SELECT count(*) FROM {fact} WHERE location_key IS NULL",
+    "SELECT count(*) FROM {fact} WHERE source = '" + SOURCE_TAG + "'",
 ]
+_DQ = [(name, q, lo, hi) for (name, lo, hi), q in zip(DQ_CHECKS, _DQ_VALUES)]
 
 
 def _dq_sql(fact: str, loc: str) -> str:

@@ -66,7 +66,8 @@ _MEMO: dict[tuple, DataFrame] = {}
 
 def memo(spark: SparkSession, *key):
     """Reuse one DataFrame object per (application, key): plans are immutable, and
-    re-reading parquet footers and re-analysing the same plan costs seconds per query."""
+    re-reading parquet footers and re-analysing the same plan costs seconds per query.
+    Entries live until ``forget``; inputs are taken not to change before."""
     def deco(build):
         k = (spark.sparkContext.applicationId, *key)
         if k not in _MEMO:
@@ -75,6 +76,12 @@ def memo(spark: SparkSession, *key):
     return deco
 
 
+def forget(keep: tuple[str, ...] = ()) -> None:
+    """Drop reused DataFrames and written layers, all but those named: call it when inputs have changed."""
+    for k in [k for k in _MEMO if k[1] not in keep]:
+        del _MEMO[k]
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return memo(spark, "table", sf_dir, name)(
         lambda: spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet")))
