@@ -1,6 +1,6 @@
 """Tabulate the executed (AQE final) physical plan of every registered query.
 
-    python tools/plan_report.py [sf_dir] > PLANS.md
+    python tools/plan_report.py [sf_dir [name to leave out ...]] > PLANS.md
 
 Each query is run once, then its final plan is scanned
 for the operators that decide cost at scale: shuffles by kind, join
@@ -28,7 +28,7 @@ COLUMNS = [
     ("SHJ", r"ShuffledHashJoin"),
     ("BNLJ", r"BroadcastNestedLoopJoin"),
     ("window", r"\bWindow \["),
-    ("python", r"BatchEvalPython|ArrowEvalPython|MapInPandas|PythonMapInArrow|FlatMapGroupsInPandas"),
+    ("python", r"BatchEvalPython|ArrowEvalPython|MapInPandas|MapInArrow|FlatMapGroupsIn|FlatMapCoGroupsIn"),
 ]
 
 
@@ -49,7 +49,10 @@ def main() -> None:
           "table (layers, segments, histograms, query tables) shows only the plan that reads it back.\n")
     print("| query | " + " | ".join(c for c, _ in COLUMNS) + " |")
     print("|---|" + "---|" * len(COLUMNS))
+    skip = set(sys.argv[2:])
     for name, (fn, _) in reg.items():
+        if name in skip:
+            continue
         try:
             df = fn(spark, sf_dir)
             df.collect()  # small at the check scale; runs this DataFrame's own adaptive plan to its end
