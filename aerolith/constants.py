@@ -343,6 +343,17 @@ ANSWER_HEATWAVE_NONE = "✅ No heatwave conditions detected."
 ANSWER_COLD = "🥶 **{n} extreme cold** (<10°F):\n\n{list}"
 ANSWER_COLD_NONE = "✅ No extreme cold detected."
 
+# ---------------------------------------------------------------------------
+# FIXED VALUES: direct answers of the API ({place} = "city, state")
+# ---------------------------------------------------------------------------
+API_HOTTEST = "🔥 {place} has the highest temperature at {t}°F.\n\nTop 5:\n{lines}"
+API_COLDEST = "🥶 {place} has the lowest temperature at {t}°F.\n\nTop 5 Coldest:\n{lines}"
+API_TOP_LINE = "{rank}. {place} — {t}°F"
+API_HUMID = "💧 {place} has the highest humidity at {h}%."
+API_WINDY = "💨 {place} has the highest wind speed at {w} mph."
+API_EXTREME = "⚠️ {n} extreme weather event(s): {list}"
+API_EXTREME_NONE = "✅ No extreme weather events detected across all monitored cities."
+
 # ---------------------------------------------------------------------------
 # FIXED VALUES: model inputs of the classifier and of the sequence model
 # ---------------------------------------------------------------------------

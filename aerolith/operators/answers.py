@@ -40,18 +40,22 @@ def r1(c: str) -> Column:
     return F.round(F.col(c), 1).cast("string")
 
 
-def _top5(latest: DataFrame, desc: bool, head: str) -> DataFrame:
+def api_place() -> Column:
+    return F.concat_ws(", ", "city", F.coalesce("state", F.lit("None")))
+
+
+def _top5(latest: DataFrame, desc: bool, head: str, line: str = K.ANSWER_TOP_LINE, place=place) -> DataFrame:
     order = [F.col(T).desc() if desc else F.col(T).asc(), F.col("city")]
     top = serving.with_rank(serving.top_k(latest, 5, *order), *order)
-    line = fill(K.ANSWER_TOP_LINE, rank=F.col("rank").cast("string"), place=place(), t=r1(T))
-    rows = top.select("rank", line.alias("line"), place().alias("place"), r1(T).alias("t"))
+    text = fill(line, rank=F.col("rank").cast("string"), place=place(), t=r1(T))
+    rows = top.select("rank", text.alias("line"), place().alias("place"), r1(T).alias("t"))
     agg = rows.agg(F.array_sort(F.collect_list(F.struct("rank", "line", "place", "t"))).alias("_r"))
     first = F.col("_r")[0]
     lines = F.concat_ws("\n", F.transform("_r", lambda s: s["line"]))
     return agg.select(fill(head, place=first["place"], t=first["t"], lines=lines).alias("answer"))
 
 
-def _arg_max(latest: DataFrame, value: str, template: str, key: str) -> DataFrame:
+def _arg_max(latest: DataFrame, value: str, template: str, key: str, place=place) -> DataFrame:
     top = serving.top_k(latest, 1, F.col(value).desc_nulls_last(), F.col("city"))
     return top.select(fill(template, place=place(), **{key: r1(value)}, t=r1(T)).alias("answer"))
 
@@ -89,6 +93,20 @@ def direct_answers(latest: DataFrame) -> DataFrame:
         "heatwave": _opening(latest, cond["heatwave"], K.ANSWER_HEATWAVE, K.ANSWER_HEATWAVE_NONE),
         "cold": _opening(latest, cond["cold"], K.ANSWER_COLD, K.ANSWER_COLD_NONE),
     }
+    return _by_kind(parts)
+
+
+def api_answers(latest: DataFrame) -> DataFrame:
+    """(kind, answer) for the five kinds of the API, in its wording; the extreme list is rows of ``listed_cities``."""
+    return _by_kind({
+        "hottest": _top5(latest, True, K.API_HOTTEST, K.API_TOP_LINE, api_place),
+        "coldest": _top5(latest, False, K.API_COLDEST, K.API_TOP_LINE, api_place),
+        "extreme": _opening(latest, _conditions(latest)["extreme"], K.API_EXTREME, K.API_EXTREME_NONE),
+        "humid": _arg_max(latest, H, K.API_HUMID, "h", api_place),
+        "windy": _arg_max(latest, W, K.API_WINDY, "w", api_place)})
+
+
+def _by_kind(parts: dict) -> DataFrame:
     out = None
     for kind, df in parts.items():
         df = df.select(F.lit(kind).alias("kind"), "answer")
@@ -119,21 +137,26 @@ def fill_sql(template: str, **parts: str) -> str:
 PLACE_SQL = "CASE WHEN country IS NOT NULL AND country <> '' THEN city || ', ' || country ELSE city END"
 
 
+API_PLACE_SQL = "city || ', ' || coalesce(state, 'None')"
+
+
 def r1_sql(c: str) -> str:
     return f"CAST(round({c}, 1) AS VARCHAR)"
 
 
-def direct_answers_sql(latest: str) -> str:
+def direct_answers_sql(latest: str, api: bool = False) -> str:
+    where, top_line = (API_PLACE_SQL, K.API_TOP_LINE) if api else (PLACE_SQL, K.ANSWER_TOP_LINE)
+
     def top5(desc: bool, head: str) -> str:
         d = "DESC" if desc else "ASC"
-        line = fill_sql(K.ANSWER_TOP_LINE, rank="CAST(rank AS VARCHAR)", place="place", t="t")
+        line = fill_sql(top_line, rank="CAST(rank AS VARCHAR)", place="place", t="t")
         body = fill_sql(head, place="max(CASE WHEN rank = 1 THEN place END)", t="max(CASE WHEN rank = 1 THEN t END)",
                         lines=f"string_agg({line}, chr(10) ORDER BY rank)")
         return (f"SELECT {body} AS answer FROM (SELECT row_number() OVER (ORDER BY {T} {d}, city) AS rank, "
-                f"{PLACE_SQL} AS place, {r1_sql(T)} AS t FROM {latest} ORDER BY {T} {d}, city LIMIT 5) x")
+                f"{where} AS place, {r1_sql(T)} AS t FROM {latest} ORDER BY {T} {d}, city LIMIT 5) x")
 
     def arg_max(value: str, template: str, key: str) -> str:
-        body = fill_sql(template, place=PLACE_SQL, t=r1_sql(T), **{key: r1_sql(value)})
+        body = fill_sql(template, place=where, t=r1_sql(T), **{key: r1_sql(value)})
         return f"SELECT {body} AS answer FROM {latest} ORDER BY {value} DESC NULLS LAST, city LIMIT 1"
 
     def listing(cond: str, template: str, none: str) -> str:
@@ -141,6 +164,11 @@ def direct_answers_sql(latest: str) -> str:
         return (f"SELECT CASE WHEN count(*) = 0 THEN '{none}' ELSE {text} END AS answer "
                 f"FROM {latest} WHERE {cond}")
 
+    if api:
+        parts = [("hottest", top5(True, K.API_HOTTEST)), ("coldest", top5(False, K.API_COLDEST)),
+                 ("extreme", listing("is_extreme_weather = 1", K.API_EXTREME, K.API_EXTREME_NONE)),
+                 ("humid", arg_max(H, K.API_HUMID, "h")), ("windy", arg_max(W, K.API_WINDY, "w"))]
+        return "\nUNION ALL\n".join(f"SELECT '{k}' AS kind, answer FROM ({q}) {k}_q" for k, q in parts)
     parts = [("hottest", top5(True, K.ANSWER_HOTTEST)), ("coldest", top5(False, K.ANSWER_COLDEST)),
              ("humid", arg_max(H, K.ANSWER_HUMID, "h")), ("windy", arg_max(W, K.ANSWER_WINDY, "w")),
              ("extreme", listing("is_extreme_weather = 1", K.ANSWER_EXTREME, K.ANSWER_EXTREME_NONE)),
