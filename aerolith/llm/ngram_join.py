@@ -12,10 +12,11 @@ for ``k`` matches. The join uses this three times.
    posting entries its prefix meets plus one verification for every ``k`` of them. Classes that share a prefix
    shingle form a family (connected components over each shingle's smallest class); no link leaves a family.
 
-Families are compared in cells of bounded size: small families together, a large one as pairs of blocks of about
-``CELL_SHINGLES`` shingles, so that a huge group of near copies is many tasks. In a cell, prefix postings are counted,
-pairs with ``min(k)`` matches and fitting sizes are verified on the whole sets, and only links that join two
-parts of the cell are returned; these and the classes give the components.
+Families are compared in cells of bounded size: small families together, a large one in blocks of about
+``CELL_SHINGLES`` shingles, so that a huge group of near copies is many tasks. Block 0 meets every block, which joins
+such a group in one pass; what is left outside its largest component is then compared with itself and that component. In
+a cell, prefix postings are counted, pairs with ``min(k)`` matches and fitting sizes are verified on the whole
+sets, and only links that join two parts of the cell are returned; these and the classes give the components.
 
 Defined cases: null or blank text has no shingles and links with nothing; texts under five words have one
 shingle, the whole sequence; rows of one id with different texts are judged one by one; a null id takes part in its
@@ -27,7 +28,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aerolith.llm import exchange
@@ -140,10 +141,9 @@ def cell_links(left: Sets, right: Sets, within: bool) -> list[tuple[int, int]]:
     return found
 
 
-def _links_of(rows: list[dict]) -> list[tuple[int, int]]:
-    a, b = [r for r in rows if not r["right"]], [r for r in rows if r["right"]]
-    left = Sets(a)
-    return cell_links(left, Sets(b), False) if b else cell_links(left, left, True)
+def _links_of(rows: list[dict], within: bool) -> list[tuple[int, int]]:
+    left = Sets([r for r in rows if not r["right"]])
+    return cell_links(left, left if within else Sets([r for r in rows if r["right"]]), within)
 
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
@@ -260,20 +260,66 @@ def _families(ready: DataFrame, batches: int) -> DataFrame:
     return components(dealt.groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(finish, CELL_DDL))
 
 
-def _cells(ready: DataFrame, families: DataFrame) -> DataFrame:
-    """Classes dealt into cells; a class of a large family is in one cell per block pair."""
+def _compare(cells: DataFrame) -> DataFrame:
+    """Links ``a, b`` of cells: within block ``i``, or (``right``) of block ``j`` with block ``i``."""
+    def run(key, t):
+        found = _links_of(t.to_pylist(), key[1] == key[2])
+        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
+
+    return keep(cells.select("cell", "i", "j", "right", "id", "n", "k", "prefix", "shingles")
+                .groupBy("cell", "i", "j").applyInArrow(run, CELL_DDL), "cell-links")
+
+
+def _upto(end) -> Column:
+    return F.explode(F.sequence(F.lit(0), end - 1))
+
+
+def _block(parts) -> Column:
+    return F.pmod(F.xxhash64("id"), parts).cast("int")
+
+
+def _cell_links(ready: DataFrame, families: DataFrame) -> DataFrame:
+    """Links of all families, cell by cell.
+
+    Small families share cells. Of a large one, block 0 meets every block; that joins a group of near copies at
+    a cost that grows with its size. Where the largest component so far holds two rows of the other blocks, they need
+    no comparison, so only the rest of the family is compared, with itself and with that component.
+    """
     sized = keep(ready.join(families, "id").withColumn("held", F.octet_length("shingles") / 8), "sized")
-    shape = sized.groupBy("component").agg(F.ceil(F.sum("held") / CELL_SHINGLES).cast("int").alias("parts"))
-    shape = keep(shape, "families")
-    total = sized.agg(F.sum("held")).first()[0]
-    small = blocks(total or 0, CELL_SHINGLES)
-    rows = sized.join(shape, "component").withColumn("part", F.pmod(F.xxhash64("id"), F.col("parts")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    one = F.col("parts") == 1
-    return rows.select(
-        F.when(one, F.pmod(F.xxhash64("component"), F.lit(small))).otherwise(F.col("component")).alias("cell"), one.alias("small"),
-        F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"),
-        (F.col("part") > F.col("other")).alias("right"), "id", "n", "k", "prefix", "shingles")
+    shape = keep(sized.groupBy("component").agg(F.sum("held").alias("held"))
+                 .withColumn("parts", F.ceil(F.col("held") / CELL_SHINGLES).cast("int")), "families")
+    rows = sized.drop("held").join(shape.drop("held"), "component")
+    pools = blocks(shape.filter("parts = 1").agg(F.sum("held")).first()[0], CELL_SHINGLES)
+    zero = F.lit(0)
+    small = _compare(rows.filter("parts = 1").select(
+        "*", F.pmod(F.xxhash64("component"), F.lit(pools)).alias("cell"), zero.alias("i"), zero.alias("j"), F.lit(False).alias("right")))
+    if shape.filter("parts > 1").isEmpty():
+        return small
+
+    large = rows.filter("parts > 1").select("*", F.col("component").alias("cell"), _block(F.col("parts")).alias("part"))
+    met = large.select("*", zero.alias("i"), F.explode(F.when(F.col("part") == 0, F.sequence(zero, F.col("parts") - 1))
+                                                       .otherwise(F.array("part"))).alias("j"), (F.col("part") > 0).alias("right"))
+    first = _compare(met)
+    joined = components(first).withColumnRenamed("component", "joined")
+    others = (large.filter("part > 0").join(joined, "id", "left")
+              .withColumn("joined", F.coalesce("joined", "id")))
+    main = (others.groupBy("cell", "joined").agg(F.count(F.lit(1)).alias("rows"))
+            .groupBy("cell").agg(F.max_by("joined", F.struct("rows", "joined")).alias("main")))
+    others = keep(others.join(main, "cell"), "others")
+    rest = others.filter("joined <> main")
+    shape = keep(rest.groupBy("cell").agg(F.ceil(F.sum(F.octet_length("shingles")) / 8 / CELL_SHINGLES).cast("int").alias("blocks")),
+                 "rest")
+    rest = rest.join(shape, "cell").withColumn("block", _block(F.col("blocks")))
+    among = rest.withColumn("other", _upto(F.col("blocks"))).select(
+        "*", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), (F.col("block") > F.col("other")).alias("right"))
+    # cells with the main component are numbered below zero
+    ahead = rest.withColumn("other", _upto(F.col("parts"))).filter("other > 0").select(
+        "*", (-F.col("other")).alias("i"), F.col("block").alias("j"), F.lit(True).alias("right"))
+    behind = others.filter("joined = main").join(shape, "cell").select(
+        "*", (-F.col("part")).alias("i"), _upto(F.col("blocks")).alias("j"), F.lit(False).alias("right"))
+    columns = ["cell", "i", "j", "right", "id", "n", "k", "prefix", "shingles"]
+    second = _compare(among.select(columns).union(ahead.select(columns)).union(behind.select(columns)))
+    return small.union(first).union(second)
 
 
 def class_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -293,13 +339,7 @@ def class_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
                                blocks(size, exchange.BUCKET_BYTES)), "partners")
     batches = blocks((left.agg(F.sum("n")).first()[0] or 0) * 8, exchange.BATCH_BYTES)
     ready = keep(_ready(left, batches), "ready")
-    cells = _cells(ready, _families(ready, batches))
-
-    def run(t):
-        found = _links_of(t.to_pylist())
-        return pa.table({"a": pa.array([f[0] for f in found], pa.int64()), "b": pa.array([f[1] for f in found], pa.int64())})
-
-    links = cells.groupBy("cell", "small", "i", "j").applyInArrow(run, CELL_DDL)
+    links = _cell_links(ready, _families(ready, batches))
     member = sets.join(named.select("h1", "h2", "id"), ["h1", "h2"], "left").select(
         "doc_id", "n", F.when(F.col("n") > 0, F.col("id")).alias("id"))
     return member, links

@@ -93,6 +93,36 @@ def test_ngram_join_near_group(spark, small_batches):
     assert got == part and 10 < sum(v == 0 for v in part.values()) < 160
 
 
+@pytest.mark.parametrize("cell", [700, 2000])
+def test_ngram_join_split_group(spark, small_batches, monkeypatch, cell):
+    """One family of two unlinked clusters, chains and lone members: links outside the first block's component count."""
+    from aerolith.llm import ngram_join
+    monkeypatch.setattr(ngram_join, "CELL_SHINGLES", cell)
+    rng = np.random.default_rng(2)
+    first = [f"w{i}" for i in range(100)]
+    second = first[:70] + [f"v{i}" for i in range(30)]  # shares most shingles with the first, but too few to link
+    rows = []
+    for i in range(90):
+        w = list(first if i % 3 else second)
+        for p in rng.choice(100, i % 5, replace=False):
+            w[p] = f"e{i}x{p}"
+        rows.append((i, " ".join(w)))
+    chain = list(first)
+    for i in range(90, 120):  # each links with its neighbours, the ends do not
+        chain[(i - 90) * 3 % 100] = f"c{i}"
+        rows.append((i, " ".join(chain)))
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    sets = {i: {tuple(t.split()[j:j + 5]) for j in range(96)} for i, t in rows}
+    part = {i: i for i in sets}
+    for i in sets:
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = part[i], part[j]
+                part = {k: min(a, b) if v in (a, b) else v for k, v in part.items()}
+    got = {r.doc_id: r.component_id for r in ngram_join.near_duplicates(docs).collect()}
+    assert got == part and len(set(part.values())) > 2
+
+
 def test_components(spark):
     from aerolith.llm.components import components
     chain = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (105, 101), (7, 7)]
