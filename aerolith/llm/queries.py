@@ -142,14 +142,56 @@ def op4_quality(spark: SparkSession, d: str) -> DataFrame:
 
 
 # -- 5: substring de-duplication ------------------------------------------------------------------------------------
-@query()
+OP5_SQL = r"""
+WITH split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+windows AS (
+  SELECT doc_id, i AS start, array_to_string(w[i:i + 12], ' ') AS key
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(1, len(w) - 11))) AS i FROM split)),
+first AS (SELECT key, min(doc_id) AS least FROM windows GROUP BY key HAVING count(DISTINCT doc_id) > 1),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(start, start + 13)) AS i
+  FROM windows JOIN first USING (key) WHERE least < doc_id),
+judged AS (
+  SELECT s.doc_id, s.i, s.word, g.i IS NOT NULL AS removed
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM split) s
+  LEFT JOIN gone g ON g.doc_id = s.doc_id AND g.i = s.i),
+told AS (
+  SELECT doc_id, count(*) FILTER (removed) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT removed) AS kept
+  FROM judged GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept, '')) AS kept_sha256
+FROM split LEFT JOIN told USING (doc_id)"""
+
+
+@query(OP5_SQL)
 def op5_substring_dedup(spark: SparkSession, d: str) -> DataFrame:
     left = substring_dedup.remove_repeats(read(spark, d, "documents").select("doc_id", "text"))
     return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
 
 
 # -- 2: n-gram Jaccard join -----------------------------------------------------------------------------------------
-@query()
+OP2_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS w FROM documents),
+shingles AS MATERIALIZED (
+  SELECT *, count(*) OVER (PARTITION BY doc_id) AS n FROM (
+    SELECT DISTINCT doc_id, array_to_string(w[i:i + 4], ' ') AS shingle
+    FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 3))) AS i FROM split WHERE len(w) > 0))),
+links AS MATERIALIZED (
+  SELECT a.doc_id AS a, b.doc_id AS b
+  FROM shingles a JOIN shingles b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+    AND 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reached AS (
+  SELECT a AS doc_id, a AS other FROM links
+  UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(c.least, d.doc_id) AS component_id
+FROM documents d LEFT JOIN (SELECT DISTINCT doc_id, n FROM shingles) s ON s.doc_id = d.doc_id
+LEFT JOIN (SELECT doc_id, min(other) AS least FROM reached GROUP BY doc_id) c ON c.doc_id = d.doc_id"""
+
+
+@query(OP2_SQL)
 def op2_ngram_join(spark: SparkSession, d: str) -> DataFrame:
     return ngram_join.near_duplicates(read(spark, d, "documents").select("doc_id", "text"))
 

@@ -25,7 +25,7 @@ def docs(request, spark, hard_docs):
     return spark.read.parquet(f"{SF}/documents.parquet") if request.param == "table" else hard_docs
 
 
-@pytest.mark.parametrize("name", ["op1_chat_format", "op9_line_dedup", "op10_mix_sources"])
+@pytest.mark.parametrize("name", ["op1_chat_format", "op2_ngram_join", "op5_substring_dedup", "op9_line_dedup", "op10_mix_sources"])
 def test_sql_twins(spark, name):
     import parity
     from aerolith.llm.queries import QUERIES
