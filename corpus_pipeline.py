@@ -44,7 +44,7 @@ def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 STAGES = [("quality classifier", keep_good), ("line dedup", drop_repeated_lines), ("n-gram jaccard join", keep_one_per_group),
           ("mixing sources", mix_sources), ("packing", pack_sequences)]
 
-#: The quality model and the tokenizer have no SQL form; tests/llm/test_pipeline.py checks the stages.
+#: The quality model and the tokenizer have no SQL form; tests/llm/test_models.py checks the stages.
 ORACLE_SQL = None
 
 
