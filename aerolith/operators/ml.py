@@ -226,7 +226,7 @@ def regression_metrics(pred: DataFrame, actual: str = "actual", predicted: str =
     return pred.agg(F.round(F.avg(F.abs(e)), 6).alias("mae"), F.round(F.sqrt(F.avg(e * e)), 6).alias("rmse"))
 
 
-# --- learned models (rows-only checks) -------------------------------------------------
+# --- learned models -------------------------------------------------
 
 def train_extreme_classifier(train: DataFrame, features: list[str], trees: int = 200, depth: int = 6,
                              step: float = 0.1, seed: int = 42):
