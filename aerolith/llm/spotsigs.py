@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aerolith.llm.store import blocks
+from aerolith.llm.store import blocks, keep
 from aerolith.llm.text import batch, hashes, mix
 
 #: Common words of the languages the corpus is expected in.
@@ -38,6 +38,7 @@ el los las del y que en un una por con para su al lo como""".split()
 CHAIN = 2
 ONE_IN = 8
 BLOCK_BYTES = 8 << 20
+RANGES = 10_000     # id ranges at most: the driver holds one id of each; ranges are streamed, so longer ones need no more memory
 
 RESULT = pa.schema([("doc_id", pa.int64()), ("n_chars", pa.int64()), ("edited_sha256", pa.string()),
                     ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
@@ -90,7 +91,7 @@ def in_id_order(docs: DataFrame, per_block: int = BLOCK_BYTES) -> DataFrame:
     """
     d = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("doc_id").cast("long"), F.lit(_FIRST)).alias("key"),
                     F.coalesce("text", F.lit("")).alias("text"))
-    n = blocks(d.agg(F.sum(F.octet_length("text"))).first()[0], per_block)
+    n = min(RANGES, blocks(d.agg(F.sum(F.octet_length("text"))).first()[0], per_block))
     cuts = d.agg(F.percentile_approx("key", [i / n for i in range(1, n)] or [0.5], 10_000)).first()[0] or []
     cuts = np.unique(np.asarray(cuts if n > 1 else [], np.int64))
 
@@ -146,20 +147,33 @@ def fingerprint_edits(docs: DataFrame) -> DataFrame:
     return in_id_order(docs).select("block", "tail", "doc_id", "text").mapInArrow(run, RESULT_DDL)
 
 
+def classes(prints: DataFrame) -> DataFrame:
+    """``doc_id, fingerprint, id``: the smallest id with the same fingerprint, for fingerprints that are not empty."""
+    p = prints.filter("length(fingerprint) > 0").select("doc_id", "fingerprint")
+    named = p.groupBy("fingerprint").agg(F.min("doc_id").alias("id"))
+    return p.join(named, "fingerprint").select("doc_id", "fingerprint", "id")
+
+
 def near_duplicates(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
     """Pairs ``a, b, likeness`` of different fingerprints at ``threshold`` or more, from ``doc_id, fingerprint``.
 
-    Equal fingerprints are one class, named by its smallest id. A class enters the partition of its set length and,
-    as the shorter side, every partition its length could match; classes meet where they share one of the
-    first ``len - ceil(threshold * len) + 1`` signatures (rarest first would do as well; signatures are hashes).
+    Equal fingerprints are one class, named by its smallest id (``classes`` gives the members). A class enters the partition
+    of its set length and, as the shorter side, every partition its length could match; classes meet where they share one
+    of the first ``len - ceil(threshold * len) + 1`` signatures, rarest first, so that a signature of many documents is
+    only asked about where a fingerprint has too few rare ones.
     """
     step = -math.log(threshold)
-    classes = (prints.filter("length(fingerprint) > 0").groupBy("fingerprint").agg(F.min("doc_id").alias("id"))
-               .select("id", F.expr("transform(sequence(0, cast(length(fingerprint) / 8 as int) - 1),"
-                                    " i -> substring(fingerprint, i * 8 + 1, 8))").alias("sigs"))
-               .withColumn("n", F.size("sigs")).withColumn("band", F.floor(F.ln("n") / step)))
-    prefix = F.slice("sigs", 1, (F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1).cast("int"))
-    spots = classes.select("id", "n", "band", F.explode(prefix).alias("sig"))
+    reps = keep(prints.filter("length(fingerprint) > 0").groupBy("fingerprint").agg(F.min("doc_id").alias("id"))
+                .select("id", F.expr("transform(sequence(0, cast(length(fingerprint) / 8 as int) - 1),"
+                                     " i -> substring(fingerprint, i * 8 + 1, 8))").alias("sigs")), "classes")
+    held = reps.select("id", F.size("sigs").alias("n"), F.explode("sigs").alias("sig"))
+    shared = held.groupBy("sig").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    # signatures of one class alone come first in the order: they fill the prefix but meet nobody
+    ranked = (held.join(shared, "sig").groupBy("id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "sig"))).alias("s"))
+              .withColumn("band", F.floor(F.ln("n") / step)))
+    room = F.col("n") - F.ceil(F.col("n") * threshold - 1e-9) + 1 - (F.col("n") - F.size("s"))
+    spots = keep(ranked.filter(room > 0).select("id", "n", "band", F.explode(F.slice("s", 1, room.cast("int"))).alias("s"))
+                 .select("id", "n", "band", "s.sig"), "spots")
     short = spots.select(F.col("id").alias("a"), F.col("n").alias("na"), "sig",
                          F.explode(F.array(F.col("band"), F.col("band") + 1)).alias("band"))
     pairs = (short.join(spots, ["band", "sig"])
@@ -167,7 +181,7 @@ def near_duplicates(prints: DataFrame, threshold: float = 0.8) -> DataFrame:
                      & (F.col("na") >= threshold * F.col("n")))
              .select("a", F.col("id").alias("b")).distinct())
     both = F.size(F.array_intersect("s1", "s2"))
-    return (pairs.join(classes.select(F.col("id").alias("a"), F.col("sigs").alias("s1")), "a")
-            .join(classes.select(F.col("id").alias("b"), F.col("sigs").alias("s2")), "b")
+    return (pairs.join(reps.select(F.col("id").alias("a"), F.col("sigs").alias("s1")), "a")
+            .join(reps.select(F.col("id").alias("b"), F.col("sigs").alias("s2")), "b")
             .select("a", "b", (both / (F.size("s1") + F.size("s2") - both)).alias("likeness"))
             .filter(F.col("likeness") >= threshold))
