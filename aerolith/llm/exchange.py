@@ -48,9 +48,11 @@ def tally(keys: np.ndarray, docs: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
 def messages(batch: int, level: int, told: tuple, buckets: int, least: bool) -> pa.Table:
     """A batch's tally, cut into one message per key range."""
     keys, counts, smallest = told
-    edges = np.searchsorted(keys >> np.uint64(32), (np.arange(buckets + 1, dtype=np.uint64) << np.uint64(32)) // np.uint64(buckets))
-    rows = [(b, batch, level, keys[i:j].tobytes(), counts[i:j].tobytes(), smallest[i:j].tobytes() if least else None)
-            for b, (i, j) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())) if j > i]
+    # buckets are ranges of the upper half of a key; only those that hold a key of this batch are visited
+    bucket = (keys >> np.uint64(32)) * np.uint64(buckets) >> np.uint64(32)
+    edges = np.r_[np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]]), len(keys)] if len(keys) else np.zeros(1, np.int64)
+    rows = [(int(bucket[i]), batch, level, keys[i:j].tobytes(), counts[i:j].tobytes(), smallest[i:j].tobytes() if least else None)
+            for i, j in zip(edges[:-1].tolist(), edges[1:].tolist())]
     return pa.Table.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(MESSAGE)], schema=MESSAGE)
 
 
