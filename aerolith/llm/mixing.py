@@ -4,7 +4,11 @@ A source's target is its share of all words by weight, at most ``max_epochs`` ti
 its size, the excess reshared by weight among the others. Each source takes whole
 epochs while they fit its target; the rest is a fractional epoch: documents get
 the key ``-ln(u) / quality`` (smaller first), ``u`` drawn from a seeded hash of the id,
-and are taken in key order while their running size meets the rest of the target.
+and are taken in key order while their running size stays within the rest of the target.
+
+Only whole documents are taken, so a long one at the border could leave a wide gap. A second
+pass therefore goes on, in key order, among the untaken documents that fit the gap, and one closing document of the
+size nearest to what is then left is taken if that brings the source nearer to its target.
 
 The running sum never sorts one source in one task: the key's exponential
 distribution function cuts each source into bins of about ``BIN_ROWS`` documents, bins
@@ -25,6 +29,7 @@ from pyspark.sql.window import Window
 from aerolith.llm.store import keep
 
 BIN_ROWS = 2_000
+PASSES = 2
 LEAST_WEIGHT = 1e-3
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -65,6 +70,41 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_e
                     F.least(F.coalesce(F.col("final") * F.col("weight"), F.lit(0.0)), F.col("cap").cast("double")).alias("target")))
 
 
+def _gaps(u: DataFrame) -> DataFrame:
+    """``_g, gap``: words that each source's fractional epoch still lacks."""
+    rest = F.max(F.col("target") - F.col("epochs") * F.col("source_size"))
+    return (u.groupBy("source").agg((rest - F.sum(F.when(F.col("taken"), F.col("total")).otherwise(0))).alias("gap"))
+            .select(F.col("source").alias("_g"), "gap"))
+
+
+def _fill(u: DataFrame) -> DataFrame:
+    """Takes, in key order, untaken units that fit their source's gap, while their running size does."""
+    u = u.join(_gaps(u), F.col("source").eqNullSafe(F.col("_g"))).drop("_g")
+    fits = ~F.col("taken") & (F.col("gap") > 0) & (F.col("total") <= F.col("gap"))
+    u = u.withColumn("part", F.when(fits, F.col("total")).otherwise(F.lit(0)))
+    bins = u.groupBy("source", "bin").agg(F.sum("part").alias("words"))
+    ahead = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    bins = bins.select(F.col("source").alias("_bs"), F.col("bin").alias("_b"),
+                       F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("ahead"))
+    within = (Window.partitionBy("source", "bin").orderBy("key", "doc_id", "text_id")
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    run = u.withColumn("upto", F.sum("part").over(within))
+    run = run.join(bins, F.col("source").eqNullSafe(F.col("_bs")) & (F.col("bin") == F.col("_b"))).drop("_bs", "_b")
+    return (run.withColumn("taken", F.col("taken") | (fits & (F.col("ahead") + F.col("upto") <= F.col("gap"))))
+            .drop("gap", "part", "ahead", "upto"))
+
+
+def _close(u: DataFrame) -> DataFrame:
+    """Takes one more unit per source: the untaken one of the size nearest to the gap, if it makes the gap smaller."""
+    off = F.abs(F.col("total") - F.col("gap"))
+    last = (u.filter("not taken and total > 0").join(_gaps(u), F.col("source").eqNullSafe(F.col("_g")))
+            .filter(off < F.col("gap"))
+            .groupBy("_g").agg(F.min(F.struct(off.alias("off"), "key", "doc_id", "text_id")).alias("c")))
+    u = u.join(last, F.col("source").eqNullSafe(F.col("_g")), "left")
+    closing = F.col("doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("text_id") == F.col("c.text_id"))
+    return u.withColumn("taken", F.col("taken") | F.coalesce(closing, F.lit(False)))
+
+
 def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int = 3, seed: int = 7,
         quality: str | None = None) -> DataFrame:
     """How often the mix takes each unit: ``doc_id, source, text_id, rows, size, source_size, target, copies``.
@@ -92,20 +132,13 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int =
     plan = keep(plan.select(
         F.col("source").alias("_s"), "source_size", "target", F.ceil(F.col("rows") / BIN_ROWS).alias("bins"),
         F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).alias("epochs")), "mix-plan")
-    u = units.join(plan, F.col("source").eqNullSafe(F.col("_s")))
-    u = u.withColumn("bin", F.least(F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * F.col("bins")), F.col("bins") - 1))
-    bins = u.groupBy("source", "bin").agg(F.sum(F.col("size") * F.col("rows")).alias("words"))
-    ahead = Window.partitionBy("source").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
-    bins = bins.select(F.col("source").alias("_bs"), F.col("bin").alias("_b"),
-                       F.coalesce(F.sum("words").over(ahead), F.lit(0)).alias("ahead"))
-    within = (Window.partitionBy("source", "bin").orderBy("key", "doc_id", "text_id")
-              .rowsBetween(Window.unboundedPreceding, -1))
-    run = u.withColumn("before", F.coalesce(F.sum(F.col("size") * F.col("rows")).over(within), F.lit(0)))
-    run = run.join(bins, F.col("source").eqNullSafe(F.col("_bs")) & (F.col("bin") == F.col("_b")))
-    rest = F.col("target") - F.col("epochs") * F.col("source_size")
-    taken = F.col("ahead") + F.col("before") + F.col("size") * F.col("rows") / F.lit(2.0) <= rest
-    return run.select("doc_id", "source", "text_id", "rows", "size", "source_size", "target",
-                      (F.col("epochs") + F.when(taken & (rest > 0), 1).otherwise(0)).cast("long").alias("copies"))
+    u = (units.join(plan, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
+         .withColumn("total", F.col("size") * F.col("rows")).withColumn("taken", F.lit(False))
+         .withColumn("bin", F.least(F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * F.col("bins")), F.col("bins") - 1)).drop("bins"))
+    for _ in range(PASSES):
+        u = keep(_fill(u), "mix-taken")
+    return (_close(u).select("doc_id", "source", "text_id", "rows", "size", "source_size", "target",
+                             (F.col("epochs") + F.col("taken").cast("int")).cast("long").alias("copies")))
 
 
 def mixed_documents(docs: DataFrame, **settings) -> DataFrame:

@@ -100,14 +100,23 @@ targets AS (
   SELECT source, source_size, cap,
          least(weight * (SELECT arg_min(level, cap / weight) FROM ordered WHERE level * weight <= cap), cap::DOUBLE) AS target
   FROM ordered),
-run AS (
-  SELECT k.doc_id, k.size, t.source_size, t.target, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs,
-         coalesce(sum(size) OVER (PARTITION BY k.source ORDER BY key, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before
-  FROM keyed k JOIN targets t ON k.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-       CAST(size * (epochs + CASE WHEN target - epochs * source_size > 0 AND before + size / 2.0::DOUBLE <= target - epochs * source_size
-                                  THEN 1 ELSE 0 END) AS BIGINT) AS taken
-FROM run"""
+placed AS (
+  SELECT k.doc_id, k.source, k.size, k.key, t.source_size, t.target, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END AS epochs
+  FROM keyed k JOIN targets t ON k.source IS NOT DISTINCT FROM t.source),
+once AS (
+  SELECT *, coalesce(size <= gap AND gap > 0 AND sum(CASE WHEN size <= gap THEN size ELSE 0 END)
+                       OVER (PARTITION BY source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) <= gap, false) AS taken1
+  FROM (SELECT *, target - epochs * source_size AS gap FROM placed)),
+twice AS (
+  SELECT *, taken1 OR (size <= gap2 AND gap2 > 0 AND sum(CASE WHEN NOT taken1 AND size <= gap2 THEN size ELSE 0 END)
+                         OVER (PARTITION BY source ORDER BY key, doc_id ROWS UNBOUNDED PRECEDING) <= gap2) AS taken2
+  FROM (SELECT *, gap - sum(CASE WHEN taken1 THEN size ELSE 0 END) OVER (PARTITION BY source) AS gap2 FROM once)),
+closing AS (
+  SELECT *, NOT taken2 AND size > 0 AND abs(size - gap3) < gap3 AND row_number()
+              OVER (PARTITION BY source ORDER BY NOT taken2 AND size > 0 DESC, abs(size - gap3), key, doc_id) = 1 AS last
+  FROM (SELECT *, gap - sum(CASE WHEN taken2 THEN size ELSE 0 END) OVER (PARTITION BY source) AS gap3 FROM twice))
+SELECT doc_id, size, source_size, target, CAST(size * (epochs + CASE WHEN taken2 OR last THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM closing"""
 
 
 @query(OP10_SQL)

@@ -231,6 +231,22 @@ def test_spotsigs_near_duplicates(spark):
     prints = spark.createDataFrame([(i, spotsigs.hexed(spotsigs.signatures(t))) for i, t in enumerate(texts)], "doc_id bigint, fingerprint string")
     got = spotsigs.near_duplicates(prints).collect()
     assert [(min(r.a, r.b), max(r.a, r.b)) for r in got] == [(0, 2)]
+    assert sorted((r.doc_id, r.id) for r in spotsigs.classes(prints).collect()) == [(0, 0), (1, 0), (2, 2), (3, 3)]
+
+
+def test_spotsigs_pairs_brute_force(spark):
+    """Fingerprints that share a block of common signatures, against all pairs."""
+    from aerolith.llm import spotsigs
+    rng = np.random.default_rng(4)
+    common = rng.integers(1, 1 << 32, 12)
+    sets = []
+    for i in range(60):
+        base = sets[rng.integers(len(sets))] if i % 3 else np.r_[common, rng.integers(1, 1 << 32, rng.integers(0, 40))]
+        sets.append(np.unique(np.r_[rng.permutation(base)[:max(1, len(base) - 2)], rng.integers(1, 1 << 32, 2)]).astype(np.uint32))
+    prints = spark.createDataFrame([(i, spotsigs.hexed(s)) for i, s in enumerate(sets)], "doc_id bigint, fingerprint string")
+    want = {(a, b) for a in range(60) for b in range(a + 1, 60) if spotsigs.likeness(sets[a], sets[b]) >= 0.8}
+    got = spotsigs.near_duplicates(prints).collect()
+    assert want and sorted((min(r.a, r.b), max(r.a, r.b)) for r in got) == sorted(want)
 
 
 def test_packing(docs):
@@ -332,6 +348,20 @@ def test_mixing_bins(spark, monkeypatch):
     assert sorted(map(str, mixing.mix(docs).collect())) == one
 
 
+def test_mixing_long_document_at_the_border(spark):
+    """A long document does not leave its source far from the target."""
+    from aerolith.llm import mixing
+    sizes = [4000] + [20 + i for i in range(100)]
+    docs = spark.createDataFrame([(1000 * s + i, "word " * n, "abc"[s]) for s in range(3) for i, n in enumerate(sizes)],
+                                 "doc_id bigint, text string, source string")
+    for seed in range(3):
+        taken, target = collections.Counter(), {}
+        for r in mixing.mix(docs, seed=seed).collect():
+            taken[r.source] += r.size * r.copies
+            target[r.source] = r.target
+        assert all(abs(taken[s] - t) <= 0.02 * t for s, t in target.items()), (taken, target)
+
+
 def test_empty_tables(spark, no_docs):
     from aerolith.llm import chat_format, hnsw, licenses, line_dedup, mixing, ngram_join, packing, quality, spotsigs, substring_dedup
     from pyspark.sql import functions as F
