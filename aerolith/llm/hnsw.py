@@ -2,7 +2,9 @@
 
 Vectors are dealt into shards by a hash of the vector, so that copies meet and are one graph
 node with their smallest ids (as many as a result can hold, and the query's own). A component that brings all
-vectors to the largest norm turns the inner product into nearness between nodes. Each
+vectors of a shard to its largest norm turns the inner product into nearness between nodes. That only works in
+single precision while norms are alike and of moderate size, so a shard holds vectors of one norm band (a
+factor of ``2 ** BAND_BITS``) and works on them, and on queries, scaled by powers of two. Each
 shard is a layered graph, built in batches that double: a batch searches the graph so far,
 is compared with itself, and linked both ways with the usual diversity rule. A graph is
 stored as one row of flat arrays (ids, vectors, neighbour lists per layer).
@@ -28,6 +30,7 @@ from pyspark.sql.window import Window
 from aerolith.llm.store import blocks, keep
 
 SHARD_ROWS = 8192
+BAND_BITS = 4       # norms of a shard differ by less than a factor of 16
 BLOCK_QUERIES = 2048
 LINKS = 16          # per node and upper layer; twice as many on the bottom layer
 EF_BUILD = 64
@@ -170,6 +173,11 @@ def augmented(v: np.ndarray, top: float) -> np.ndarray:
     return np.hstack([v, rest[:, None]]).astype(np.float32)
 
 
+def scaled(v: np.ndarray, axis: int | None = None) -> np.ndarray:
+    """``v`` (or each of its rows) by a power of two that brings the largest component into 0.5 to 1."""
+    return np.ldexp(v, -np.frexp(np.abs(v).max(axis=axis, keepdims=True))[1])
+
+
 def products(v: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Inner products of rows, added up component by component (equal vectors get equal sums)."""
     total = np.zeros(len(v))
@@ -179,17 +187,23 @@ def products(v: np.ndarray, q: np.ndarray) -> np.ndarray:
 
 
 def usable(vectors: DataFrame) -> DataFrame:
-    """``vec_id, v: array<double>, dim`` of vectors that take part."""
+    """``vec_id, v: array<double>, dim, band`` of vectors that take part; norms of 1 are in the middle of band 0."""
     v = F.col("embedding").cast("array<double>")
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
+    most = F.array_max(F.transform("v", F.abs))
+    bits = F.log2("most") + F.log2(F.aggregate("v", F.lit(0.0), lambda s, x: s + (x / F.col("most")) * (x / F.col("most")))) / 2
     return (vectors.select(F.col("vec_id").cast("long"), v.alias("v")).filter("v is not null and vec_id is not null")
-            .filter(~bad & F.exists("v", lambda x: x != 0)).withColumn("dim", F.size("v")))
+            .filter(~bad & F.exists("v", lambda x: x != 0)).withColumn("dim", F.size("v")).withColumn("most", most)
+            .withColumn("band", F.floor(bits / BAND_BITS + 0.5).cast("int")).drop("most"))
 
 
 def build_index(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
     """One row per shard of ``usable`` vectors."""
-    stats = vectors.agg(F.count(F.lit(1)), F.max(F.aggregate("v", F.lit(0.0), lambda s, x: s + x * x))).first()
-    shards, top = blocks(stats[0], shard_rows), float(stats[1] or 0.0)
+    bands, first = [], 0
+    for band, rows in sorted(vectors.groupBy("band").count().collect()):  # a few hundred at most: exponents of a double
+        bands.append((band, first, blocks(rows, shard_rows)))
+        first += bands[-1][2]
+    bands = F.broadcast(vectors.sparkSession.createDataFrame(bands, "band int, first int, shards int"))
     same = Window.partitionBy("v").orderBy("vec_id")
     rows = vectors.withColumn("copy", F.row_number().over(same)).filter(F.col("copy") <= k + 1)
 
@@ -205,7 +219,8 @@ def build_index(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> Dat
         place[spread] = np.arange(len(nodes))
         of = place[np.cumsum(first) - 1]
         by_node = np.argsort(of, kind="stable")
-        layers = build(augmented(nodes[spread], top))
+        x = scaled(nodes[spread])
+        layers = build(augmented(x, float(np.einsum("nd,nd->n", x, x).max())))
         return pa.table({
             "dim": pa.array([key[0].as_py()], pa.int32()), "shard": pa.array([key[1].as_py()], pa.int32()),
             "nodes": pa.array([len(nodes)], pa.int32()), "ids": [ids[by_node].tobytes()],
@@ -213,7 +228,8 @@ def build_index(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> Dat
             "layers": pa.array([[x.links.astype(np.int32).tobytes() for x in layers]], pa.list_(pa.binary())),
             "members": pa.array([[x.nodes.astype(np.int64).tobytes() for x in layers]], pa.list_(pa.binary()))})
 
-    rows = rows.withColumn("shard", F.pmod(F.xxhash64("v"), F.lit(shards)).cast("int"))
+    rows = rows.join(bands, "band").withColumn("shard", (F.col("first") + F.pmod(F.xxhash64("v"), F.col("shards"))).cast("int"))
+    rows = rows.select("vec_id", "v", "dim", "shard")
     return keep(rows.groupBy("dim", "shard").applyInArrow(index, INDEX_DDL), "hnsw")
 
 
@@ -237,9 +253,9 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, shard_rows: int = SHARD_R
             start = np.searchsorted(of, np.arange(len(nodes) + 1))
             layers = [Layer(np.frombuffer(m, np.int64), 0, np.frombuffer(x, np.int32).reshape(-1, LINKS if i else 2 * LINKS))
                       for i, (x, m) in enumerate(zip(r["layers"], r["members"]))]
-            x = augmented(nodes, float(np.einsum("nd,nd->n", nodes, nodes).max()))
+            x = np.hstack([scaled(nodes), np.zeros((len(nodes), 1))]).astype(np.float32)  # queries have no rest component
             q = asked["v"].combine_chunks().values.to_numpy(zero_copy_only=False).reshape(-1, dim)
-            q0 = np.hstack([q, np.zeros((len(q), 1))]).astype(np.float32)
+            q0 = np.hstack([scaled(q, 1), np.zeros((len(q), 1))]).astype(np.float32)
             for i, (query, found) in enumerate(zip(asked["query_id"].to_pylist(), search(x, layers, q0, max(ef, k + 1)))):
                 found = found[found >= 0]
                 score = products(nodes[found], np.broadcast_to(q[i], (len(found), dim)))

@@ -92,6 +92,31 @@ def test_neighbours_recall(spark, shard_rows):
     assert np.mean(recall) >= 0.95
 
 
+def test_neighbours_long_vectors(spark):
+    """A few vectors 1e3 to 1e20 (and 1e37) times longer leave the neighbours of the others as they are."""
+    from aerolith.llm import hnsw
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(6000, 24))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    far = [1e3, 1e4, 1e6, 1e10, 1e20, 1e37]
+    x[:len(far)] *= np.array(far)[:, None]
+    x[len(far):2 * len(far)] /= np.array(far)[:, None]
+    x = x.astype(np.float32).astype(float)
+    ids = np.arange(len(x))
+    df = spark.createDataFrame([(int(i), v.tolist()) for i, v in zip(ids, x)], "vec_id bigint, embedding array<float>")
+    got = collections.defaultdict(list)
+    for r in hnsw.nearest(df, F.col("vec_id") % 40 == 0, ef=64).collect():
+        got[r.query_id].append(r.vec_id)
+    recall = []
+    for q in range(0, len(x), 40):
+        s = x @ x[q]
+        s[q] = -np.inf
+        want = np.lexsort((ids, -s))[:20]
+        assert set(want[want < len(far)]) <= set(got[q])
+        recall.append(len(set(want) & set(got[q])) / 20)
+    assert np.mean(recall) >= 0.9, np.mean(recall)
+
+
 def test_neighbours_hard(spark):
     from aerolith.llm import hnsw
     nan, inf = float("nan"), float("inf")
