@@ -14,8 +14,9 @@ queries of the block in step. Each query gets its best of every shard, merged by
 double-precision inner products, ties to the smaller id.
 
 Defined cases: null vectors, zero vectors and vectors with null, NaN or infinite components take no part, neither
-as query nor as candidate; vectors only meet vectors of their own length; repeated ids are separate
-candidates, but a query never meets its own id; a null id takes no part; fewer than ``k`` candidates are all returned;
+as query nor as candidate; vectors only meet vectors of their own length; equal rows (id and vector) are one
+candidate and one query; an id with several vectors is a candidate with each, and a query with each (every one has its own
+list, ranked from 1), but a query never meets its own id; a null id takes no part; fewer than ``k`` candidates are all returned;
 other columns are ignored; an empty table gives no rows.
 """
 
@@ -38,7 +39,7 @@ EF_SEARCH = 128
 STEP = 4            # nodes expanded at once
 
 INDEX_DDL = "dim int, shard int, nodes int, ids binary, of binary, vectors binary, layers array<binary>, members array<binary>"
-HIT_DDL = "query_id bigint, ids array<bigint>, scores array<double>"
+HIT_DDL = "query bigint, query_id bigint, ids array<bigint>, scores array<double>"
 
 
 class Layer:
@@ -198,7 +199,7 @@ def usable(vectors: DataFrame) -> DataFrame:
 
 
 def build_index(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """One row per shard of ``usable`` vectors."""
+    """One row per shard of ``usable`` vectors without equal rows."""
     bands, first = [], 0
     for band, rows in sorted(vectors.groupBy("band").count().collect()):  # a few hundred at most: exponents of a double
         bands.append((band, first, blocks(rows, shard_rows)))
@@ -235,17 +236,19 @@ def build_index(vectors: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> Dat
 
 def nearest(vectors: DataFrame, is_query, k: int = 20, shard_rows: int = SHARD_ROWS, ef: int = EF_SEARCH) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of every vector that ``is_query`` (a column) selects."""
-    vectors = keep(usable(vectors), "vectors")
+    vectors = keep(usable(vectors).distinct(), "vectors")
     index = build_index(vectors, k, shard_rows)
-    queries = vectors.filter(is_query).select(F.col("vec_id").alias("query_id"), "v", "dim")
+    # numbered once, as an id may repeat with other vectors
+    queries = keep(vectors.filter(is_query).select(F.monotonically_increasing_id().alias("query"), F.col("vec_id").alias("query_id"),
+                                                   "v", "dim"), "queries")
     parts = blocks(queries.count(), BLOCK_QUERIES)
     shards = (index.agg(F.max("shard")).first()[0] or 0) + 1
-    asked = (queries.withColumn("block", F.pmod(F.xxhash64("query_id"), F.lit(parts)).cast("int"))
+    asked = (queries.withColumn("block", F.pmod(F.xxhash64("query"), F.lit(parts)).cast("int"))
              .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
     held = index.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
     def run(key, asked, held):
-        out = {"query_id": [], "ids": [], "scores": []}
+        out = {"query": [], "query_id": [], "ids": [], "scores": []}
         if len(asked) and len(held):
             r, dim = held.to_pylist()[0], key[0].as_py()
             ids, of = np.frombuffer(r["ids"], np.int64), np.frombuffer(r["of"], np.int32)
@@ -256,21 +259,22 @@ def nearest(vectors: DataFrame, is_query, k: int = 20, shard_rows: int = SHARD_R
             x = np.hstack([scaled(nodes), np.zeros((len(nodes), 1))]).astype(np.float32)  # queries have no rest component
             q = asked["v"].combine_chunks().values.to_numpy(zero_copy_only=False).reshape(-1, dim)
             q0 = np.hstack([scaled(q, 1), np.zeros((len(q), 1))]).astype(np.float32)
-            for i, (query, found) in enumerate(zip(asked["query_id"].to_pylist(), search(x, layers, q0, max(ef, k + 1)))):
+            names = zip(asked["query"].to_pylist(), asked["query_id"].to_pylist())
+            for i, ((number, query), found) in enumerate(zip(names, search(x, layers, q0, max(ef, k + 1)))):
                 found = found[found >= 0]
                 score = products(nodes[found], np.broadcast_to(q[i], (len(found), dim)))
                 hit = np.concatenate([ids[start[f]:start[f + 1]] for f in found])
                 score = np.repeat(score, start[found + 1] - start[found])
                 order = np.lexsort((hit, -score))
                 order = order[hit[order] != query][:k]
-                for name, value in zip(out, (query, hit[order], score[order])):
+                for name, value in zip(out, (number, query, hit[order], score[order])):
                     out[name].append(value)
-        return pa.table({"query_id": pa.array(out["query_id"], pa.int64()), "ids": pa.array(out["ids"], pa.list_(pa.int64())),
+        return pa.table({"query": pa.array(out["query"], pa.int64()), "query_id": pa.array(out["query_id"], pa.int64()), "ids": pa.array(out["ids"], pa.list_(pa.int64())),
                          "scores": pa.array(out["scores"], pa.list_(pa.float64()))})
 
     hits = (asked.groupBy("dim", "shard", "block").cogroup(held.groupBy("dim", "shard", "block")).applyInArrow(run, HIT_DDL)
-            .select("query_id", F.explode(F.arrays_zip(F.col("ids").alias("vec_id"), F.col("scores").alias("score"))).alias("h"))
-            .select("query_id", "h.*"))
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (hits.toDF("query_id", "vec_id", "score").withColumn("rank", F.row_number().over(best))
+            .select("query", "query_id", F.explode(F.arrays_zip(F.col("ids").alias("vec_id"), F.col("scores").alias("score"))).alias("h"))
+            .select("query", "query_id", "h.*"))
+    best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    return (hits.toDF("query", "query_id", "vec_id", "score").withColumn("rank", F.row_number().over(best))
             .filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score"))

@@ -133,6 +133,29 @@ def test_neighbours_hard(spark):
     assert 40 not in got and 60 not in got
 
 
+def test_neighbours_repeated_rows(spark):
+    """A row repeated 30 times is one query and one candidate; an id with two vectors has a list for each."""
+    from aerolith.llm import hnsw
+    rng = np.random.default_rng(6)
+    x = rng.normal(size=(60, 8)).astype(np.float32).astype(float)
+    rows = [(i, x[i]) for i in range(60)] + [(0, x[0])] * 29
+    rows += [(100 + i, x[0]) for i in range(30)]  # equal vectors with larger ids than the repeated query's
+    rows += [(1, x[2])]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in rows], "vec_id bigint, embedding array<float>")
+    pairs = {(i, tuple(v)) for i, v in rows}
+
+    def want(query, v):
+        near = sorted((-float(np.dot(v, w)), i) for i, w in pairs if i != query)[:20]
+        return [(i, round(-s, 9)) for s, i in near]
+
+    got = collections.defaultdict(list)
+    for r in hnsw.nearest(df, F.col("vec_id") < 2).collect():
+        got[r.query_id].append((r["rank"], r.vec_id, round(r.score, 9)))
+    assert sorted(got[0]) == [(j + 1, *hit) for j, hit in enumerate(want(0, x[0]))]
+    both = [(j + 1, *hit) for v in (x[1], x[2]) for j, hit in enumerate(want(1, v))]
+    assert sorted(got[1]) == sorted(both)
+
+
 def test_pipeline(spark):
     """Every stage against its own input."""
     import corpus_pipeline as cp
