@@ -5,7 +5,8 @@ A document is the set of its 5-word shingles; documents link when
 ``k`` of their first ``|S| - ceil(0.8 |S|) + k`` shingles, for every ``k``: a prefix lengthened by ``k - 1`` asks
 for ``k`` matches. The join uses this three times.
 
-1. Equal sets become one class, named by its smallest id.
+1. Equal sets become one class with a number of its own, written once. Its first row (smallest id, rows without an id
+   last) stands for it.
 2. Hash order, ``k`` = a fifth of the set: a class can only have a partner if that many prefix shingles occur in
    other classes. Shingles are counted over all classes (``exchange``). Most documents end here.
 3. Among those left, rarest first: each class picks the ``k`` (1, 2, 4, ...) with the least estimated cost, which is the
@@ -19,9 +20,9 @@ a cell, prefix postings are counted, pairs with ``min(k)`` matches and fitting s
 sets, and only links that join two parts of the cell are returned; these and the classes give the components.
 
 Defined cases: null or blank text has no shingles and links with nothing; texts under five words have one
-shingle, the whole sequence; rows of one id with different texts are judged one by one; a null id takes part in its
-class but cannot name it (nor a component, if its whole class has none); other columns are
-ignored or passed through; an empty table gives no rows. Shingles are 64-bit hashes, sets are told apart by 128 bits.
+shingle, the whole sequence; rows of one id with different texts are judged one by one; rows with a null id take part
+like others but cannot name a component (its ``component_id`` is null if all its ids are); of a group, the rows of the first id
+and text stay, one row if that has no id; other columns are ignored or passed through; an empty table gives no rows. Shingles are 64-bit hashes, sets are told apart by 128 bits.
 """
 
 from __future__ import annotations
@@ -40,10 +41,11 @@ WORDS = 5
 PERCENT = 80
 CELL_SHINGLES = 300_000
 
-SET_DDL = "doc_id bigint, batch int, n bigint, h1 bigint, h2 bigint"
+SET_DDL = "doc_id bigint, batch int, t1 bigint, t2 bigint, n bigint, h1 bigint, h2 bigint"
 LEFT_DDL = "id bigint, n bigint, shingles binary"
 READY_DDL = "id bigint, n bigint, k int, prefix int, shingles binary"
 CELL_DDL = "a bigint, b bigint"
+WORD = r"[^\x20\x09-\x0D]"
 _U = np.uint64
 
 
@@ -146,22 +148,27 @@ def _links_of(rows: list[dict], within: bool) -> list[tuple[int, int]]:
     return cell_links(left, left if within else Sets([r for r in rows if r["right"]]), within)
 
 
+def text_marks() -> list[Column]:
+    """128 bits of a text."""
+    return [F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(WORDS), "text").alias("t2")]
+
+
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """``doc_id, batch, n, h1, h2`` of dealt documents."""
+    """``doc_id, batch, t1, t2, n, h1, h2`` of dealt documents."""
     def run(batches):
         for b in batches:
             sets = [shingles(t) for t in b.column("text").to_pylist()]
             marks = [digest(s) for s in sets]
             yield pa.RecordBatch.from_arrays([
-                b.column("doc_id"), b.column("batch"), pa.array([len(s) for s in sets], pa.int64()),
+                b.column("doc_id"), b.column("batch"), b.column("t1"), b.column("t2"), pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([m[0] for m in marks], pa.int64()), pa.array([m[1] for m in marks], pa.int64())],
-                names=["doc_id", "batch", "n", "h1", "h2"])
+                names=["doc_id", "batch", "t1", "t2", "n", "h1", "h2"])
 
-    return docs.select("doc_id", "batch", "text").mapInArrow(run, SET_DDL)
+    return docs.select("doc_id", "batch", "text", *text_marks()).mapInArrow(run, SET_DDL)
 
 
 def _named(docs: pa.Table, named: list[dict]) -> list[tuple[int, np.ndarray]]:
-    """Classes named by a document of this batch, with their sets."""
+    """Classes that a document of this batch stands for, with their sets."""
     want = {(r["doc_id"], r["h1"], r["h2"]): r["id"] for r in named}
     mine = {d for d, _, _ in want}
     out = []
@@ -322,8 +329,9 @@ def _cell_links(ready: DataFrame, families: DataFrame) -> DataFrame:
     return small.union(first).union(second)
 
 
-def class_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Sets of documents (``doc_id, n, id``: its class, null without shingles) and links ``a, b`` between classes.
+def class_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Sets of documents (``doc_id, t1, t2, n, id, first``: its class and the row that stands for it, null without
+    shingles), classes (``id, first``) and links ``a, b`` between classes.
 
     Links left out are those inside a part that other links already join.
     """
@@ -332,30 +340,47 @@ def class_links(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     batched = exchange.deal(docs, blocks(size, exchange.BATCH_BYTES))
     sets = keep(shingle_sets(batched), "sets")
     named = (sets.filter("n > 0").groupBy("h1", "h2", "n")
-             .agg(F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "batch"))).alias("s"))
-             .select("h1", "h2", F.col("s.doc_id").alias("id"), F.col("s.batch").alias("batch")))
-    named = keep(named.filter("id is not null"), "classes")
-    left = keep(_with_partners(batched, named.select("batch", F.col("id").alias("doc_id"), "h1", "h2", "id"),
+             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "t1", "t2", "batch")).alias("first"))
+             .select("h1", "h2", "first", F.monotonically_increasing_id().alias("id")))
+    named = keep(named, "classes")
+    left = keep(_with_partners(batched, named.select("first.batch", "first.doc_id", "h1", "h2", "id"),
                                blocks(size, exchange.BUCKET_BYTES)), "partners")
     batches = blocks((left.agg(F.sum("n")).first()[0] or 0) * 8, exchange.BATCH_BYTES)
     ready = keep(_ready(left, batches), "ready")
     links = _cell_links(ready, _families(ready, batches))
-    member = sets.join(named.select("h1", "h2", "id"), ["h1", "h2"], "left").select(
-        "doc_id", "n", F.when(F.col("n") > 0, F.col("id")).alias("id"))
-    return member, links
+    held = F.col("n") > 0
+    member = sets.join(named.select("h1", "h2", "id", "first"), ["h1", "h2"], "left").select(
+        "doc_id", "t1", "t2", "n", F.when(held, F.col("id")).alias("id"), F.when(held, F.col("first")).alias("first"))
+    return member, named.select("id", "first"), links
+
+
+def _judged(docs: DataFrame) -> DataFrame:
+    """``doc_id, t1, t2, n, first`` of every document: the row that stands for its group, null without shingles."""
+    member, classes, links = class_links(docs)
+    linked = keep(components(links).join(classes, "id"), "linked")
+    firsts = linked.groupBy("component").agg(F.min("first").alias("ahead"))
+    ahead = linked.select("id", "component").join(firsts, "component").select("id", "ahead")
+    return member.join(ahead, "id", "left").select("doc_id", "t1", "t2", "n", F.coalesce("ahead", "first").alias("first"))
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """``doc_id, n_shingles, component_id`` of every document."""
-    member, links = class_links(docs)
-    joined = components(links)
-    return (member.join(joined, "id", "left")
-            .select("doc_id", F.col("n").alias("n_shingles"),
-                    F.coalesce("component", "id", "doc_id").alias("component_id")))
+    return _judged(docs).select("doc_id", F.col("n").alias("n_shingles"),
+                                F.when(F.col("n") > 0, F.col("first.doc_id")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def one_per_group(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` with one document (the smallest id) of each group of linked documents."""
-    gone = near_duplicates(docs).filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
-    rows = docs.select(F.struct("*").alias("row"))
-    return rows.join(gone, F.col("row.doc_id") == F.col("gone"), "left_anti").select("row.*")
+    stays = F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("t1") == F.col("first.t1")) & (F.col("t2") == F.col("first.t2"))
+    gone = keep(_judged(docs).filter((F.col("n") > 0) & ~stays)
+                .select(F.col("doc_id").cast("long").alias("gone"), F.col("t1").alias("g1"), F.col("t2").alias("g2")).distinct(), "gone")
+    same = F.col("row.doc_id").cast("long").eqNullSafe(F.col("gone")) & (F.col("t1") == F.col("g1")) & (F.col("t2") == F.col("g2"))
+
+    def left(rows):
+        return rows.select(F.struct("*").alias("row"), *text_marks()).join(gone, same, "left_anti")
+
+    # without an id, equal rows are copies of each other; without shingles, all stay
+    unnamed = docs.filter("doc_id is null")
+    text = F.coalesce("text", F.lit("")).rlike(WORD)
+    return (left(docs.filter("doc_id is not null")).union(left(unnamed.filter(text)).dropDuplicates(["t1", "t2"])).select("row.*")
+            .union(unnamed.filter(~text)))

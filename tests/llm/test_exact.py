@@ -70,6 +70,31 @@ def test_ngram_join(docs, small_batches):
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(str(r.doc_id) for r in rows if str(r.doc_id) not in gone)
 
 
+def test_ngram_join_without_ids(spark, small_batches):
+    """Rows without an id, and texts that share an id, are judged row by row."""
+    from aerolith.llm import ngram_join
+
+    def text(name, *changed):
+        return " ".join(f"{name}{i}x" if i in changed else f"{name}{i}" for i in range(100))
+
+    rows = [(1, text("a")), (13, text("a", 3)), (13, text("b")),  # of id 13, only the copy goes
+            (14, text("h")), (14, text("h", 9)),  # near copies under one id
+            (None, text("c")), (None, text("c")), (None, text("c", 50)), (None, text("c", 51)), (None, text("d")),
+            (20, text("e", 1, 20)), (None, text("e")), (21, text("e", 60, 80)),  # linked by the row without an id alone
+            (None, text("f")), (30, text("f")), (31, text("f", 99)), (None, None), (None, " "), (None, " ")]
+    docs = spark.createDataFrame([(*r, "z") for r in rows], "doc_id bigint, text string, source string").repartition(5)
+    sets = [{tuple(t.split()[j:j + 5]) for j in range(96)} if (t or "").strip() else set() for _, t in rows]
+    assert not 100 * len(sets[10] & sets[12]) >= 80 * len(sets[10] | sets[12])
+    got = sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in ngram_join.near_duplicates(docs).collect())
+    want = [1, 1, 13, 14, 14, None, None, None, None, None, 20, 20, 20, 30, 30, 30, None, None, None]
+    assert got == sorted((str(i), len(x), str(c)) for (i, _), x, c in zip(rows, sets, want))
+    left = [(r.doc_id, r.text) for r in ngram_join.one_per_group(docs).collect()]
+    first = {text("c"): "c", text("c", 50): "c", text("c", 51): "c", text("h"): "h", text("h", 9): "h"}
+    assert sorted((str(i), str(first.get(t, t))) for i, t in left) == sorted((str(i), str(t)) for i, t in [
+        (1, text("a")), (13, text("b")), (14, "h"), (None, "c"), (None, text("d")), (20, text("e", 1, 20)), (30, text("f")),
+        (None, None), (None, " "), (None, " ")])
+
+
 def test_ngram_join_near_group(spark, small_batches):
     """A large group of near copies that only link through its centre, dealt into several cells."""
     from aerolith.llm import ngram_join
