@@ -134,10 +134,10 @@ def remove_repeats(docs: DataFrame, first: int = FIRST) -> DataFrame:
     return batched.groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(finish, RESULT_DDL)
 
 
-def repeated_windows(docs: DataFrame, first: int = FIRST, longest: int = 1 << 20) -> DataFrame:
+def repeated_windows(docs: DataFrame, first: int = FIRST, longest: int | None = None) -> DataFrame:
     """``doc_id, start, length, documents``: per level, the windows that repeat in several documents.
 
-    Levels are asked one by one until none has a candidate or the next length passes ``longest``; each level's
+    Levels are asked one by one until none has a candidate or the next length passes ``longest`` (if given); each level's
     answers are written before the next is asked.
     """
     from aerolith.llm.store import keep
@@ -146,7 +146,7 @@ def repeated_windows(docs: DataFrame, first: int = FIRST, longest: int = 1 << 20
     batched = exchange.deal(docs, blocks(size, exchange.BATCH_BYTES))
     buckets = blocks(size, exchange.BUCKET_BYTES)
     told, level, length = keep(ask(batched, None, 0, buckets, first), "windows-0"), 1, 2 * first - 1
-    while length <= longest:
+    while longest is None or length <= longest:
         more = keep(ask(batched, told, level, buckets, first), f"windows-{level}")
         if more.filter(F.col("level") == level).isEmpty():
             break

@@ -185,6 +185,21 @@ def test_repeated_windows(spark, small_batches):
     assert sorted(r.start for r in got if r.length == 52 and r.doc_id == 1) == list(range(3, 12))
 
 
+def test_repeated_windows_until_none_is_left(spark, monkeypatch):
+    """Levels are asked until one is empty, also past windows of 2 ** 20 words (level 17 has 851,968)."""
+    from aerolith.llm import substring_dedup
+    asked = []
+
+    def ask(batched, told, level, *_):
+        asked.append(level)
+        return spark.createDataFrame([(0, 0, level if level < 20 else 0, None, None)],
+                                     "batch int, bucket int, level int, totals binary, least binary")
+
+    monkeypatch.setattr(substring_dedup, "ask", ask)
+    substring_dedup.repeated_windows(spark.createDataFrame([(1, "a")], "doc_id bigint, text string"))
+    assert asked == list(range(21))
+
+
 def test_licences(docs):
     from aerolith.llm import licenses
     phrases = {("cc", "by"): "cc-by", ("general", "public", "license"): "gpl", ("all", "rights", "reserved"): "reserved"}
