@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aerolith.llm import (chat_format, hnsw, licenses, line_dedup, mixing, ngram_join, packing, quality, spotsigs,
-                          substring_dedup)
+from aerolith.llm import (chat_format, collocations, filter_audit, hnsw, licenses, line_dedup, mixing, ngram_join, packing, quality,
+                          secret_scan, spotsigs, substring_dedup)
 from aerolith.llm.store import read
 
 QUERIES: dict[str, tuple[Callable[[SparkSession, str], DataFrame], str | None]] = {}
@@ -209,3 +209,96 @@ def op2_ngram_join(spark: SparkSession, d: str) -> DataFrame:
 @query()
 def op3_hnsw(spark: SparkSession, d: str) -> DataFrame:
     return hnsw.nearest(read(spark, d, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 20 == 0)
+
+
+# -- 11: phrase collocations ----------------------------------------------------------------------------------------
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+split AS MATERIALIZED (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+grams AS (
+  SELECT lang, k, w[i:i + k - 1] AS g
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM split, (VALUES (1), (2), (3)) x(k) WHERE len(w) >= k)),
+f AS MATERIALIZED (SELECT lang, k, array_to_string(g, ' ') AS phrase, g, count(*) AS a FROM grams GROUP BY lang, k, g),
+totals AS (SELECT lang, sum(a) AS n FROM f WHERE k = 1 GROUP BY lang),
+candidates AS MATERIALIZED (SELECT * FROM f WHERE k > 1 AND a >= 10),
+halves AS (
+  SELECT lang, phrase, a, cut, array_to_string(g[1:cut], ' ') AS head, array_to_string(g[cut + 1:k], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM candidates)),
+cuts AS (
+  SELECT c.lang, c.phrase, c.a, c.cut, p.a AS l, s.a AS r,
+         1000000::HUGEINT * c.a::HUGEINT * c.a::HUGEINT // (p.a::HUGEINT * s.a::HUGEINT) AS score
+  FROM halves c JOIN f p ON p.lang = c.lang AND p.phrase = c.head JOIN f s ON s.lang = c.lang AND s.phrase = c.tail),
+lowest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+inside AS (
+  SELECT DISTINCT p.lang, p.phrase
+  FROM (SELECT lang, a, unnest([array_to_string(g[1:2], ' '), array_to_string(g[2:3], ' ')]) AS phrase FROM candidates WHERE k = 3) t
+  JOIN candidates p ON p.lang = t.lang AND p.phrase = t.phrase WHERE 100 * t.a >= 50 * p.a),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM lowest ANTI JOIN inside USING (lang, phrase))
+SELECT lang, rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l, CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n,
+       CAST(score AS BIGINT) AS score
+FROM ranked JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
+@query(OP11_SQL)
+def op11_collocations(spark: SparkSession, d: str) -> DataFrame:
+    return collocations.collocations(read(spark, d, "documents").select("text", "lang"))
+
+
+# -- 12: filter interaction audit -----------------------------------------------------------------------------------
+OP12_SQL = r"""
+WITH labelled AS (
+  SELECT doc_id, max(CAST(quality = 1 AS INT)) AS good, max(CAST(toxic = 1 AS INT)) AS toxic FROM labels GROUP BY doc_id),
+docs AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w,
+         min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least FROM documents),
+judged AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+         CAST(len(w) < 200 AS INT) + 2 * CAST(100 * len(list_distinct(w)) < 50 * len(w) AS INT)
+         + 4 * CAST(100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) AS INT)
+         + 8 * CAST(regexp_matches(text, '[#$%&*|]') AS INT) + 16 * CAST(coalesce(least < doc_id, false) AS INT) AS mask
+  FROM docs LEFT JOIN labelled USING (doc_id)),
+masks AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM judged GROUP BY part, mask),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x, unnest([1, 2, 4, 8, 16]) AS bit),
+orders AS (
+  SELECT [a.x, b.x, c.x, d.x, e.x] AS xs, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (
+  SELECT array_to_string(xs, '') AS filter_order, step, bits[step] AS bit, CAST(list_sum(bits[1:step]) - bits[step] AS INT) AS before
+  FROM orders, (SELECT unnest([1, 2, 3, 4, 5]) AS step)),
+told AS (
+  SELECT part, filter_order, step, bit,
+         sum(n) FILTER (mask & (before | bit) = 0) AS kept, sum(n) FILTER (mask & bit <> 0 AND mask & before = 0) AS removed,
+         sum(n) FILTER (mask & bit <> 0 AND mask & before <> 0) AS redundant, sum(n) FILTER (mask = bit) AS unique_fails,
+         sum(good) FILTER (mask & bit <> 0 AND mask & before = 0) AS good_lost,
+         sum(toxic) FILTER (mask & bit <> 0 AND mask & before = 0) AS toxic_lost
+  FROM masks, steps GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, CAST(step AS INT) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept,
+       CAST(coalesce(removed, 0) AS BIGINT) AS removed, CAST(coalesce(redundant, 0) AS BIGINT) AS redundant,
+       CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails, CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost,
+       CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM told"""
+
+
+@query(OP12_SQL)
+def op12_filter_audit(spark: SparkSession, d: str) -> DataFrame:
+    return filter_audit.audit(read(spark, d, "documents").select("doc_id", "text", "lang"),
+                              read(spark, d, "labels").select("doc_id", "quality", "toxic"))
+
+
+# -- 13: secret scan ------------------------------------------------------------------------------------------------
+@query()
+def op13_secret_scan(spark: SparkSession, d: str) -> DataFrame:
+    found = secret_scan.scan_secrets(read(spark, d, "documents").select("doc_id", "text"))
+    spans = {"base_sha256": "filter(secrets, s -> s.kind <> 'named')", "spans": "secrets"}
+    joined = {k: F.expr(f"array_join(transform({v}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')") for k, v in spans.items()}
+    count = {k: F.expr(f"CAST(size(filter(secrets, s -> s.kind = '{k}')) AS BIGINT)").alias(f"n_{k}") for k in secret_scan.KINDS}
+    return found.select("doc_id", count["assign"], count["access"], count["hex"],
+                        F.sha2(joined["base_sha256"].cast("binary"), 256).alias("base_sha256"), joined["spans"].alias("spans"),
+                        count["named"], F.expr("coalesce(array_max(transform(secrets, s -> s.score)), 0D)").alias("score"))
