@@ -228,53 +228,6 @@ def regression_metrics(pred: DataFrame, actual: str = "actual", predicted: str =
 
 # --- learned models -------------------------------------------------
 
-def train_extreme_classifier(train: DataFrame, features: list[str], trees: int = 200, depth: int = 6,
-                             step: float = 0.1, seed: int = 42):
-    """Gradient-boosted trees with positive-class weights (distributed training in Spark ML)."""
-    from pyspark.ml.classification import GBTClassifier
-    # iterative training re-reads its input many times: cut the lineage once (reliable checkpoint)
-    data = assemble(with_weights(train), features).select("features", "label", "weight").checkpoint()
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=trees,
-                        maxDepth=depth, stepSize=step, seed=seed)
-    return gbt.fit(data)
-
-
-def feature_importance(model, features: list[str], spark) -> DataFrame:
-    imp = model.featureImportances.toArray().tolist()
-    rows = sorted(zip(features, imp), key=lambda r: -r[1])
-    return spark.createDataFrame([(i + 1, f, float(v)) for i, (f, v) in enumerate(rows)],
-                                 "rank int, feature string, importance double")
-
-
-def tune_classifier(train: DataFrame, features: list[str], trials: int = 50, folds: int = 5,
-                    seed: int = 42, parallelism: int = 4):
-    """Random search over GBT settings with k-fold F1 of the positive class, then refit on all training rows.
-
-    Of the application's nine settings, trees, depth, step, row sampling, column sampling (as a share of
-    features per split), least rows and least gain per split are searched; the two leaf
-    regularisers have no counterpart in Spark's trees.
-    """
-    import random
-
-    from pyspark.ml.classification import GBTClassifier
-    from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-    from pyspark.ml.tuning import CrossValidator
-
-    rnd = random.Random(seed)
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", seed=seed)
-    grid = []
-    for _ in range(trials):
-        grid.append({gbt.maxIter: rnd.randint(50, 500), gbt.featureSubsetStrategy: f"{rnd.uniform(0.6, 1.0):.3f}",
-                     gbt.minInfoGain: rnd.uniform(0.0, 0.5), gbt.maxDepth: rnd.randint(3, 10),
-                     gbt.stepSize: rnd.uniform(0.01, 0.3), gbt.subsamplingRate: rnd.uniform(0.6, 1.0),
-                     gbt.minInstancesPerNode: rnd.randint(1, 10)})
-    ev = MulticlassClassificationEvaluator(labelCol="label", metricName="fMeasureByLabel", metricLabel=1.0)
-    cv = CrossValidator(estimator=gbt, estimatorParamMaps=grid, evaluator=ev, numFolds=folds, seed=seed,
-                        parallelism=parallelism)
-    data = assemble(with_weights(train), features).select("features", "label", "weight").checkpoint()
-    return cv.fit(data)
-
-
 def forecast_regressor(train: DataFrame, features: list[str]):
     """Next-reading temperature from the lag window (a linear re-aim of the recurrent net)."""
     from pyspark.ml.regression import LinearRegression
