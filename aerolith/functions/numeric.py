@@ -22,9 +22,13 @@ def exact_avg_round(c, d: int) -> Column:
     aggregate, so the result does not depend on summation order or engine.
     """
     x = col_(c)
-    s = F.sum(x.cast("decimal(20,6)"))
-    n = F.count(x).cast("decimal(20,0)")
-    r = F.round(s.cast("double") / F.count(x), d).cast(f"decimal(18,{d})")
+    return exact_ratio_round(F.sum(x.cast("decimal(20,6)")), F.count(x), d)
+
+
+def exact_ratio_round(s: Column, count: Column, d: int) -> Column:
+    """``s / count`` rounded as in :func:`exact_avg_round`, from a DECIMAL sum with six digits and a count that are there already."""
+    n = count.cast("decimal(20,0)")
+    r = F.round(s.cast("double") / count, d).cast(f"decimal(18,{d})")
     u = F.lit(str(Decimal(1).scaleb(-d))).cast(f"decimal(18,{d})")
     h = F.lit(str(Decimal(5).scaleb(-(d + 1)))).cast(f"decimal(18,{d + 1})")
     lo, hi = n * (r - h), n * (r + h)

@@ -126,18 +126,18 @@ def dim_weather_type(gold: DataFrame) -> DataFrame:
 def upsert_dim_location(existing: DataFrame, incoming: DataFrame) -> DataFrame:
     """ON CONFLICT (city, country) update attributes, keep the existing key.
 
-    A full outer join on the natural key; attributes come from the incoming row
+    A full outer join on the natural key, in which a missing country equals a missing country (else such a
+    location would be added again by every load); attributes come from the incoming row
     when present. New locations get the deterministic natural-key hash.
     """
     attrs = [c for c in LOCATION_ATTRS if c in incoming.columns]
-    e = existing.alias("e")
-    i = incoming.select("city", "country", *attrs).alias("i")
-    j = e.join(i, ["city", "country"], "full_outer")
-    cols = [F.coalesce(F.col("e.location_key"), md5_key("city", "country")).alias("location_key"),
-            "city", "country"]
-    cols += [F.when(F.col("i.city").isNotNull(), F.col(f"i.{a}")).otherwise(F.col(f"e.{a}")).alias(a)
-             for a in attrs]
-    return j.select(*cols)
+    e = existing.withColumn("_old", F.lit(True)).alias("e")
+    i = incoming.select("city", "country", *attrs).withColumn("_new", F.lit(True)).alias("i")
+    j = e.join(i, F.col("e.city").eqNullSafe(F.col("i.city")) & F.col("e.country").eqNullSafe(F.col("i.country")), "full_outer")
+    pick = lambda c: F.when(F.col("i._new"), F.col(f"i.{c}")).otherwise(F.col(f"e.{c}"))
+    city, country = pick("city"), pick("country")
+    return j.select(F.coalesce(F.col("e.location_key"), md5_key(city, country)).alias("location_key"),
+                    city.alias("city"), country.alias("country"), *[pick(a).alias(a) for a in attrs])
 
 
 # --- fact ------------------------------------------------------------------

@@ -6,7 +6,7 @@ a ``count()`` after every step. Paths may be any Hadoop-compatible URI.
 
     bronze_to_silver(spark, bronze, silver)       -> Silver A (partitioned by reading_date)
     silver_to_gold(spark, silver, gold)           -> Gold A (partitioned by reading_date)
-    gold_to_warehouse(spark, gold, warehouse)     -> dim_* and fact tables under ``warehouse``
+    gold_to_warehouse(spark, gold, warehouse)     -> dim_*, the fact by date and its summary under ``warehouse``
     quality_checks(spark, warehouse)              -> nine checks; raises if any fails
 """
 
@@ -17,6 +17,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aerolith.operators import summaries
 from aerolith.operators import warehouse as wh
 from aerolith.plans import medallion
 from aerolith.sources import layers
@@ -55,16 +56,18 @@ def gold_to_warehouse(spark: SparkSession, gold: str, warehouse: str) -> dict:
     g = layers.read_layer(spark, gold).drop("gold_loaded_at", "silver_loaded_at")
     tables = wh.star(g, persist=True)
     for name, df in tables.items():
-        layers.warehouse_sink(df, path=os.path.join(warehouse, name))
-    return {name: os.path.join(warehouse, name) for name in tables}
+        if name != summaries.FACT:
+            layers.warehouse_sink(df, path=os.path.join(warehouse, name))
+    summaries.load_dates(spark, tables[summaries.FACT], warehouse)
+    return {name: os.path.join(warehouse, name) for name in [*tables, summaries.SUMMARY]}
 
 
 def quality_checks(spark: SparkSession, warehouse: str) -> DataFrame:
-    """The nine checks in one scan of the fact table and one of ``dim_location``; raises if any fails."""
+    """The nine checks from the summary rows beside the fact and ``dim_location``; raises if any fails."""
     from aerolith.plans.q_warehouse import dq_checks, dq_gate
-    fact = spark.read.parquet(os.path.join(warehouse, "fact_weather_readings"))
+    summary = summaries.read_summary(spark, warehouse)
     loc = spark.read.parquet(os.path.join(warehouse, "dim_location"))
-    checks = dq_checks(fact, loc)
+    checks = dq_checks(summary, loc)
     dq_gate(checks)
     return checks
 

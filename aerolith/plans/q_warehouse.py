@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import functions as F
 
 from aerolith.constants import DQ_CHECKS, SOURCE_TAG
-from aerolith.functions.numeric import exact_avg_round_sql
+from aerolith.functions.numeric import exact_avg_round_sql, exact_ratio_round
+from aerolith.operators import summaries
 from aerolith.operators import warehouse as wh
 from aerolith.plans import base
 from aerolith.plans.oracle import UNKNOWN_KEY, dim_location_sql, sql
 from aerolith.plans.registry import register
+from aerolith.sources.layers import fresh_path
 from aerolith.sources.tables import memo
 
 
@@ -22,12 +26,15 @@ def star_views(spark, d) -> dict:
     """The loaded warehouse as temp views, for the serving questions.
 
     The warehouse is loaded once per application (as the pipeline loads it once
-    and the questions then run against it); the fact itself is written too, so
-    questions scan tables rather than recomputing the pipeline.
+    and the questions then run against it): the fact by date, and its summary rows per
+    date and location, which the checks and totals read instead of the fact.
     """
     def load():
         s = wh.star(base.gold_a(spark, d))
-        s["fact_weather_readings"] = wh.materialize(s["fact_weather_readings"], "fact")
+        root = fresh_path(spark, "warehouse/star")
+        summaries.load_dates(spark, s[summaries.FACT], root)
+        s[summaries.FACT] = spark.read.parquet(os.path.join(root, summaries.FACT))
+        s[summaries.SUMMARY] = summaries.read_summary(spark, root)
         return s
     s = memo(spark, "warehouse", d)(load)
     for name, df in s.items():
@@ -146,23 +153,17 @@ def _dq_sql(fact: str, loc: str) -> str:
 def q_dq(spark, d):
     """Nine named checks; ``dq_gate`` raises when any FAILs (the job-failure semantics)."""
     s = star_views(spark, d)
-    return dq_checks(s["fact_weather_readings"], s["dim_location"])
-
-
-def dq_checks(fact, loc):
-    """(check_name, value, status) of the nine checks: one scan of each table."""
-    spark = fact.sparkSession
-    c = F.col
-    # one scan of the fact with conditional counts, one of the location dimension
-    f = fact.agg(
-        F.count(F.lit(1)).alias("Total fact records"),
-        F.count(F.when(c("is_extreme_weather") == 1, 1)).alias("Extreme weather count"),
-        F.count(F.when(c("temperature_fahrenheit").isNull(), 1)).alias("Null temperatures"),
-        F.count(F.when((c("temperature_fahrenheit") < -80) | (c("temperature_fahrenheit") > 140), 1))
-         .alias("Temperature range check"),
-        F.count(F.when(c("time_key").isNull(), 1)).alias("Null time_key (should be low)"),
-        F.count(F.when(c("location_key").isNull(), 1)).alias("Null location_key"),
-        F.count(F.when(c("source") == SOURCE_TAG, 1)).alias("Records with source tag"))
+    return dq_checks(s[summaries.SUMMARY], s["dim_location"])
+
+
+def dq_checks(summary, loc):
+    """(check_name, value, status) of the nine checks: a merge of the summary rows and one scan of the location dimension."""
+    spark = summary.sparkSession
+    f = summaries.totals(summary).select(
+        F.col("total").alias("Total fact records"), F.col("extreme").alias("Extreme weather count"),
+        F.col("null_temperature").alias("Null temperatures"), F.col("out_of_range").alias("Temperature range check"),
+        (F.col("total") - F.col("with_time")).alias("Null time_key (should be low)"),
+        F.col("null_location").alias("Null location_key"), F.col("tagged").alias("Records with source tag"))
     l = loc.agg(F.countDistinct("city").alias("Unique cities"), F.countDistinct("country").alias("Unique countries"))
     melt = lambda df: df.unpivot([], df.columns, "check_name", "value")
     rows = melt(f).unionByName(melt(l))
@@ -188,17 +189,15 @@ def dq_gate(checks_df) -> None:
   (SELECT count(DISTINCT continent) FROM dim_location) AS continents""", "fact"))
 def q_wh_summary(spark, d):
     s = star_views(spark, d)
-    f = s["fact_weather_readings"].agg(
-        F.count(F.lit(1)).alias("total_records"),
-        F.count("time_key").alias("with_time_key"),
-        F.count(F.when(F.col("is_extreme_weather") == 1, 1)).alias("extreme_events"))
+    f = summaries.totals(s[summaries.SUMMARY]).select(F.col("total").alias("total_records"), F.col("with_time").alias("with_time_key"),
+                                                      F.col("extreme").alias("extreme_events"))
     l = s["dim_location"].agg(F.countDistinct("city").alias("cities"),
                               F.countDistinct("continent").alias("continents"))
     # both sides are single-row aggregates; a keyed join on a constant keeps this a plain equi-join
     return f.withColumn("_k", F.lit(1)).join(l.withColumn("_k", F.lit(1)), "_k").drop("_k")
 
 
-# --- the six demo questions, as fixed SQL over the star views ----------------
+# --- the six demo questions: SQL over the star views, answered here from the summary rows ----------------
 _AVG_T = exact_avg_round_sql("f.temperature_fahrenheit", 2)
 _AVG_W = exact_avg_round_sql("f.wind_speed_mph", 2)
 STAR_QUESTIONS = {
@@ -218,12 +217,27 @@ FROM {{fact}} f JOIN {{loc}} l ON f.location_key = l.location_key GROUP BY l.reg
 }
 
 
-def _star_question(text: str):
-    def q(spark, d):
-        star_views(spark, d)
-        return spark.sql(text.format(fact="fact_weather_readings", loc="dim_location"))
-    return q
+def _located(spark, d):
+    """The summary per location with the location's attributes."""
+    s = star_views(spark, d)
+    return summaries.by_location(s[summaries.SUMMARY]).join(s["dim_location"], "location_key")
+
+
+def _mean(kind: str, digits: int = 2):
+    return exact_ratio_round(F.sum(f"sum_{kind}"), F.sum(f"n_{kind}"), digits)
 
 
+STAR_ANSWERS = {
+    "q_avg_temp_by_city": lambda spark, d: _located(spark, d).groupBy("city").agg(_mean("temperature").alias("avg_temp"))
+        .orderBy(F.desc("avg_temp"), "city").limit(20),
+    "q_extreme_cities": lambda spark, d: _located(spark, d).filter("extreme > 0").select("city").distinct(),
+    "q_hottest_city": lambda spark, d: _located(spark, d).orderBy(F.desc("max_temperature"), "city", "hottest_key")
+        .select("city", F.col("max_temperature").alias("max_temp")).limit(1),
+    "q_total_readings": lambda spark, d: summaries.totals(star_views(spark, d)[summaries.SUMMARY]).select(F.col("total").alias("total_readings")),
+    "q_humid_cities": lambda spark, d: _located(spark, d).filter("humid > 0").groupBy("city").agg(
+        F.round(F.max("max_humidity"), 1).alias("max_humidity"), F.sum("humid").alias("readings_above_80")),
+    "q_avg_wind_by_region": lambda spark, d: _located(spark, d).groupBy("region").agg(_mean("wind").alias("avg_wind")),
+}
+
 for _name, _text in STAR_QUESTIONS.items():
-    register(_name, sql(_text.format(fact="fact", loc="dim_location"), "fact"))(_star_question(_text))
+    register(_name, sql(_text.format(fact="fact", loc="dim_location"), "fact"))(STAR_ANSWERS[_name])
