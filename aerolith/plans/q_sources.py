@@ -12,19 +12,36 @@ from aerolith.plans.registry import register
 from aerolith.profiles import PROFILE_C
 from aerolith.schemas import READING_FIELDS
 from aerolith.sources import layers, payloads as pl
-from aerolith.sources.tables import readings
+from aerolith.sources.tables import memo, readings
 from aerolith.streaming import jobs
 
 _ISO = f"strftime(timestamp, '{pl.ISO_DUCK}')"
 _NOT_MALFORMED = f"reading_id % {pl.MALFORMED_EVERY} <> 0 AND reading_id % {pl.QUOTED_EVERY} <> 0"
 
 
+def _topic_path(spark, d, name: str, build) -> str:
+    """A topic's messages, published (written) once per application, in several parts as a topic holds them."""
+    return memo(spark, f"topic-{name}", d)(lambda: layers.land(layers.spread(build(readings(spark, d)), "message_id"), name))
+
+
+def simple_topic_path(spark, d) -> str:
+    return _topic_path(spark, d, "simple-topic", pl.simple_reading_topic)
+
+
+def _topic(spark, d, name: str, build):
+    return spark.read.parquet(_topic_path(spark, d, name, build))
+
+
+def simple_topic(spark, d):
+    return _topic(spark, d, "simple-topic", pl.simple_reading_topic)
+
+
 @register("decode_json_payload", sql(f"""SELECT reading_id AS message_id, {_ISO} AS timestamp, city AS location,
   temperature_fahrenheit AS temperature, humidity_percent AS humidity, wind_speed_mph AS wind_speed,
   pressure_hpa AS pressure, precipitation_mm AS precipitation, CAST(NULL AS VARCHAR) AS forecast_text,
   CAST(NULL AS BOOLEAN) AS is_daytime FROM readings WHERE {_NOT_MALFORMED}""", "readings"))
 def q_decode_json(spark, d):
-    return pl.decode_json_payload(pl.simple_reading_topic(readings(spark, d)))
+    return pl.decode_json_payload(simple_topic(spark, d))
 
 
 def _kept(col: str, default: str) -> str:
@@ -47,20 +64,20 @@ cte("processed", ["processed_c"], f"""SELECT *, {wx.heat_index_sql(PROFILE_C, 't
 
 @register("processor_clean", sql("SELECT * FROM processed", "processed"))
 def q_processor(spark, d):
-    return pl.processor_clean(pl.simple_reading_topic(readings(spark, d)))
+    return pl.processor_clean(simple_topic(spark, d))
 
 
 @register("extreme_event_c", sql("SELECT message_id, temperature, wind_speed, extreme_event FROM processed",
                                  "processed"))
 def q_extreme_c(spark, d):
-    p = pl.processor_clean(pl.simple_reading_topic(readings(spark, d)))
+    p = pl.processor_clean(simple_topic(spark, d))
     return p.select("message_id", "temperature", "wind_speed", "extreme_event")
 
 
 @register("latest_processed", sql("""SELECT location, temperature, humidity, wind_speed, heat_index, extreme_event,
   timestamp FROM processed ORDER BY timestamp DESC, message_id DESC LIMIT 20""", "processed"))
 def q_latest_processed(spark, d, limit: int = 20):
-    p = pl.processor_clean(pl.simple_reading_topic(readings(spark, d)))
+    p = pl.processor_clean(simple_topic(spark, d))
     return (p.orderBy(F.desc("timestamp"), F.desc("message_id")).limit(limit)
              .select("location", "temperature", "humidity", "wind_speed", "heat_index", "extreme_event",
                      "timestamp"))
@@ -89,7 +106,7 @@ WHERE temperature_fahrenheit IS NOT NULL AND humidity_percent IS NOT NULL AND pr
   AND NOT (reading_id % {pl.CURRENT_NULLS_EVERY} = 0 AND (wind_direction_degrees IS NULL OR
            reading_id % {pl.VISIBILITY_MISSING_EVERY} = 0 OR NOT coalesce(precipitation_mm > 0, false)))""", "readings"))
 def q_current(spark, d):
-    return pl.normalize_current_weather(pl.current_weather_topic(readings(spark, d)))
+    return pl.normalize_current_weather(_topic(spark, d, "current-topic", pl.current_weather_topic))
 
 
 @register("normalize_forecast_period", sql(f"""SELECT reading_id AS message_id, {_ISO} AS timestamp, city AS location,
@@ -104,7 +121,7 @@ def q_current(spark, d):
 WHERE reading_id % {pl.MALFORMED_EVERY} <> 0 AND reading_id % {pl.CALM_EVERY} <> 0
   AND NOT (reading_id % {pl.FORECAST_NULLS_EVERY} = 0 AND temperature_fahrenheit IS NULL)""", "readings"))
 def q_forecast_period(spark, d):
-    return pl.normalize_forecast_period(pl.forecast_period_topic(readings(spark, d)))
+    return pl.normalize_forecast_period(_topic(spark, d, "forecast-topic", pl.forecast_period_topic))
 
 
 # --- layer IO ----------------------------------------------------------------------
@@ -147,7 +164,7 @@ _BRONZE_COLS = ", ".join(
                                "readings"))
 def q_bronze_stream(spark, d):
     """Messages -> decode -> stamp -> parquet partitioned by ingestion_date (availableNow), read back."""
-    landing = layers.land(pl.reading_json_topic(readings(spark, d)), "bronze-topic")
+    landing = _topic_path(spark, d, "reading-topic", pl.reading_json_topic)
     out, ckpt = layers.fresh_path(spark, "bronze"), layers.fresh_path(spark, "checkpoints/bronze")
     q = jobs.start_bronze_stream(spark, jobs.file_source(spark, landing), out, ckpt,
                                  trigger={"availableNow": True})
@@ -167,13 +184,10 @@ def q_bronze_sink(spark, d):
 
 
 def _processor_run(spark, d):
-    landing = layers.land(pl.simple_reading_topic(readings(spark, d)), "json-topic")
-    raw, proc = layers.fresh_path(spark, "raw_events"), layers.fresh_path(spark, "processed_data")
-    ckpt = layers.fresh_path(spark, "checkpoints/processor")
-    src = jobs.file_source(spark, landing)
-    for q in jobs.start_processor_stream(spark, src, raw, proc, ckpt, trigger={"availableNow": True}):
-        q.awaitTermination()
-    return spark.read.parquet(raw), spark.read.parquet(proc)
+    out, ckpt = layers.fresh_path(spark, "processor"), layers.fresh_path(spark, "checkpoints/processor")
+    jobs.start_processor_stream(spark, jobs.file_source(spark, simple_topic_path(spark, d)), out, ckpt,
+                                trigger={"availableNow": True}).awaitTermination()
+    return jobs.raw_table(spark, out), jobs.processed_table(spark, out)
 
 
 @register("processor_stream", sql("SELECT * FROM processed", "processed"))
@@ -187,7 +201,7 @@ def q_processor_stream(spark, d):
   p.heat_index, p.extreme_event
 FROM (SELECT * FROM readings WHERE {_NOT_MALFORMED}) r LEFT JOIN processed p ON p.message_id = r.reading_id""", "processed"))
 def q_raw_processed(spark, d):
-    """Both sinks' rows side by side: every raw message, with its processed row where there is one."""
+    """Rows of both tables side by side: every raw message, with its processed row where there is one."""
     raw, proc = _processor_run(spark, d)
     p = proc.select(F.col("message_id"), "temperature", "humidity", "heat_index", "extreme_event")
     return (raw.select("message_id", "timestamp", "location", F.col("temperature").alias("raw_temperature"),

@@ -1,7 +1,7 @@
 """Explicit schemas of the message and table contracts."""
 
-from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, LongType, StringType, StructField,
-                               StructType)
+from pyspark.sql.types import (ArrayType, BooleanType, DoubleType, StringType, StructField,
+                               StructType, VariantType)
 
 _S, _D = StringType(), DoubleType()
 
@@ -22,13 +22,13 @@ SIMPLE_READING = StructType([
     StructField("precipitation", _D), StructField("forecast_text", _S), StructField("is_daytime", BooleanType()),
 ])
 
-# Provider payload: current conditions.
+# Provider payload: current conditions. Keys that may be missing but not null are variants, which tell the two apart.
 CURRENT_WEATHER = StructType([
     StructField("main", StructType([StructField("temp", _D), StructField("humidity", _D),
                                     StructField("pressure", _D)])),
-    StructField("wind", StructType([StructField("speed", _D), StructField("deg", _D)])),
+    StructField("wind", StructType([StructField("speed", _D), StructField("deg", VariantType())])),
     StructField("weather", ArrayType(StructType([StructField("main", _S), StructField("description", _S)]))),
     StructField("clouds", StructType([StructField("all", _D)])),
-    StructField("visibility", LongType()),
-    StructField("rain", StructType([StructField("1h", _D)])),
+    StructField("visibility", VariantType()),
+    StructField("rain", VariantType()),
 ])

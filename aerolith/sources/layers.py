@@ -58,6 +58,11 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """``df`` dealt over as many parts as the session shuffles to, whatever the number of its scan tasks."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def land(df: DataFrame, name: str, records_per_file: int | None = None) -> str:
     """Write a message DataFrame as parquet, a file-source stand-in for a topic: one file per
     input partition, or several where ``records_per_file`` bounds them."""

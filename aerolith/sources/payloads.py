@@ -13,7 +13,7 @@ from aerolith.constants import METERS_PER_MILE, city_catalogue_rows
 from aerolith.functions import weather as wx
 from aerolith.operators.hints import literal_broadcast
 from aerolith.profiles import PROFILE_C
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import StringType, StructField, StructType, VariantType
 
 from aerolith.schemas import CURRENT_WEATHER, SIMPLE_READING
 
@@ -83,43 +83,86 @@ def decode_json_payload(topic: DataFrame) -> DataFrame:
     return parsed.filter(well_formed("m")).select("message_id", *[f"m.{f.name}" for f in SIMPLE_READING.fields])
 
 
-def processor_clean(topic: DataFrame) -> DataFrame:
-    """Variant C row processor: defaults for *missing* keys, clamps, heat index, extreme flag.
+TEXTS = ("timestamp", "location")
+NUMBERS = ("temperature", "humidity", "wind_speed", "pressure", "precipitation")
+RAW, PROCESSED = "raw", "processed"
+RAW_COLUMNS = ("message_id", *TEXTS, *NUMBERS)
+PROCESSED_COLUMNS = (*RAW_COLUMNS, "heat_index", "extreme_event")
+
+_MESSAGE = StructType([StructField(n, VariantType()) for n in TEXTS + NUMBERS])
+
+
+def _message(topic: DataFrame) -> DataFrame:
+    """``message_id, k``: the message parsed once, each key as a variant of its own; what is no JSON object is dropped.
 
-    A key that is present with a null temperature, humidity or wind speed makes
-    the application's arithmetic fail, and so does a quoted number; that message is
-    skipped. The message is parsed once, as a variant, which keeps apart a
-    missing key, a null, a number and a string.
+    A missing key is null, a key with a null is a variant null, and numbers and strings stay apart.
     """
-    v = F.col("value").cast("string")
-    parsed = parse_once(envelope(topic).select("message_id", "value"), F.try_parse_json(v), "k")
-    parsed = parsed.filter(F.schema_of_variant("k").startswith("OBJECT"))
-
-    def get(name, default, typ="double"):
-        there = F.try_variant_get("k", f"$.{name}", "variant")
-        val = F.try_variant_get("k", f"$.{name}", typ)
-        if name in ("temperature", "humidity", "wind_speed"):
-            val = F.when(F.schema_of_variant(there) != "STRING", val)
-        return F.when(there.isNull(), F.lit(default)).otherwise(val)
-
-    t, h, w = get("temperature", 70.0), get("humidity", 50.0), get("wind_speed", 0.0)
+    parsed = parse_once(envelope(topic).select("message_id", "value"), parse_json(F.col("value").cast("string"), _MESSAGE), "k")
+    return parsed.filter(well_formed("k"))
+
+
+def _double(name: str) -> Column:
+    return F.try_variant_get(f"k.{name}", "$", "double")
+
+
+def _text(name: str) -> Column:
+    v = F.col(f"k.{name}")
+    return F.coalesce(F.try_variant_get(v, "$", "string"), F.when(~F.is_variant_null(v), F.to_json(v)))
+
+
+def _raw_fields() -> tuple[Column, list[Column]]:
+    """Whether every number of the message is a number (or null, or missing), and the fields as sent."""
+    bad = F.lit(False)
+    for n in NUMBERS:
+        v = F.col(f"k.{n}")
+        bad |= v.isNotNull() & ~F.is_variant_null(v) & (_double(n).isNull() | F.schema_of_variant(v).isin("STRING", "BOOLEAN"))
+    return ~F.coalesce(bad, F.lit(False)), [*[_text(n).alias(n) for n in TEXTS], *[_double(n).alias(n) for n in NUMBERS]]
+
+
+def _processed_fields() -> tuple[Column, list[Column]]:
+    """Whether the application can process the message, and its fields with defaults for missing keys, clamped.
+
+    A null or a quoted temperature, humidity or wind speed makes its arithmetic fail; that message is skipped.
+    """
+    def get(name, default, value):
+        return F.when(F.col(f"k.{name}").isNull(), F.lit(default)).otherwise(value)
+
+    def needed(name, default):
+        return get(name, default, F.when(F.schema_of_variant(f"k.{name}") != "STRING", _double(name)))
+
+    t, h, w = needed("temperature", 70.0), needed("humidity", 50.0), needed("wind_speed", 0.0)
     ok = t.isNotNull() & h.isNotNull() & w.isNotNull()
-    t_c = F.greatest(F.lit(-50.0), F.least(F.lit(150.0), t))
-    h_c = F.greatest(F.lit(0.0), F.least(F.lit(100.0), h))
-    w_c = F.greatest(F.lit(0.0), w)
-    out = parsed.filter(ok).select(
-        "message_id", F.try_variant_get("k", "$.timestamp", "string").alias("timestamp"),
-        get("location", "Unknown", "string").alias("location"),
-        t_c.alias("temperature"), h_c.alias("humidity"), w_c.alias("wind_speed"),
-        get("pressure", 1013.0).alias("pressure"), get("precipitation", 0.0).alias("precipitation"))
-    return out.select("*", wx.heat_index(PROFILE_C, "temperature", "humidity").alias("heat_index"),
-                      wx.extreme_event_c().alias("extreme_event"))
+    return ok, [_text("timestamp").alias("timestamp"), get("location", "Unknown", _text("location")).alias("location"),
+                F.greatest(F.lit(-50.0), F.least(F.lit(150.0), t)).alias("temperature"),
+                F.greatest(F.lit(0.0), F.least(F.lit(100.0), h)).alias("humidity"), F.greatest(F.lit(0.0), w).alias("wind_speed"),
+                get("pressure", 1013.0, _double("pressure")).alias("pressure"),
+                get("precipitation", 0.0, _double("precipitation")).alias("precipitation")]
+
+
+def _derived() -> list[Column]:
+    return [wx.heat_index(PROFILE_C, "temperature", "humidity").alias("heat_index"), wx.extreme_event_c().alias("extreme_event")]
+
+
+def processor_clean(topic: DataFrame) -> DataFrame:
+    """Variant C row processor: defaults for *missing* keys, clamps, heat index, extreme flag."""
+    ok, fields = _processed_fields()
+    return _message(topic).filter(ok).select("message_id", *fields).select("*", *_derived())
 
 
 def raw_events(topic: DataFrame) -> DataFrame:
-    """The raw table: the message fields as sent (null where a key is missing)."""
-    return decode_json_payload(topic).select("message_id", "timestamp", "location", "temperature", "humidity",
-                                             "wind_speed", "pressure", "precipitation")
+    """The raw table: the message fields as sent (null where a key is missing); messages with a number that is none are dropped."""
+    ok, fields = _raw_fields()
+    return _message(topic).filter(ok).select("message_id", *fields)
+
+
+def raw_and_processed(topic: DataFrame) -> DataFrame:
+    """Each message's raw row and, where it has one, its processed row: ``kind`` and the columns of both, from one parse."""
+    raw_ok, raw = _raw_fields()
+    ok, processed = _processed_fields()
+    both = F.array(F.when(raw_ok, F.struct(F.lit(RAW).alias("kind"), *raw)), F.when(ok, F.struct(F.lit(PROCESSED).alias("kind"), *processed)))
+    rows = _message(topic).select("message_id", F.explode(F.filter(both, lambda r: r.isNotNull())).alias("r")).select("message_id", "r.*")
+    heat, extreme = [F.when(F.col("kind") == PROCESSED, c) for c in _derived()]
+    return rows.select("kind", *RAW_COLUMNS, heat.alias("heat_index"), extreme.alias("extreme_event"))
 
 
 # --- provider payload: current conditions --------------------------------------
@@ -149,11 +192,6 @@ def current_weather_topic(readings: DataFrame) -> DataFrame:
          .otherwise(F.to_json(payload)).alias("payload"))
 
 
-def _null_key(m: Column, key: str) -> Column:
-    """The key is there with a null (a missing key or a missing map is not)."""
-    return F.coalesce(F.map_contains_key(m, key) & m[key].isNull(), F.lit(False))
-
-
 def normalize_current_weather(topic: DataFrame) -> DataFrame:
     """Provider JSON -> flat reading. Messages lacking a required field are skipped, and so
     are those that hold a null where a missing key would have a default.
@@ -161,12 +199,12 @@ def normalize_current_weather(topic: DataFrame) -> DataFrame:
     City attributes come from the fixed catalogue when the city is in it (a
     broadcast of 80 literal rows), else from the message envelope.
     """
-    keys = F.from_json("payload", "map<string,string>")
-    p = parse_once(topic, F.struct(F.from_json("payload", CURRENT_WEATHER).alias("p"), keys.alias("m")), "_j")
-    p = p.select(*topic.columns, "_j.p", "_j.m")
-    wind, rain = (F.from_json(F.col("m")[c], "map<string,string>") for c in ("wind", "rain"))
-    req = (~_null_key(F.col("m"), "visibility") & ~_null_key(F.col("m"), "rain") & ~_null_key(wind, "deg")
-           & ~_null_key(rain, "1h") & F.col("p.main.temp").isNotNull() & F.col("p.main.humidity").isNotNull()
+    p = parse_once(topic, F.from_json("payload", CURRENT_WEATHER), "p")
+    inner = F.try_variant_get("p.rain", "$.1h", "variant")
+    null_key = F.lit(False)
+    for key in (F.col("p.visibility"), F.col("p.rain"), F.col("p.wind.deg"), inner):
+        null_key |= F.is_variant_null(key)
+    req = (~F.coalesce(null_key, F.lit(False)) & F.col("p.main.temp").isNotNull() & F.col("p.main.humidity").isNotNull()
            & F.col("p.main.pressure").isNotNull() & F.col("p.wind.speed").isNotNull()
            & F.get(F.col("p.weather"), 0)["main"].isNotNull() & F.get(F.col("p.weather"), 0)["description"].isNotNull()
            & F.col("p.clouds.all").isNotNull())
@@ -189,13 +227,13 @@ def normalize_current_weather(topic: DataFrame) -> DataFrame:
         F.col("p.main.humidity").alias("humidity_percent"),
         F.col("p.main.pressure").alias("pressure_hpa"),
         F.round("p.wind.speed", 2).alias("wind_speed_mph"),
-        F.coalesce(F.col("p.wind.deg"), F.lit(0.0)).alias("wind_direction_degrees"),
+        F.coalesce(F.try_variant_get("p.wind.deg", "$", "double"), F.lit(0.0)).alias("wind_direction_degrees"),
         F.get(F.col("p.weather"), 0)["main"].alias("weather_condition"),
         F.get(F.col("p.weather"), 0)["description"].alias("weather_description"),
         F.col("p.clouds.all").alias("cloud_cover_percent"),
-        F.round(F.coalesce(F.col("p.visibility"), F.lit(10000)).cast("double") / METERS_PER_MILE, 2)
+        F.round(F.coalesce(F.try_variant_get("p.visibility", "$", "double"), F.lit(10000.0)) / METERS_PER_MILE, 2)
          .alias("visibility_miles"),
-        F.coalesce(F.col("p.rain")["1h"], F.lit(0.0)).alias("precipitation_mm"),
+        F.coalesce(F.try_variant_get("p.rain", "$.1h", "double"), F.lit(0.0)).alias("precipitation_mm"),
         F.col("observed_at").alias("timestamp"))
 
 

@@ -88,11 +88,22 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Flat readings (the Bronze reading contract, typed) derived from ``events``."""
-    return memo(spark, "readings", sf_dir)(lambda: _readings(spark, sf_dir))
+    """Flat readings (the Bronze reading contract, typed) as a written Bronze layer.
 
+    The jobs read Bronze files that a stream has written, never the messages again; so the twin is derived from ``events`` once per
+    application and read back from files.
+    """
+    from aerolith.sources.layers import fresh_path, spread
 
-def _readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    def land():
+        path = fresh_path(spark, "layers/bronze")
+        spread(derived_readings(spark, sf_dir), "reading_id").write.parquet(path)
+        return spark.read.parquet(path)
+
+    return memo(spark, "readings", sf_dir)(land)
+
+
+def derived_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = (table(spark, sf_dir, "events")
           .select("event_id", "ts", "user_id", "event_type", "value",
                   F.regexp_extract("props", "[0-9]+", 0).cast("int").alias("k"),

@@ -23,8 +23,8 @@ def test_silver_filter_reaches_the_scan(spark):
 
 
 def test_readings_broadcasts_tiny_dimensions(spark):
-    from aerolith.sources.tables import readings
-    p = _plan(readings(spark, SF_SMALL))
+    from aerolith.sources.tables import derived_readings
+    p = _plan(derived_readings(spark, SF_SMALL))
     assert p.count("BroadcastHashJoin") == 2 and "SortMergeJoin" not in p
 
 
@@ -47,10 +47,7 @@ def test_narrow_queries_scan_narrow(spark):
     unused = {"longitude", "latitude", "weather_description", "cloud_cover_percent", "pressure_hpa", "props"}
     for name in ("top5_hottest", "risk_summary"):
         assert not _read_columns(q[name][0](spark, SF_SMALL)) & unused, name
-    for name in ("valid_only", "quality_flag_counts"):
-        p = q[name][0](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
-        if name == "quality_flag_counts":
-            assert "weather_description" not in p and "longitude" not in p
+    assert not _read_columns(q["quality_flag_counts"][0](spark, SF_SMALL)) & unused - {"pressure_hpa"}  # the flag needs the pressure
 
 
 def test_latest_per_city_sorts_nothing_below_its_aggregates(spark):
