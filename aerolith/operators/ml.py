@@ -35,11 +35,6 @@ def feature_matrix(gold: DataFrame, features=FEATURES_24, label: str = LABEL) ->
     return out
 
 
-def assemble(df: DataFrame, features: list[str], out: str = "features") -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-    return VectorAssembler(inputCols=features, outputCol=out, handleInvalid="keep").transform(df)
-
-
 # --- exact ordered splits --------------------------------------------------------
 
 def ordered_split(df: DataFrame, part_cols: list[str], order_cols: list[Column], bucket: Column,
@@ -90,7 +85,7 @@ def chronological_split(df: DataFrame, key: str = "city", ts: str = "timestamp",
     ranked row by row is bounded by a partition, not by the city.
     """
     order = [F.col(ts), F.col(id_col)]
-    seg = ordered_segments(df, key, order, parts)
+    seg = segmented(df, key, order, parts)
     return ordered_split(seg, [key], order, F.col("_seg"), fraction).drop("_seg")
 
 
@@ -136,10 +131,15 @@ def ordered_segments(df: DataFrame, key: str, order: list[Column], parts: int |
     return spark.read.parquet(path)
 
 
+def segmented(df: DataFrame, key: str, order: list[Column], parts: int | None = None) -> DataFrame:
+    """``df`` as it is where it has its segments already (steps in a row share one cut), else cut into segments."""
+    return df if "_seg" in df.columns else ordered_segments(df, key, order, parts)
+
+
 def forward_fill(df: DataFrame, cols: list[str], key: str = "city", ts: str = "timestamp",
                  id_col: str = "reading_id", parts: int | None = None) -> DataFrame:
-    """Carry the last non-null value forward within each city; leading nulls -> 0."""
-    d = ordered_segments(df, key, [F.col(ts), F.col(id_col)], parts)
+    """Carry the last non-null value forward within each city; leading nulls -> 0. Segments that ``df`` has are kept."""
+    d = segmented(df, key, [F.col(ts), F.col(id_col)], parts)
     order = F.struct(F.col(ts), F.col(id_col))
     seg_last = d.groupBy(key, "_seg").agg(
         *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order)).alias(f"_l_{c}") for c in cols])
@@ -156,18 +156,18 @@ def forward_fill(df: DataFrame, cols: list[str], key: str = "city", ts: str = "t
 
 def sequence_windows(df: DataFrame, features=SEQ_FEATURES, length: int = 7, key: str = "city",
                      ts: str = "timestamp", id_col: str = "reading_id", target: str = "temperature_fahrenheit",
-                     parts: int | None = None, keep_ts: bool = False) -> DataFrame:
+                     parts: int | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
     """Each reading with the ``length`` previous readings of its city (oldest first) as lag columns.
 
     The first ``length`` readings of a city have no full history and yield no sample.
     Lag columns are named ``{feature}_lag{i}`` with i = 1 for the immediately
-    preceding reading. ``keep_ts`` passes the reading's timestamp through (for a
+    preceding reading. ``keep`` passes columns of the reading through (time and segment, for a
     chronological split of the samples without joining back to the input).
     """
     L = length
     item = F.struct(F.col(ts).alias("t"), F.col(id_col).alias("i"), *[F.col(c) for c in features])
-    cols = list(dict.fromkeys([key, ts, id_col, target, *features]))
-    d = ordered_segments(df.select(*cols), key, [F.col(ts), F.col(id_col)], parts).withColumn("_it", item)
+    cols = list(dict.fromkeys([key, ts, id_col, target, *features, *keep, *(["_seg"] if "_seg" in df.columns else [])]))
+    d = segmented(df.select(*cols), key, [F.col(ts), F.col(id_col)], parts).withColumn("_it", item)
     # tail of every segment: its last L readings (partial top-L before the shuffle)
     w_desc = Window.partitionBy(key, "_seg").orderBy(F.col(ts).desc(), F.col(id_col).desc())
     tails = (d.withColumn("_rd", F.row_number().over(w_desc)).filter(F.col("_rd") <= L)
@@ -185,7 +185,7 @@ def sequence_windows(df: DataFrame, features=SEQ_FEATURES, length: int = 7, key:
     head = F.when(need > 0, F.slice(c, F.greatest(F.size(c) - need + 1, F.lit(1)), need)).otherwise(empty)
     j = j.withColumn("_lags", F.concat(head, F.col("_w"))).filter(F.size("_lags") == L)
     lag_cols = [F.col("_lags")[L - i][f].alias(f"{f}_lag{i}") for i in range(1, L + 1) for f in features]
-    return j.select(id_col, key, *([ts] if keep_ts else []), F.col(target).alias("target"), *lag_cols)
+    return j.select(id_col, key, *keep, F.col(target).alias("target"), *lag_cols)
 
 
 def minmax_scale(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -224,12 +224,3 @@ def confusion_matrix(pred: DataFrame, label: str = "label", prediction: str = "p
 def regression_metrics(pred: DataFrame, actual: str = "actual", predicted: str = "predicted") -> DataFrame:
     e = F.col(actual) - F.col(predicted)
     return pred.agg(F.round(F.avg(F.abs(e)), 6).alias("mae"), F.round(F.sqrt(F.avg(e * e)), 6).alias("rmse"))
-
-
-# --- learned models -------------------------------------------------
-
-def forecast_regressor(train: DataFrame, features: list[str]):
-    """Next-reading temperature from the lag window (a linear re-aim of the recurrent net)."""
-    from pyspark.ml.regression import LinearRegression
-    data = assemble(train, features).select("features", "target").checkpoint()
-    return LinearRegression(featuresCol="features", labelCol="target", regParam=0.0).fit(data)
