@@ -413,3 +413,35 @@ def test_empty_tables(spark, no_docs):
                hnsw.nearest(spark.createDataFrame([], "vec_id bigint, embedding array<float>"), F.col("vec_id") % 20 == 0),
                chat_format.read_back(chat_format.format_chats(spark.createDataFrame([], "conv_id bigint, turn bigint, role string, text string")))):
         assert df.count() == 0
+
+
+@pytest.mark.parametrize("sample", [400, 8, 0])
+def test_line_dedup_split_keys(spark, docs, monkeypatch, sample):
+    """Keys split over pieces (at 8 those the sample holds twice, at 0 every key) lose the same lines."""
+    from aerolith.llm import line_dedup as ld
+    if sample < 400:
+        monkeypatch.setattr(ld, "SAMPLE", sample)
+    if sample == 0:
+        monkeypatch.setattr(ld, "frequent_keys", lambda lines, parts: lines.select("h1", "h2").distinct())
+    rows = docs.collect()
+    held, last = collections.defaultdict(set), {}
+    keys = [[line.strip(" \t\n\x0b\x0c\r").translate(LOWER) for line in (r.text or "").split("\n")] for r in rows]
+    for r, ks in zip(rows, keys):
+        for k in ks:
+            if len(k) >= 20 and r.doc_id is not None:
+                held[k].add(r.doc_id)
+    gone = {k: max(ids) for k, ids in held.items() if len(ids) >= 3}
+    want = sorted((str(r.doc_id), sum(k in gone and gone[k] != r.doc_id for k in ks),
+                   "\n".join(line for line, k in zip((r.text or "").split("\n"), ks) if k not in gone or gone[k] == r.doc_id))
+                  for r, ks in zip(rows, keys))
+    assert sorted((str(r.doc_id), r.n_dropped, r.text) for r in ld.dedup_lines(docs).collect()) == want
+
+
+def test_line_dedup_reads_sorted_ranges(spark):
+    """The range partitions, sorted by document and position, give the result: no other exchange or sort by key."""
+    from aerolith.llm import line_dedup as ld
+    lines = ld.keyed_lines(spark.read.parquet(f"{SF}/documents.parquet"), 20)
+    p = ld.streamed(lines, lines.select("h1", "h2").limit(0), 8)._jdf.queryExecution().executedPlan().toString()
+    assert p.count("rangepartitioning") == 1 and "hashpartitioning(h1" not in p
+    assert p.count("Sort [") == 1 and "doc_id#" in p.split("Sort [")[1].split("]")[0] and "pos#" in p.split("Sort [")[1].split("]")[0]
+    assert p.index("Window [") < p.index("Sort [") < p.index("rangepartitioning")
