@@ -10,9 +10,9 @@ Only whole documents are taken, so a long one at the border could leave a wide g
 pass therefore goes on, in key order, among the untaken documents that fit the gap, and one closing document of the
 size nearest to what is then left is taken if that brings the source nearer to its target.
 
-The running sum never sorts one source in one task: the key's exponential
-distribution function cuts each source into bins of about ``BIN_ROWS`` documents, bins
-are summed first, and rows are only ordered within their bin.
+The running sum never sorts one source in one task: the documents are range-partitioned by source and key into bins
+of about ``BIN_ROWS`` (bounds from a sample of the keys as they are, so any weights give even bins), bins
+are summed first, and rows are only ordered within their bin. The bins are written once, so that all passes see the same ones.
 
 Defined cases: null text has size 0; a null source is a source of its own, sorted
 last; rows with equal id, source and text are one unit, taken or left together; a
@@ -26,9 +26,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from aerolith.llm.store import keep
+from aerolith.llm.store import blocks, keep
 
-BIN_ROWS = 2_000
+BIN_ROWS = 20_000
+MAX_BINS = 100_000  # more documents make larger bins
 PASSES = 2
 LEAST_WEIGHT = 1e-3
 WORD = r"[^\x20\x09-\x0D]+"
@@ -70,6 +71,13 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_e
                     F.least(F.coalesce(F.col("final") * F.col("weight"), F.lit(0.0)), F.col("cap").cast("double")).alias("target")))
 
 
+def binned(units: DataFrame, rows: int) -> DataFrame:
+    """``units`` with ``bin``, which never falls along the key order of a source."""
+    bins = min(MAX_BINS, blocks(rows, BIN_ROWS))
+    ranged = units.repartitionByRange(bins, F.col("source").isNull(), F.col("source"), F.col("key"), F.col("doc_id"), F.col("text_id"))
+    return keep(ranged.withColumn("bin", F.spark_partition_id()), "mix-bins")
+
+
 def _gaps(u: DataFrame) -> DataFrame:
     """``_g, gap``: words that each source's fractional epoch still lacks."""
     rest = F.max(F.col("target") - F.col("epochs") * F.col("source_size"))
@@ -130,11 +138,11 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), max_epochs: int =
                                         F.count(F.lit(1)).alias("rows"))
     plan = source_targets(sizes, weights, max_epochs)
     plan = keep(plan.select(
-        F.col("source").alias("_s"), "source_size", "target", F.ceil(F.col("rows") / BIN_ROWS).alias("bins"),
+        F.col("source").alias("_s"), "source_size", "target",
         F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0)).alias("epochs")), "mix-plan")
     u = (units.join(plan, F.col("source").eqNullSafe(F.col("_s"))).drop("_s")
-         .withColumn("total", F.col("size") * F.col("rows")).withColumn("taken", F.lit(False))
-         .withColumn("bin", F.least(F.floor((F.lit(1.0) - F.exp(-F.col("key"))) * F.col("bins")), F.col("bins") - 1)).drop("bins"))
+         .withColumn("total", F.col("size") * F.col("rows")).withColumn("taken", F.lit(False)))
+    u = binned(u, units.count())
     for _ in range(PASSES):
         u = keep(_fill(u), "mix-taken")
     return (_close(u).select("doc_id", "source", "text_id", "rows", "size", "source_size", "target",

@@ -445,3 +445,19 @@ def test_line_dedup_reads_sorted_ranges(spark):
     assert p.count("rangepartitioning") == 1 and "hashpartitioning(h1" not in p
     assert p.count("Sort [") == 1 and "doc_id#" in p.split("Sort [")[1].split("]")[0] and "pos#" in p.split("Sort [")[1].split("]")[0]
     assert p.index("Window [") < p.index("Sort [") < p.index("rangepartitioning")
+
+
+@pytest.mark.parametrize("weight", [1.0, 0.5, 0.01, 1e-6, 1e6])
+def test_mixing_bins_are_even(spark, monkeypatch, weight):
+    """No bin holds much more than its share, whatever the scale of the weights."""
+    from pyspark.sql import functions as F
+    from aerolith.llm import mixing
+    monkeypatch.setattr(mixing, "BIN_ROWS", 500)
+    w = F.lit(weight) * F.when(F.col("id") % 10 == 0, 3.0).otherwise(1.0)
+    units = spark.range(40_000).select(F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 4 > 0, F.concat(F.lit("s"), F.col("id") % 5)).alias("source"),
+                                       F.col("id").alias("doc_id"), F.xxhash64("id").alias("text_id"), (-F.ln(mixing.uniform(7, "id")) / w).alias("key"))
+    u = mixing.binned(units, 40_000)
+    sizes = [r["count"] for r in u.groupBy("source", "bin").count().collect()]
+    assert max(sizes) <= 1500 and sum(sizes) == 40_000
+    order = u.groupBy("source", "bin").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).orderBy("source", "bin").collect()
+    assert all(a.source != b.source or a.hi <= b.lo for a, b in zip(order, order[1:]))
