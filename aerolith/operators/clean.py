@@ -14,23 +14,18 @@ def first_timestamp_column(df: DataFrame, candidates=("timestamp", "reading_time
 
 
 def dedup_readings(df: DataFrame, keys=("city", "timestamp"),
-                   order=("ingestion_timestamp", "reading_id"), copies: str | None = None) -> DataFrame:
+                   order=("ingestion_timestamp", "reading_id")) -> DataFrame:
     """One row per (city, timestamp): the earliest ingestion, then the lowest id.
 
     A first-row window per key: Spark limits groups on the map side
     (WindowGroupLimit), so a hot key with many copies is cut before the shuffle, and columns that the
-    caller does not use are pruned down to the scan. ``copies`` names an optional extra column
-    holding each group's size, for audits; it comes from an aggregate whose ``min_by`` columns
-    are pruned one by one.
+    caller does not use are pruned down to the scan.
     """
     keys = [k for k in keys if k in df.columns]
     if not keys or "timestamp" not in keys:
         ts = first_timestamp_column(df)
         keys = ["city", ts] if ts else ["city"]
     order = [o for o in order if o in df.columns]
-    if copies:
-        first = [F.min_by(c, F.struct(*order)).alias(c) for c in df.columns if c not in keys]
-        return df.groupBy(*keys).agg(*first, F.count(F.lit(1)).alias(copies)).select(*df.columns, copies)
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn("_first", F.row_number().over(w)).filter("_first = 1").drop("_first")
 

@@ -9,7 +9,7 @@ de-duplication shuffle for each branch of its plan.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from aerolith.operators.warehouse import materialize
 from aerolith.plans import medallion
@@ -24,8 +24,22 @@ def silver_a(spark: SparkSession, d: str) -> DataFrame:
     return memo(spark, "silver_a", d)(lambda: medallion.silver_a(readings(spark, d)))
 
 
+def _silver_a_written(spark: SparkSession, d: str) -> tuple[DataFrame, dict]:
+    def write():
+        noted = Observation(), Observation()
+        layer = materialize(medallion.silver_a(readings(spark, d), noted=noted), "silver_a")
+        return layer, noted[0].get | noted[1].get
+
+    return memo(spark, "silver_a_layer", d)(write)
+
+
 def silver_a_layer(spark: SparkSession, d: str) -> DataFrame:
-    return memo(spark, "silver_a_layer", d)(lambda: materialize(silver_a(spark, d), "silver_a"))
+    return _silver_a_written(spark, d)[0]
+
+
+def silver_a_counts(spark: SparkSession, d: str) -> dict:
+    """Row counts that were noted while the Silver layer was written."""
+    return _silver_a_written(spark, d)[1]
 
 
 def silver_b_layer(spark: SparkSession, d: str) -> DataFrame:

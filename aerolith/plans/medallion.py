@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from aerolith.functions import calendar as cal
@@ -11,11 +11,19 @@ from aerolith.operators import clean, features
 from aerolith.profiles import PROFILE_A, PROFILE_B
 
 
-def silver_a(bronze: DataFrame, stamp: bool = False) -> DataFrame:
-    """dedup -> range flag -> drop null critical -> fill defaults -> celsius -> date parts."""
+def silver_a(bronze: DataFrame, stamp: bool = False, noted: tuple[Observation, Observation] | None = None) -> DataFrame:
+    """dedup -> range flag -> drop null critical -> fill defaults -> celsius -> date parts.
+
+    ``noted`` observes the rows after the de-duplication and the Silver rows with the valid ones among them, while they are
+    written. Both places lie in the writing stage, so a stage that runs again does not count twice; such a plan is for one write.
+    """
     df = clean.dedup_readings(bronze)
+    if noted:
+        df = df.observe(noted[0], F.count(F.lit(1)).alias("after_dedup"))
     df = clean.range_quality_flag(df)
     df = clean.drop_null_critical(df, "A")
+    if noted:
+        df = df.observe(noted[1], F.count(F.lit(1)).alias("silver_rows"), F.count(F.when(F.col("quality_flag") == "VALID", 1)).alias("valid_rows"))
     df = clean.fill_null_defaults(df)
     df = clean.celsius_backfill(df, "A")
     df = clean.reading_date_parts(df)

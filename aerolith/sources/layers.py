@@ -5,7 +5,8 @@ from __future__ import annotations
 import uuid
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from aerolith.session import scratch_path
 
@@ -31,8 +32,8 @@ def read_layer(spark: SparkSession, path: str, schema=None) -> DataFrame:
     return df
 
 
-def write_layer(df: DataFrame, path: str, partition_by: str = "reading_date") -> None:
-    """Overwrite a layer partitioned by date. With dynamic partition overwrite (session
+def write_layer(df: DataFrame, path: str, partition_by: str = "reading_date") -> int:
+    """Overwrite a layer partitioned by date; the rows written, noted on the way. With dynamic partition overwrite (session
     default here) only the dates present in ``df`` are replaced, so reruns are idempotent.
 
     The rows are rebalanced on the partition column first: otherwise every task
@@ -40,8 +41,10 @@ def write_layer(df: DataFrame, path: str, partition_by: str = "reading_date") ->
     small files). With AQE the rebalance sizes write tasks toward the advisory
     partition size, splitting a hot date over several tasks and merging small ones.
     """
-    (df.hint("rebalance", partition_by).write.mode("overwrite").option("compression", "snappy")
+    noted = Observation()
+    (df.hint("rebalance", partition_by).observe(noted, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").option("compression", "snappy")
        .partitionBy(partition_by).parquet(path))
+    return noted.get["rows"]
 
 
 def warehouse_sink(df: DataFrame, url: str | None = None, table: str | None = None,
