@@ -11,7 +11,9 @@ for ``k`` matches. The join uses this three times.
    other classes. Shingles are counted over all classes (``exchange``). Most documents end here.
 3. Among those left, rarest first: each class picks the ``k`` (1, 2, 4, ...) with the least estimated cost, which is the
    posting entries its prefix meets plus one verification for every ``k`` of them. Classes that share a prefix
-   shingle form a family (connected components over each shingle's smallest class); no link leaves a family.
+   shingle form a family (connected components over each shingle's smallest class); no link leaves a family. A class
+   leaves its family if no size in it fits: two linked sets share 4/9 of their sizes' sum, and a set cannot share more than
+   those of its shingles that occur in other sets at all.
 
 Families are compared in cells of bounded size: small families together, a large one in blocks of about
 ``CELL_SHINGLES`` shingles, so that a huge group of near copies is many tasks. Block 0 meets every block, which joins
@@ -267,6 +269,38 @@ def _families(ready: DataFrame, batches: int) -> DataFrame:
     return components(dealt.groupBy("batch").cogroup(told.groupBy("batch")).applyInArrow(finish, CELL_DDL))
 
 
+def _least_shared(t: pa.Table) -> pa.Table:
+    """Of one family's set sizes (``n``, ``rows``, ``most``: the most shared shingles of a set of that size): how many shingles a
+    set of each size has to share for a link to be possible; sizes without a possible partner are left out."""
+    t = t.sort_by("n")
+    n, rows, most = (t[c].to_numpy() for c in ("n", "rows", "most"))
+    reach = (100 + PERCENT) * most // PERCENT - n  # largest partner whose overlap a set of this size can hold
+    out = []
+    for i, size in enumerate(n.tolist()):
+        lo, hi = np.searchsorted(n, least_overlap(size), "left"), np.searchsorted(n, 100 * size // PERCENT, "right")
+        ok = (reach[lo:hi] >= size) & (n[lo:hi] <= reach[i])
+        if lo <= i < hi and rows[i] < 2:
+            ok[i - lo] = False
+        if ok.any():
+            smallest = int(n[lo + int(ok.argmax())])
+            out.append((t["component"][0].as_py(), size, -(-PERCENT * (size + smallest) // (100 + PERCENT))))
+    cols = list(zip(*out)) or [[]] * 3
+    return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("component", "n", "least"), cols)})
+
+
+def _possible(ready: DataFrame, families: DataFrame) -> DataFrame:
+    """Classes of ``ready`` that can link with a set of their family, by what both share with any others at all.
+
+    Linked sets of ``n`` and ``m`` have 4/9 of ``n + m`` in common, which is more than 4/5 of ``n`` unless the partner is as small as
+    may be. Pages that only have a frame in common share too little for pages of their own size, so they leave here, however many they are.
+    """
+    held = keep(ready.join(families, "id").withColumn("shared", (F.octet_length("shingles") / 8).cast("long")), "held")
+    sizes = held.groupBy("component", "n").agg(F.count(F.lit(1)).alias("rows"), F.max("shared").alias("most"))
+    least = sizes.groupBy("component").applyInArrow(_least_shared, "component bigint, n bigint, least bigint")
+    return (held.join(least, ["component", "n"]).filter(F.col("shared") >= F.col("least"))
+            .select("id", "n", "k", "prefix", "shingles", "component"))
+
+
 def _compare(cells: DataFrame) -> DataFrame:
     """Links ``a, b`` of cells: within block ``i``, or (``right``) of block ``j`` with block ``i``."""
     def run(key, t):
@@ -285,14 +319,14 @@ def _block(parts) -> Column:
     return F.pmod(F.xxhash64("id"), parts).cast("int")
 
 
-def _cell_links(ready: DataFrame, families: DataFrame) -> DataFrame:
-    """Links of all families, cell by cell.
+def _cell_links(members: DataFrame) -> DataFrame:
+    """Links of all families (``members``: classes with their family, ``component``), cell by cell.
 
     Small families share cells. Of a large one, block 0 meets every block; that joins a group of near copies at
     a cost that grows with its size. Where the largest component so far holds two rows of the other blocks, they need
     no comparison, so only the rest of the family is compared, with itself and with that component.
     """
-    sized = keep(ready.join(families, "id").withColumn("held", F.octet_length("shingles") / 8), "sized")
+    sized = keep(members.withColumn("held", F.octet_length("shingles") / 8), "sized")
     shape = keep(sized.groupBy("component").agg(F.sum("held").alias("held"))
                  .withColumn("parts", F.ceil(F.col("held") / CELL_SHINGLES).cast("int")), "families")
     rows = sized.drop("held").join(shape.drop("held"), "component")
@@ -347,7 +381,7 @@ def class_links(docs: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
                                blocks(size, exchange.BUCKET_BYTES)), "partners")
     batches = blocks((left.agg(F.sum("n")).first()[0] or 0) * 8, exchange.BATCH_BYTES)
     ready = keep(_ready(left, batches), "ready")
-    links = _cell_links(ready, _families(ready, batches))
+    links = _cell_links(_possible(ready, _families(ready, batches)))
     held = F.col("n") > 0
     member = sets.join(named.select("h1", "h2", "id", "first"), ["h1", "h2"], "left").select(
         "doc_id", "t1", "t2", "n", F.when(held, F.col("id")).alias("id"), F.when(held, F.col("first")).alias("first"))

@@ -461,3 +461,44 @@ def test_mixing_bins_are_even(spark, monkeypatch, weight):
     assert max(sizes) <= 1500 and sum(sizes) == 40_000
     order = u.groupBy("source", "bin").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).orderBy("source", "bin").collect()
     assert all(a.source != b.source or a.hi <= b.lo for a, b in zip(order, order[1:]))
+
+
+def _pages(count, frame, own, spread=0):
+    """Pages with a common frame and words of their own (``spread``: pages differ in how many)."""
+    return [(i, " ".join([f"c{j}" for j in range(frame)] + [f"p{i}x{j}" for j in range(own + (i * 7 % (spread + 1)))])) for i in range(count)]
+
+
+def test_ngram_join_leaves_half_similar_pages_out(spark, monkeypatch):
+    """Pages with a common frame that link with nobody do not reach the cells, however many there are; near copies among them do."""
+    from aerolith.llm import ngram_join as nj
+    monkeypatch.setattr(nj, "CELL_SHINGLES", 20_000)
+    sent = {}
+    compare = nj._compare
+
+    def counting(cells):
+        sent[count] = sent.get(count, 0) + cells.count()
+        return compare(cells)
+
+    monkeypatch.setattr(nj, "_compare", counting)
+    for count in (250, 1000):
+        rows = _pages(count, 200, 40)
+        copies = [(10_000 + i, t.replace("x39", "y39")) for i, t in rows[:10]]
+        got = {r.doc_id: r.component_id for r in nj.near_duplicates(spark.createDataFrame(rows + copies, "doc_id long, text string")).collect()}
+        assert got == {i: i for i, _ in rows} | {10_000 + i: i for i in range(10)}
+    assert sent[1000] <= sent[250] + 20 and sent[1000] < 100
+
+
+@pytest.mark.parametrize("frame,own,spread", [(100, 20, 0), (100, 24, 6), (100, 22, 40), (60, 5, 60), (100, 30, 3)])
+def test_ngram_join_framed_pages_lose_no_link(spark, monkeypatch, frame, own, spread):
+    """Around the threshold, with pages of many sizes, against all pairs."""
+    from aerolith.llm import ngram_join as nj
+    monkeypatch.setattr(nj, "CELL_SHINGLES", 3000)
+    rows = _pages(70, frame, own, spread)
+    sets = {i: {tuple(t.split()[j:j + 5]) for j in range(len(t.split()) - 4)} for i, t in rows}
+    part = {i: i for i in sets}
+    for i in sets:
+        for j in range(i):
+            if 100 * len(sets[i] & sets[j]) >= 80 * len(sets[i] | sets[j]):
+                a, b = part[i], part[j]
+                part = {k: min(a, b) if v in (a, b) else v for k, v in part.items()}
+    assert {r.doc_id: r.component_id for r in nj.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == part
