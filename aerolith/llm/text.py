@@ -53,11 +53,3 @@ def runs(h: np.ndarray, length: int) -> np.ndarray:
 
 def batch(rows: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(rows[f.name], f.type) for f in schema], schema=schema)
-
-
-def packed(a: np.ndarray) -> bytes:
-    return a.tobytes()
-
-
-def unpacked(b: bytes | None, dtype=np.uint64) -> np.ndarray:
-    return np.frombuffer(b or b"", dtype)

@@ -2,6 +2,12 @@
 
 Each stage takes what the stage before it kept (written as Parquet and read again) and
 its decisions take effect; all but the last return the columns of ``documents``.
+
+Defined cases: a null or empty text is scored, kept or rejected, and mixed like any other (size 0: taken as often as its
+source's whole epochs say) and packs as its end token alone; without labels every text scores 0.5 and is kept; rows without an id lose
+repeated lines, are copies of each other where their shingles are equal, and pack like others; rows that share an id are judged
+by id and text; equal rows with an id stay together or go together; columns beside id, text, source and ``n_chars`` (which follows the text)
+are passed through, whatever their names; an empty table gives no rows at every stage.
 """
 
 from __future__ import annotations
