@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
+from aerolith.operators import serving
 from aerolith.operators.warehouse import materialize
 from aerolith.plans import medallion
 from aerolith.sources.tables import memo, readings
@@ -55,6 +56,11 @@ def gold_a(spark: SparkSession, d: str) -> DataFrame:
         lambda: medallion.gold_a(silver_a_layer(spark, d), stats_hook=_stats_table("city_stats_a")))
 
 
+def latest_a(spark: SparkSession, d: str) -> DataFrame:
+    """The current row of every city as a small written table, which all serving queries read."""
+    return memo(spark, "latest_a", d)(lambda: materialize(serving.latest_per_city(gold_a(spark, d)), "latest_a"))
+
+
 def silver_b(spark: SparkSession, d: str) -> DataFrame:
     return memo(spark, "silver_b", d)(lambda: medallion.silver_b(readings(spark, d)))
 

@@ -15,8 +15,7 @@ from aerolith.plans.registry import register
 T, H, W = "temperature_fahrenheit", "humidity_percent", "wind_speed_mph"
 
 
-def latest(spark, d):
-    return serving.latest_per_city(base.gold_a(spark, d))
+latest = base.latest_a
 
 
 def _values(pairs) -> str:
@@ -30,7 +29,7 @@ _GEO_VALUES = _values((c, a, b) for c, (a, b) in MAP_COORDS_BY_CITY.items())
 
 @register("latest_per_city", sql("SELECT city, reading_id, timestamp FROM latest_a", "latest_a"))
 def q_latest(spark, d):
-    return latest(spark, d).select("city", "reading_id", "timestamp")
+    return serving.latest_per_city(base.gold_a(spark, d)).select("city", "reading_id", "timestamp")
 
 
 _CARDS_SQL = """SELECT city, state, round(coalesce(temperature_fahrenheit, 0.0), 1) AS temperature_f,
