@@ -502,3 +502,42 @@ def test_ngram_join_framed_pages_lose_no_link(spark, monkeypatch, frame, own, sp
                 a, b = part[i], part[j]
                 part = {k: min(a, b) if v in (a, b) else v for k, v in part.items()}
     assert {r.doc_id: r.component_id for r in nj.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()} == part
+
+
+def test_licence_labels_and_scores(spark, docs):
+    """Labels and scores of templates against a search of every start without an index."""
+    import math
+    from aerolith.llm import licenses as li
+    texts = [r.text for r in docs.collect()]
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software"
+    texts += [mit, "x " * 40 + mit.replace("free of charge", "free"), "y " * 7 + mit.replace("hereby ", ""), mit.replace("any person", "each and every person"),
+              "licensed under CC BY-NC 4.0 and cc by 4", "Licensed under the Apache License", "all rights\nreserved", "redistribution and use"]
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    words = [[w.decode() for w in re.findall(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (t or "").encode().translate(bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")))]
+             for t in texts]
+    df = collections.Counter(w for ws in words for w in set(ws))
+    want = {}
+    for doc, ws in enumerate(words):
+        labels, score = set(), 0.0
+        for label, template, key in li.TEMPLATES:
+            t, key = template.split(), key.split()
+            idf = {w: math.log((len(words) + 1) / (df[w] + 1)) for w in t}
+            rare = sorted(idf, key=lambda w: (-idf[w], w))[:li.ANCHORS]
+
+            def agreeing(start):
+                return {p for p, w in enumerate(t) if w in rare and 0 <= start + p < len(ws) and ws[start + p] == w}
+
+            for start in range(-len(t), len(ws)):
+                if not agreeing(start):
+                    continue
+                near = set().union(*(agreeing(start + s) for s in range(-li.SLACK, li.SLACK + 1)))
+                there = any(ws[j:j + len(key)] == key for j in range(max(0, start - li.SLACK), max(0, start + len(t) + li.SLACK)))
+                if len(near) >= min(2, len(rare)) and there:
+                    labels.add(label)
+                    score = max(score, sum(0 <= start + j < len(ws) and ws[start + j] == w for j, w in enumerate(t)) / len(t))
+        base = {label for phrase, label in li.BASE.items() if f" {phrase} " in f" {' '.join(ws)} "}
+        want[doc] = (",".join(sorted(base | labels)), max(score, li.BASE_SCORE if base else 0.0))
+    got = {r.doc_id: (r.labels, r.score) for r in li.scan_licences(frame).collect()}
+    assert {d: v[0] for d, v in got.items()} == {d: v[0] for d, v in want.items()}
+    assert all(abs(got[d][1] - want[d][1]) < 1e-12 for d in want)
+    assert "mit" in got[len(texts) - 8][0] and got[len(texts) - 8][1] == 1.0 and 0.5 < got[len(texts) - 7][1] < 1 and "mit" in got[len(texts) - 7][0]
