@@ -229,6 +229,15 @@ def test_secret_scan_joins_and_flow():
     assert [flow[x["start"]:x["end"]] for x in s.secrets_of(flow)] == ["qW3rTy9uIo"]
 
 
+@pytest.mark.parametrize("text", ["a=b+" * 100_000, "pwd=" * 50_000, 'pwd="' * 50_000, "pwd=$x" * 50_000, "a[" * 50_000, "<pwd>" * 50_000, "x = 'q' " * 50_000])
+def test_secret_scan_of_long_texts_takes_no_more_than_in_proportion(text):
+    import time
+    from aerolith.llm import secret_scan as s
+    t0 = time.process_time()
+    s.secrets_of(text)
+    assert time.process_time() - t0 < 20
+
+
 @pytest.mark.parametrize("text", ["", "plain words: nothing to see here, and no secrets either.", 'pwd = "changeme"', 'pwd = "your-pwd-here"', "pwd = getenv",
                                   'pwd_file = "/run/secrets/x9Q2"', 'colour = "qW3rTy9uIo"', "pwd: str = pwd", 'pwd = ""', "a: b: c: d:", "if pwd == 'qW3rTy9uIo':"])
 def test_secret_scan_leaves_alone(text):
