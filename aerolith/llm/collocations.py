@@ -90,7 +90,8 @@ def trigrams(lang: bytes, tokens: list[bytes], upto: int) -> tuple[pa.Array, np.
     counts = np.diff(np.r_[starts, len(keys)])
     keys = keys[starts]
     words = pc.take(coded.dictionary, order)
-    if any(b"\x00" in w or b"\x01" in w for w in tokens):
+    raw = words.buffers()[2].to_pybytes() if len(words) else b""
+    if b"\x00" in raw or b"\x01" in raw:
         words = pa.array([escape(w) for w in words.to_pylist()], pa.binary())
     words = pa.concat_arrays([pa.array([b""], pa.binary()), words])
     low = (1 << bits) - 1
@@ -150,7 +151,7 @@ def text_bounds(docs: DataFrame) -> list[bytes]:
             for lang, text in zip(b.column("lang").to_pylist(), b.column("text").to_pylist()):
                 if text:
                     keys, _ = trigrams(lang.encode(), t := next(segments(text.encode())).split(), len(t))
-                    out += keys.take(list(range(0, len(keys), max(40, len(keys) // 50)))).to_pylist()
+                    out += keys.take(pa.array(range(0, len(keys), max(40, len(keys) // 50)), pa.int64())).to_pylist()
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["key"])
 
     share = min(1.0, (200 + 10 * ranges) / rows)
