@@ -36,7 +36,7 @@ def test_sql_twins(spark, name):
 def test_entry_has_all():
     import __spark_entry__ as e
     names = set(e.queries())
-    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11))
+    assert "pipeline" in names and all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14))
 
 
 def test_ngram_join(docs, small_batches):
