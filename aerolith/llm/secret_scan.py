@@ -10,12 +10,13 @@ value's literals are scored by how sensitive the target name is times how much t
 like a secret; those that reach ``THRESHOLD`` are found as ``named``, at the place of the literal, wherever the sensitive name stands.
 
 Every pattern runs once over the text and none backtracks over a long run; an unquoted value is one literal, so what looks like
-an assignment inside it (a URL) is none. A very long text costs in proportion to its length.
+an assignment inside it (a URL) is none. Values have as many atoms and stand for as many literals as the text gives them: a value
+that refers to others shares theirs (``Value``), so their number is in proportion to the text. Literals are joined for sensitive
+names alone; a name that adds to the one before it goes on from what that one joined.
 
 Defined cases: null text is empty; an empty text has no findings; every row (repeated ones, rows without an id) is
 scanned by itself; a literal inside a base finding is not reported again; a literal found by several names is reported
-once, with its best score; a value built of more than ``PARTS`` atoms or literals is text, not a constant, and is neither
-scored nor propagated; columns other than ``doc_id`` and ``text`` are ignored; an empty table gives no rows.
+once, with its best score; columns other than ``doc_id`` and ``text`` are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,7 +38,6 @@ BASE = (("assign", ASSIGN, 2, 12), ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 1
         ("hex", re.compile(r"[0-9a-f]{16,}"), 0, 16))
 
 THRESHOLD = 0.5
-PARTS = 16
 
 # How sensitive a target is, by the words of its name and by pairs of adjacent words.
 WORDS = {"password": 1.0, "passwd": 1.0, "pwd": 1.0, "passphrase": 1.0, "pass": 0.8, "secret": 1.0, "secrets": 0.9, "token": 0.9,
@@ -49,7 +49,7 @@ PAIRS = {("api", "key"): 0.9, ("access", "key"): 0.9, ("private", "key"): 1.0, (
 ABOUT = {"count", "length", "len", "size", "name", "file", "path", "dir", "url", "uri", "field", "type", "policy", "hint", "label",
          "limit", "max", "min", "expiry", "expires", "ttl", "timeout", "placeholder", "regex", "pattern", "prompt", "format", "column",
          "header", "class", "provider", "required", "enabled", "index", "version"}
-PLACEHOLDER = re.compile(r"(?:change[-_ ]?me.*|(?:an?[-_ ])?example.*|.*example|x{4,}|\*+|<.*>|your[-_ ].*|my[-_ ].*|insert[-_ ].*|todo|"
+PLACEHOLDER = re.compile(r"(?:change[-_ ]?me.*|(?:an?[-_ ])?example.*|x{4,}|\*+|<.*>|your[-_ ].*|my[-_ ].*|insert[-_ ].*|todo|"
                          r"none|null|true|false|undefined|test|dummy.*|redacted.*|\.+|placeholder.*|\{\{.*\}\}|%\(.*\)s)", re.I | re.S)
 
 TARGET = re.compile(r"""
@@ -82,22 +82,26 @@ def name_score(name: str) -> float:
     return best * (0.2 if words[-1] in ABOUT else 1.0)
 
 
-def literal_score(literal: str, quoted: bool) -> float:
-    """How much a literal looks like a secret, 0 to 1: long enough, no placeholder, mixed characters."""
+def literal_score(literal: str, quoted: bool, counts: Counter | None = None) -> float:
+    """How much a literal looks like a secret, 0 to 1: long enough, no placeholder, mixed characters.
+
+    ``counts`` are those of its characters where they are at hand.
+    """
     n = len(literal)
-    if n < 8 or PLACEHOLDER.fullmatch(literal) or not quoted and WORD.fullmatch(literal):
+    if n < 8 or PLACEHOLDER.fullmatch(literal) or literal[-7:].lower() == "example" or not quoted and WORD.fullmatch(literal):
         return 0.0
-    entropy = -sum(c / n * math.log2(c / n) for c in Counter(literal).values())
-    classes = (any("a" <= c <= "z" for c in literal) + any("A" <= c <= "Z" for c in literal)
-               + any("0" <= c <= "9" for c in literal) + any(not c.isalnum() for c in literal))
+    counts = Counter(literal) if counts is None else counts
+    entropy = -sum(c / n * math.log2(c / n) for c in counts.values())
+    classes = (any("a" <= c <= "z" for c in counts) + any("A" <= c <= "Z" for c in counts)
+               + any("0" <= c <= "9" for c in counts) + any(not c.isalnum() for c in counts))
     mixed = min(1.0, 0.1 + 0.15 * classes + entropy / 8)
-    return mixed * (0.5 if any(c.isspace() for c in literal) else 1.0)
+    return mixed * (0.5 if any(c.isspace() for c in counts) else 1.0)
 
 
 def _value(text: str, at: int) -> tuple[list[tuple], int]:
     """Atoms of the value that starts at ``at``: ``(start, end, quoted, name or None)``; and its end."""
     atoms, joined = [], False
-    while len(atoms) <= PARTS and (m := ATOM.match(text, at)):
+    while m := ATOM.match(text, at):
         if m["quoted"] is not None:
             group = next(g for g in "dsb" if m[g] is not None)
             atoms.append((m.start(group), m.end(group), True, None))
@@ -142,8 +146,60 @@ def _last_part(name: str) -> str:
     return re.split(r"[.\-]", name)[-1]
 
 
-def propagate(text: str, found: list) -> list[tuple | None]:
-    """The literals ``(start, end, quoted)`` that each pair's value stands for, references followed; None: more than ``PARTS``."""
+class Value(list):
+    """What a name stands for: literals ``(start, end, quoted)`` and values of other names, in order. Values only hold older ones."""
+
+
+class Joined:
+    """The literals of a value, each once at its first place, joined."""
+
+    def __init__(self, text: str):
+        self.text, self.value = text, None
+        self.parts: dict[tuple, None] = {}
+        self.seen: dict[int, Value] = {}
+        self.literal, self.quoted, self.counts = "", False, Counter()
+
+    def _fresh(self, items: list) -> list[tuple]:
+        """The literals among ``items`` that are not here yet, in order; they are here from now on."""
+        fresh, stack = [], [iter(items)]
+        while stack:
+            item = next(stack[-1], None)
+            if item is None:
+                stack.pop()
+            elif isinstance(item, Value):
+                if id(item) not in self.seen:  # a value that was met adds nothing new
+                    self.seen[id(item)] = item
+                    stack.append(iter(item))
+            elif item not in self.parts:
+                self.parts[item] = None
+                fresh.append(item)
+        return fresh
+
+    def _read(self, fresh: list[tuple]) -> str:
+        self.quoted = self.quoted or any(q for _, _, q in fresh)
+        return "".join([self.text[s:e] for s, e, _ in fresh])
+
+    def extended(self, value: Value) -> Joined:
+        """This one, where ``value`` puts something before or behind its value, or a new one for ``value``."""
+        at = next((k for k, item in enumerate(value) if item is self.value), None) if self.value is not None else None
+        front = [] if not at else Joined(self.text)._fresh(value[:at])
+        if at is None or any(item in self.parts for item in front):  # what stands in front is joined there
+            out, front, behind = Joined(self.text), [], value
+        else:
+            out, behind = self, value[at + 1:]
+        before, after = out._read(out._fresh(front)), out._read(out._fresh(behind))
+        if before:
+            counts = Counter(before)
+            counts.update(out.counts)
+            out.literal, out.counts = before + out.literal, counts
+        out.literal += after
+        out.counts.update(after)
+        out.seen[id(value)] = out.value = value
+        return out
+
+
+def propagate(text: str, found: list) -> list[Value]:
+    """What each pair's value stands for, references followed."""
     places: dict[str, list[int]] = {}
     for i, (_, name, _) in enumerate(found):
         places.setdefault(name, []).append(i)
@@ -158,20 +214,12 @@ def propagate(text: str, found: list) -> list[tuple | None]:
         return next((j for j in at[k:k + 2] if j != i), None)
 
     links = [[target(a[3], i) if a[3] else None for a in atoms] for i, (_, _, atoms) in enumerate(found)]
-    done: list = [()] * len(found)
+    nothing = Value()
+    done = [nothing] * len(found)
 
     def settle(i: int) -> None:
-        parts: list[tuple] = [()] * (PARTS + 1) if len(found[i][2]) > PARTS else []
-        for (start, end, quoted, _), j in zip(found[i][2], links[i]):
-            if j is None:
-                parts.append((start, end, quoted))
-            elif done[j] is None:
-                parts = [()] * (PARTS + 1)
-                break
-            else:
-                parts += done[j]
-        parts = list(dict.fromkeys(parts))
-        done[i] = tuple(parts) if len(parts) <= PARTS and () not in parts else None
+        items = Value((start, end, quoted) if j is None else done[j] for (start, end, quoted, _), j in zip(found[i][2], links[i]))
+        done[i] = items[0] if len(items) == 1 and isinstance(items[0], Value) else items
 
     # references back are settled in order, references ahead on the way back, what referred to those on a third way
     ahead = any(j is not None and j > i for i, l in enumerate(links) for j in l)
@@ -187,17 +235,30 @@ def named(text: str) -> dict[tuple[int, int], tuple[str, float]]:
     weights = [name_score(name) for _, name, _ in found]
     if not any(w >= THRESHOLD for w in weights):
         return {}
-    out: dict[tuple[int, int], tuple[str, float]] = {}
-    looks: dict[tuple, float] = {}
-    for (_, name, _), weight, parts in zip(found, weights, propagate(text, found)):
-        if weight >= THRESHOLD and parts:
-            if parts not in looks:  # many names may stand for one long literal
-                looks[parts] = literal_score("".join(text[s:e] for s, e, _ in parts), any(q for _, _, q in parts))
-            score = weight * looks[parts]
+    told: list[tuple[float, int, str, Value]] = []
+    looks: dict[int, float] = {}
+    joined = Joined(text)
+    for i, ((_, name, _), weight, value) in enumerate(zip(found, weights, propagate(text, found))):
+        if weight >= THRESHOLD:
+            if id(value) not in looks:  # many names may stand for one long literal
+                joined = joined.extended(value)
+                looks[id(value)] = literal_score(joined.literal, joined.quoted, joined.counts)
+            score = weight * looks[id(value)]
             if score >= THRESHOLD:
-                for s, e, _ in parts:
-                    if e > s and out.get((s, e), ("", 0.0))[1] < score:
-                        out[s, e] = (name, round(score, 6))
+                told.append((score, i, name, value))
+    # best scores first, so each value and each literal is looked at once
+    out: dict[tuple[int, int], tuple[str, float]] = {}
+    met: set[int] = set()
+    for score, _, name, value in sorted(told, key=lambda t: (-t[0], t[1] if round(t[0], 6) >= t[0] else -t[1])):
+        stack = [value]
+        while stack:
+            item = stack.pop()
+            if isinstance(item, Value):
+                if id(item) not in met:
+                    met.add(id(item))
+                    stack += item
+            elif item[1] > item[0] and item[:2] not in out:
+                out[item[:2]] = (name, round(score, 6))
     return out
 
 
