@@ -13,17 +13,22 @@ from aerolith.operators.hints import literal_broadcast
 T, H, W = "temperature_fahrenheit", "humidity_percent", "wind_speed_mph"
 
 
-def latest_per_city(gold: DataFrame, ts: str = "timestamp", tie: str = "reading_id") -> DataFrame:
+def latest_per_city(gold: DataFrame, ts: str = "timestamp", tie: str = "reading_id", keys_hook=None) -> DataFrame:
     """One current row per city: latest timestamp, then highest id.
 
     Two hash aggregates over plain columns find each city's newest time and the highest id there (one small
     key row per city); the row itself is fetched by a join with those keys. Nothing is sorted to find it, a city with
     a third of all rows is reduced map-side, and unused columns are never read.
+
+    ``keys_hook`` may materialise the key rows; the planner then knows their real size and broadcasts them when small, so
+    that the rows, in full width, are filtered where they are read instead of being shuffled by city.
     """
     newest = gold.groupBy("city").agg(F.max(ts).alias("_ts"))
     at = gold.select("city", ts, tie).join(newest.withColumnRenamed("city", "_city"),
                                            (F.col("city") == F.col("_city")) & F.col(ts).eqNullSafe(F.col("_ts")))
     keys = at.groupBy(F.col("city").alias("_city"), "_ts").agg(F.max(tie).alias("_tie"))
+    if keys_hook is not None:
+        keys = keys_hook(keys)
     return (gold.join(keys, (F.col("city") == F.col("_city")) & F.col(ts).eqNullSafe(F.col("_ts"))
                       & (F.col(tie) == F.col("_tie")))
                 .drop("_city", "_ts", "_tie"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from aerolith.operators import serving
+from aerolith.operators import clean, serving
 from aerolith.operators.warehouse import materialize
 from aerolith.plans import medallion
 from aerolith.sources.tables import memo, readings
@@ -51,14 +51,35 @@ def _stats_table(name: str):
     return lambda stats: materialize(stats, name)
 
 
+def _gold_a_with_stats(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    def build():
+        kept = []
+
+        def hook(stats):
+            kept.append(materialize(stats, "city_stats_a"))
+            return kept[0]
+
+        return medallion.gold_a(silver_a_layer(spark, d), stats_hook=hook), kept[0]
+
+    return memo(spark, "gold_a", d)(build)
+
+
 def gold_a(spark: SparkSession, d: str) -> DataFrame:
-    return memo(spark, "gold_a", d)(
-        lambda: medallion.gold_a(silver_a_layer(spark, d), stats_hook=_stats_table("city_stats_a")))
+    return _gold_a_with_stats(spark, d)[0]
 
 
 def latest_a(spark: SparkSession, d: str) -> DataFrame:
-    """The current row of every city as a small written table, which all serving queries read."""
-    return memo(spark, "latest_a", d)(lambda: materialize(serving.latest_per_city(gold_a(spark, d)), "latest_a"))
+    """The current row of every city as a small written table, which all serving queries read.
+
+    The current rows are found among the valid Silver rows; Gold's columns, which depend on the row and on the statistics
+    of its city over all rows, are derived for these rows alone.
+    """
+    def build():
+        stats = _gold_a_with_stats(spark, d)[1]
+        rows = serving.latest_per_city(clean.valid_only(silver_a_layer(spark, d)), keys_hook=lambda keys: materialize(keys, "latest_keys"))
+        return materialize(medallion.gold_a(rows, stats_hook=lambda _: stats), "latest_a")
+
+    return memo(spark, "latest_a", d)(build)
 
 
 def silver_b(spark: SparkSession, d: str) -> DataFrame:

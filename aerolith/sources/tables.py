@@ -93,22 +93,26 @@ def readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     The jobs read Bronze files that a stream has written, never the messages again; so the twin is derived from ``events`` once per
     application and read back from files.
     """
-    from aerolith.sources.layers import fresh_path, spread
+    from aerolith.sources.layers import fresh_path
 
     def land():
         path = fresh_path(spark, "layers/bronze")
-        spread(derived_readings(spark, sf_dir), "reading_id").write.parquet(path)
+        derived_readings(spark, sf_dir, deal=True).write.parquet(path)
         return spark.read.parquet(path)
 
     return memo(spark, "readings", sf_dir)(land)
 
 
-def derived_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def derived_readings(spark: SparkSession, sf_dir: str, deal: bool = False) -> DataFrame:
+    """Readings from ``events``; with ``deal`` the events, narrow as they are, are dealt over the shuffle's parts first."""
+    from aerolith.sources.layers import spread
+
     ev = (table(spark, sf_dir, "events")
           .select("event_id", "ts", "user_id", "event_type", "value",
-                  F.regexp_extract("props", "[0-9]+", 0).cast("int").alias("k"),
-                  F.explode(F.when(F.col("event_id") % 20 == 0, F.array(F.lit(0), F.lit(1)))
-                            .otherwise(F.array(F.lit(0)))).alias("copy")))
+                  F.regexp_extract("props", "[0-9]+", 0).cast("int").alias("k")))
+    ev = (spread(ev, "event_id") if deal else ev).select(
+        "*", F.explode(F.when(F.col("event_id") % 20 == 0, F.array(F.lit(0), F.lit(1)))
+                       .otherwise(F.array(F.lit(0)))).alias("copy"))
     # nation (25 rows) and region (5 rows) are fixed-size TPC-H tables; the planner
     # sizes them from file statistics and broadcasts them (autoBroadcastJoinThreshold)
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
